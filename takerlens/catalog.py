@@ -81,7 +81,7 @@ def _whole_stats(t: Tables) -> DataFrame:
 
 
 def _bleed(t: Tables) -> DataFrame:
-    return bleed.taker_bleed(t.terminal(), _capped_stats(t))
+    return bleed.bleed_of(_capped_stats(t))
 
 
 # --- bleed ------------------------------------------------------------------
@@ -459,10 +459,10 @@ def stream_settled_ingest(t: Tables) -> DataFrame:
 
 @query
 def stream_snapshots(t: Tables) -> DataFrame:
-    """Hourly runs appended by a stream: the same rows as the batch replay."""
+    """Daily runs appended by a stream with a 60 h refresh."""
     base = scratch_dir(t.spark, "snapshots")
     table = SnapshotTable(t.spark, f"{base}/table", "ticker bigint, run_ts timestamp_ntz, status string")
-    flows.append_snapshots(t.state_stream(), table, f"{base}/checkpoint", f"{base}/staging", 12, ARRIVAL)
+    flows.append_snapshots(t.state_stream(), table, f"{base}/checkpoint", f"{base}/staging", 60, ARRIVAL)
     return table.read().select("ticker", "run_ts", "status")
 
 
@@ -538,4 +538,4 @@ def json_ingest_trades(t: Tables) -> DataFrame:
                        F.date_format("created_time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_time"))
     _land(wire, "trades", "trade_id", path)
     read = landing.read_trades(landing.pages(t.spark, path, "trades"))
-    return tape.tape_sums(read, ["ticker"]).select("ticker", "trades", "contracts", "yes_notional", "no_notional", "block_trades")
+    return tape.exact(tape.tape_sums(read, ["ticker"])).select("ticker", "trades", "contracts", "yes_notional", "no_notional", "block_trades")

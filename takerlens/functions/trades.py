@@ -44,12 +44,6 @@ def pnl_cents(side: Column, yes: Column, no: Column, count: Column, result: Colu
     return (payoff - price) * F.lit(100) * size_of(count)
 
 
-def fee_base(yes: Column, no: Column, count: Column) -> Column:
-    """p * (1 - p) * size, exact to 14 places; times 7 and the multiplier it is the fee in cents."""
-    p = yes_price(yes, no)
-    return (p * (F.lit(1) - p)).cast("decimal(16,12)") * size_of(count)
-
-
 def fee_cents(base: Column, multiplier: Column) -> Column:
     """A missing multiplier counts as 1; 0 means the series charges nothing.
 

@@ -22,32 +22,28 @@ PAGE_CAP = 50
 ROWS_PER_SALT = 1_000_000
 MAX_SALTS = 4096
 
-# The mergeable sums of a tape and their types.
-SUMS = {
-    "trades": "bigint",
-    "yes_contracts": "decimal(22,2)",
-    "no_contracts": "decimal(22,2)",
-    "contracts": "decimal(22,2)",
-    "yes_notional": "decimal(30,8)",
-    "no_notional": "decimal(30,8)",
-    "fee_base": "decimal(38,14)",
-    "block_trades": "bigint",
-    "bad_side": "bigint",
-    "no_price": "bigint",
-}
+# The mergeable sums of a tape, all 64-bit: sizes in hundredths of a contract,
+# prices in millionths of a dollar, so nothing is rounded and the fold stays in
+# primitive arithmetic. The fee term p * (1 - p) * size is kept in two parts (above and
+# below 2**20), which leaves every sum room for 92 billion contracts per tape;
+# beyond that ANSI arithmetic fails instead of wrapping.
+SUMS = ["trades", "yes_size", "no_size", "size", "yes_paid", "no_paid", "fee_high", "fee_low",
+        "block_trades", "bad_side", "no_price"]
+FEE_SPLIT = 20
 
 
 def _fills(trades: DataFrame, use_outcome_side: bool = False) -> DataFrame:
-    """Trades with the terms the sums need; block trades carry a flag only."""
-    yes, no = F.col("yes_price_dollars"), F.col("no_price_dollars")
+    """Trades with the integer terms the sums need; block trades carry a flag only."""
     outcome = F.col("taker_outcome_side") if use_outcome_side else None
-    return (trades
-            .withColumn("_side", fill.side_of(F.col("taker_side"), outcome))
-            .withColumn("_n", fill.size_of(F.col("count_fp")))
-            .withColumn("_yes", fill.yes_price(yes, no))
-            .withColumn("_no", fill.no_price(yes, no))
-            .withColumn("_fee", fill.fee_base(yes, no, F.col("count_fp")))
-            .withColumn("_block", F.coalesce(F.col("is_block_trade"), F.lit(False))))
+    terms = trades.select(
+        "*", fill.side_of(F.col("taker_side"), outcome).alias("_side"),
+        F.expr("cast(coalesce(count_fp, 0) * 100 AS bigint) AS _n"),
+        F.expr("cast(coalesce(yes_price_dollars, 1 - no_price_dollars) * 1000000 AS bigint) AS _yes"),
+        F.expr("coalesce(is_block_trade, false) AS _block"))
+    return terms.select(
+        "*", F.expr("CASE WHEN no_price_dollars IS NULL THEN 1000000 - _yes "
+                    "ELSE cast(no_price_dollars * 1000000 AS bigint) END AS _no"),
+        F.expr("_yes * (1000000 - _yes) AS _pq"))
 
 
 def tape_sums(trades: DataFrame, keys: Sequence[str], use_outcome_side: bool = False) -> DataFrame:
@@ -55,28 +51,39 @@ def tape_sums(trades: DataFrame, keys: Sequence[str], use_outcome_side: bool = F
 
     Works on a stream as well as on a table.
     """
-    screen = ~F.col("_block")
-    yes, no = screen & (F.col("_side") == "yes"), screen & (F.col("_side") == "no")
-    odd = screen & ~F.coalesce(F.col("_side").isin("yes", "no"), F.lit(False))
+    def total(cond: str, value: str, name: str) -> Column:
+        return F.expr(f"coalesce(sum(CASE WHEN {cond} THEN {value} END), 0) AS {name}")
 
-    def total(cond: Column, value: Column, name: str) -> Column:
-        return F.coalesce(F.sum(F.when(cond, value)), F.lit(0)).cast(SUMS[name]).alias(name)
-
-    n = F.col("_n")
+    screen, yes, no = "NOT _block", "NOT _block AND _side = 'yes'", "NOT _block AND _side = 'no'"
     return _fills(trades, use_outcome_side).groupBy(*keys).agg(
-        F.count_if(screen).alias("trades"),
-        total(yes, n, "yes_contracts"), total(no, n, "no_contracts"), total(screen, n, "contracts"),
-        total(yes, F.col("_yes") * n, "yes_notional"), total(no, F.col("_no") * n, "no_notional"),
-        total(screen, F.col("_fee"), "fee_base"),
-        F.count_if(F.col("_block")).alias("block_trades"),
-        F.count_if(odd).alias("bad_side"),
-        F.count_if(screen & F.col("_yes").isNull()).alias("no_price"),
+        F.expr(f"count_if({screen}) AS trades"),
+        total(yes, "_n", "yes_size"), total(no, "_n", "no_size"), total(screen, "_n", "size"),
+        total(yes, "_yes * _n", "yes_paid"), total(no, "_no * _n", "no_paid"),
+        total(screen, f"shiftright(_pq, {FEE_SPLIT}) * _n", "fee_high"),
+        total(screen, f"(_pq & {(1 << FEE_SPLIT) - 1}) * _n", "fee_low"),
+        F.expr("count_if(_block) AS block_trades"),
+        F.expr(f"count_if({screen} AND NOT coalesce(_side IN ('yes', 'no'), false)) AS bad_side"),
+        F.expr(f"count_if({screen} AND _yes IS NULL) AS no_price"),
     )
 
 
+def exact(sums: DataFrame) -> DataFrame:
+    """The sums as decimals: contracts, dollars paid and p * (1 - p) * size; missing tapes are zero."""
+    two, eight = "cast(coalesce({0}, 0) * 0.01BD AS decimal(22,2))", "cast(coalesce({0}, 0) * 0.00000001BD AS decimal(30,8))"
+    # 14 places in two steps of 7, because one product would not fit 38 digits.
+    units = f"cast(cast(coalesce(fee_high, 0) AS decimal(20,0)) * {1 << FEE_SPLIT} + coalesce(fee_low, 0) AS decimal(25,0))"
+    base = f"cast(cast({units} * 0.0000001BD AS decimal(25,7)) * 0.0000001BD AS decimal(28,14))"
+    columns = {"yes_contracts": two.format("yes_size"), "no_contracts": two.format("no_size"),
+               "contracts": two.format("size"), "yes_notional": eight.format("yes_paid"),
+               "no_notional": eight.format("no_paid"), "fee_base": base}
+    columns |= {c: f"coalesce({c}, 0)" for c in ("trades", "block_trades", "bad_side", "no_price")}
+    kept = [c for c in sums.columns if c not in SUMS]
+    return sums.selectExpr(*kept, *[f"{e} AS {c}" for c, e in columns.items()])
+
+
 def merge_sums(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add up partial sums of the same tape."""
-    return parts.groupBy(*keys).agg(*[F.sum(c).cast(t).alias(c) for c, t in SUMS.items()])
+    return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS])
 
 
 def capped_sums(trades: DataFrame, keys: Sequence[str], page_size: int = PAGE_SIZE, page_cap: int = PAGE_CAP,
@@ -95,11 +102,9 @@ def capped_sums(trades: DataFrame, keys: Sequence[str], page_size: int = PAGE_SI
                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     placed = per_hour.withColumn("_through", F.sum("trades").over(newest_first)) \
                      .withColumn("_before", F.col("_through") - F.col("trades"))
-    inside = F.col("_through") <= cap
     # Hours beyond the cap keep their block count: block trades take no page.
     whole = placed.select(*keys, *[
-        (F.col(c) if c == "block_trades" else F.when(inside, F.col(c)).otherwise(F.lit(0))).cast(t).alias(c)
-        for c, t in SUMS.items()])
+        F.expr(c if c == "block_trades" else f"CASE WHEN _through <= {cap} THEN {c} ELSE 0 END AS {c}") for c in SUMS])
     edge = placed.where((F.col("_before") < cap) & (F.col("_through") > cap)).select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_hour").alias("_edge"),
         (F.lit(cap) - F.col("_before")).alias("_room"),
@@ -134,31 +139,26 @@ def score(markets: DataFrame, sums: DataFrame, page_size: int = PAGE_SIZE,
     are NULL unless the result is yes or no. With `strict`, a trade without a
     price, or one of a yes/no market without a side, is an error.
     """
-    joined = markets.join(sums, "ticker", "left")
-    zero = {c: F.coalesce(F.col(c), F.lit(0)).cast(t) for c, t in SUMS.items()}
+    joined = exact(markets.join(sums, "ticker", "left"))
     multiplier = F.col("fee_multiplier") if "fee_multiplier" in markets.columns else F.lit(1)
-    won = (F.when(F.col("result") == "yes", zero["yes_contracts"])
-           .when(F.col("result") == "no", zero["no_contracts"]))
-    pnl = ((won - zero["yes_notional"] - zero["no_notional"]) * F.lit(100)).cast("decimal(34,8)")
-    fee = F.when(is_binary(), fill.fee_cents(zero["fee_base"], multiplier))
-    trades = zero["trades"]
+    fee = F.when(is_binary(), fill.fee_cents(F.col("fee_base"), multiplier))
+    trades = "trades"
     if strict:
-        trades = (F.when(zero["no_price"] > 0, F.raise_error(F.concat(F.lit("trade without a price in "), F.col("ticker").cast("string"))).cast("bigint"))
-                  .when(is_binary() & (zero["bad_side"] > 0), F.raise_error(F.concat(F.lit("trade without a taker side in "), F.col("ticker").cast("string"))).cast("bigint"))
-                  .otherwise(trades))
-    pages = F.ceil(zero["trades"] / F.lit(page_size)).cast("bigint")
-
-    def vwap(side: str) -> Column:
-        return (F.col(f"{side}_notional") * 100 / F.nullif(F.col(f"{side}_contracts"), F.lit(0))).cast("decimal(18,10)")
-
+        trades = """CASE WHEN no_price > 0 THEN raise_error(concat('trade without a price in ', ticker))
+            WHEN result IN ('yes', 'no') AND bad_side > 0
+            THEN raise_error(concat('trade without a taker side in ', ticker)) ELSE trades END"""
+    pages = f"cast(ceil(trades / {page_size}) AS bigint)"
+    won = "CASE result WHEN 'yes' THEN yes_contracts WHEN 'no' THEN no_contracts END"
+    vwap = "cast({0}_notional * 100 / nullif({0}_contracts, 0) AS decimal(18,10)) AS taker_{0}_vwap_cents"
     return joined.select(
         *markets.columns,
-        trades.alias("trades"), zero["contracts"].alias("contracts"),
-        zero["yes_contracts"].alias("taker_yes_contracts"), vwap("yes").alias("taker_yes_vwap_cents"),
-        zero["no_contracts"].alias("taker_no_contracts"), vwap("no").alias("taker_no_vwap_cents"),
-        pnl.alias("taker_gross_pnl_cents"), fee.alias("taker_fee_est_cents"),
-        zero["block_trades"].alias("block_trades_skipped"), pages.alias("pages_read"),
-        (pages >= page_cap if page_cap is not None else F.lit(False)).alias("truncated"),
+        F.expr(f"cast({trades} AS bigint) AS trades"), "contracts",
+        F.col("yes_contracts").alias("taker_yes_contracts"), F.expr(vwap.format("yes")),
+        F.col("no_contracts").alias("taker_no_contracts"), F.expr(vwap.format("no")),
+        F.expr(f"cast(({won} - yes_notional - no_notional) * 100 AS decimal(34,8)) AS taker_gross_pnl_cents"),
+        fee.alias("taker_fee_est_cents"), F.col("block_trades").alias("block_trades_skipped"),
+        F.expr(f"{pages} AS pages_read"),
+        F.expr("false AS truncated" if page_cap is None else f"{pages} >= {page_cap} AS truncated"),
     )
 
 

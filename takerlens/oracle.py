@@ -155,6 +155,9 @@ CTES = {
         SELECT ticker, date_trunc('hour', run_ts) AS run_ts, max_by(series_ticker, arrival) AS series_ticker,
                max_by(status, arrival) AS status
         FROM px_snapshots GROUP BY 1, 2""",
+    "days": """
+        SELECT ticker, date_trunc('day', run_ts) AS run_ts, NULL AS series_ticker, max_by(status, arrival) AS status
+        FROM px_snapshots GROUP BY 1, 2""",
     "actions": """
         SELECT c.c_custkey AS event_ticker,
                CASE WHEN c.c_acctbal < -500 THEN 'insert'
@@ -371,8 +374,9 @@ def statements() -> dict[str, str]:
         FROM px_trades QUALIFY row_number() OVER (PARTITION BY ticker, trade_no
              ORDER BY created DESC, part_no DESC, supp_no DESC, n DESC) = 1""")
     sql["snapshot_replay"] = _with("states", f"SELECT ticker, {_ts('run_ts')}, status FROM walk", REPLAY)
-    sql["stream_snapshots"] = _with("states", f"SELECT ticker, {_ts('run_ts')}, status FROM walk",
-                                    REPLAY.replace("OR n.series_ticker IS DISTINCT FROM w.series_ticker", ""))
+    daily = REPLAY.replace("OR n.series_ticker IS DISTINCT FROM w.series_ticker", "").replace("12 HOUR", "60 HOUR")
+    sql["stream_snapshots"] = _with("days", f"SELECT ticker, {_ts('run_ts')}, status FROM walk",
+                                    daily.replace("states", "days"))
     sql["snapshot_append"] = _with("states", f"""
         , run AS (SELECT ticker, (SELECT max(run_ts) FROM states) + INTERVAL 1 HOUR AS run_ts,
                          max_by(status, (run_ts, arrival)) AS status

@@ -12,20 +12,24 @@ STATS = ["contracts", "taker_gross_pnl_cents", "taker_fee_est_cents", "truncated
 
 
 def taker_bleed(terminal: DataFrame, stats: DataFrame) -> DataFrame:
-    """Counts, contracts and cents per contract of yes/no markets, whole tapes only.
+    """Counts, contracts and cents per contract of yes/no markets, whole tapes only."""
+    return bleed_of(terminal.select("ticker", "series_ticker", "result")
+                    .join(stats.select("ticker", *STATS), "ticker"))
+
+
+def bleed_of(scored: DataFrame) -> DataFrame:
+    """The same over stats that still carry their market's result and series.
 
     Unlinked markets form a NULL group of their own.
     """
     whole = ~F.col("truncated")
     pnl, fee = F.col("taker_gross_pnl_cents"), F.coalesce("taker_fee_est_cents", F.lit(0))
     contracts = F.sum(F.when(whole, F.col("contracts")))
-    return (terminal.where(is_binary()).select("ticker", "series_ticker")
-            .join(stats.select("ticker", *STATS), "ticker")
-            .groupBy("series_ticker").agg(
-                F.count_if(whole).alias("n_settled"), F.count_if(~whole).alias("n_truncated"),
-                contracts.alias("contracts"),
-                ratio(F.sum(F.when(whole, pnl)), contracts).alias("gross_bleed_cents_per_ct"),
-                ratio(F.sum(F.when(whole, pnl - fee)), contracts).alias("feeadj_bleed_cents_per_ct")))
+    return scored.where(is_binary()).groupBy("series_ticker").agg(
+        F.count_if(whole).alias("n_settled"), F.count_if(~whole).alias("n_truncated"),
+        contracts.alias("contracts"),
+        ratio(F.sum(F.when(whole, pnl)), contracts).alias("gross_bleed_cents_per_ct"),
+        ratio(F.sum(F.when(whole, pnl - fee)), contracts).alias("feeadj_bleed_cents_per_ct"))
 
 
 def bleed_exclusions(terminal: DataFrame, stats: DataFrame) -> DataFrame:

@@ -103,26 +103,26 @@ def snapshot_job(store: Store, landed: str, now: datetime, refresh_hours: float
     spark, now = store.spark, _utc(now)
     moment = F.lit(now)
     series = landing.read_series(landing.pages(spark, f"{landed}/series", "series", multi_line), moment)
-    store.tables["series"].upsert(series, order=["raw"], defaults={"first_seen": moment})
+    store.tables["series"].upsert(series, order=["arrival"], defaults={"first_seen": moment})
 
     events = landing.read_events(landing.pages(spark, f"{landed}/events", "events", multi_line), moment)
-    options = dict(compare=EVENT_COMPARE, touch_col="last_seen", order=["raw"])
-    stored = store.read("events")
-    actions = merge.upsert_actions(stored, events, ["event_ticker"], **options)
+    stored, staged = store.read("events"), scratch_dir(spark, "events")
+    merge.upsert_actions(stored, events, ["event_ticker"], EVENT_COMPARE, "last_seen",
+                         order=["arrival"]).write.parquet(staged)
+    actions = spark.read.parquet(staged)
     counts = _one(merge.write_stats(actions))
     if counts["inserted"] or counts["updated"]:
-        store.tables["events"].write(merge.upsert_changed(stored, events, ["event_ticker"], **options))
+        fresh = actions.where(F.col("action") != "unchanged").drop("action")
+        store.tables["events"].write(merge.upsert(stored, fresh, ["event_ticker"]))
 
     markets = landing.read_snapshots(landing.pages(spark, f"{landed}/markets", "markets", multi_line), moment)
-    linked = linkage.link_series(markets, store.read("events"))
+    linked = merge.last_wins(linkage.link_series(markets, store.read("events")), snapshots.KEY, ["arrival"]).drop("arrival")
     report = _one(linkage.link_report(linked))
-    recent = store.market_snapshots.since(now - timedelta(hours=refresh_hours)).drop("run_minute")
     rows = linked
     if refresh_hours > 0:
+        recent = store.market_snapshots.since(now - timedelta(hours=refresh_hours)).drop("run_minute")
         rows = snapshots.skip_unchanged(linked, recent, refresh_hours)
-    before = store.market_snapshots.since(now.replace(second=0, microsecond=0)).count()
-    store.market_snapshots.append(rows, scratch_dir(spark, "snapshots"))
-    written = store.market_snapshots.since(now.replace(second=0, microsecond=0)).count() - before
+    written = store.market_snapshots.append(rows, scratch_dir(spark, "snapshots"))
     notes = {**counts, "snapshots": report["markets"], "unmapped": report["unmapped"], "written": written}
     store.set_cursor("snapshot", now, now, **notes)
     return notes
@@ -145,7 +145,7 @@ def sweep_job(store: Store, markets: DataFrame, trades: DataFrame, now: datetime
     since = chunks.sweep_start(store.cursor("settled_sweep"), now)
     rows = ingest.recent_window(markets, store.read("events"), F.lit(since), F.lit(now), minimum_volume)
     rows = rows.withColumn("ingested_at", F.lit(now)).drop("mve_collection_ticker")
-    store.tables["markets_terminal"].upsert(rows, order=["settlement_ts", "raw"])
+    store.tables["markets_terminal"].upsert(rows, order=["arrival"])
     relink(store)
     settled = store.read("markets_terminal").where(F.col("ingested_at") == F.lit(now))
     todo = worklist.unfinished(settled.where(F.coalesce("volume", F.lit(0)) >= tape_minimum),
@@ -183,14 +183,12 @@ def backfill_job(store: Store, archive: DataFrame | None, recent: DataFrame, tra
     else:
         scope = worklist.recurring_scope(known)
     events = store.read("events")
-    rows = ingest.recent_window(recent, events, since)
+    rows = ingest.recent_window(recent, events, since).withColumn("source_rank", F.lit(2))
     if archive is not None:
-        rows = ingest.two_sources(ingest.archive_window(archive, events, scope, since), rows).drop("source_rank")
-        store.tables["markets_terminal"].upsert(
-            rows.withColumn("ingested_at", F.lit(now)).drop("mve_collection_ticker"))
-    else:
-        store.tables["markets_terminal"].upsert(
-            rows.withColumn("ingested_at", F.lit(now)).drop("mve_collection_ticker"), order=["settlement_ts", "raw"])
+        walked = ingest.archive_window(archive, events, scope, since).withColumn("source_rank", F.lit(1))
+        rows = walked.unionByName(rows)
+    store.tables["markets_terminal"].upsert(rows.withColumn("ingested_at", F.lit(now)).drop("mve_collection_ticker"),
+                                            order=["source_rank", "arrival"])
     repaired = relink(store)
     todo = worklist.pending_worklist(store.read("markets_terminal"), known, store.read("market_taker_stats"), since,
                                      minimum_volume, scope, exclude_categories)

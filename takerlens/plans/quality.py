@@ -49,22 +49,25 @@ def expectations(tables: list[tuple[DataFrame, Mapping[str, Column]]]) -> DataFr
 
 
 def independent_totals(trades: DataFrame, markets: DataFrame) -> DataFrame:
-    """Profit, contracts and fee computed per fill in cents, not from tape sums.
+    """Profit, contracts and fee in decimal cents per price level, not from tape sums.
 
-    Deliberately another route: the result joins every trade, the price is in
-    cents before it is subtracted, and the fee is 7 * p * (1 - p) per contract.
+    Deliberately another route: sizes are added up per market, side and price
+    (which also shrinks a hot tape before the join), the price is in cents when
+    it is subtracted from the payoff, and the fee is 7 * p * (1 - p) per contract.
     """
-    t = trades.where(~F.coalesce("is_block_trade", F.lit(False))).join(
-        markets.where(is_binary()).select("ticker", "result", "fee_multiplier"), "ticker")
     p = F.coalesce(F.col("yes_price_dollars"), 1 - F.col("no_price_dollars")).cast(fill.UNIT_PRICE)
-    paid = F.when(F.col("taker_side") == "yes", p * 100).otherwise((1 - p) * 100)
-    worth = F.when(F.col("taker_side") == F.col("result"), 100).otherwise(0)
-    n = F.coalesce("count_fp", F.lit(0)).cast(fill.SIZE)
-    per_fill = (F.lit(7).cast("decimal(1,0)") * p * (1 - p)).cast("decimal(14,12)")
+    levels = (trades.where(~F.coalesce("is_block_trade", F.lit(False)))
+              .groupBy("ticker", F.col("taker_side").alias("side"), p.alias("p"))
+              .agg(F.sum(F.coalesce("count_fp", F.lit(0)).cast(fill.SIZE)).cast("decimal(16,2)").alias("n")))
+    t = levels.join(markets.where(is_binary()).select("ticker", "result", "fee_multiplier"), "ticker")
+    price, n = F.col("p"), F.col("n")
+    paid = F.when(F.col("side") == "yes", price * 100).otherwise((1 - price) * 100)
+    worth = F.when(F.col("side") == F.col("result"), 100).otherwise(0)
+    per_contract = (F.lit(7).cast("decimal(1,0)") * price * (1 - price)).cast("decimal(14,12)")
     mult = F.coalesce("fee_multiplier", F.lit(1)).cast(fill.MULTIPLIER)
-    fee = (per_fill * n).cast("decimal(26,14)") * mult
+    fee = (per_contract * n).cast("decimal(28,14)") * mult
     return t.groupBy("ticker").agg(F.sum(((worth - paid) * n).cast("decimal(28,8)")).alias("pnl_cents"),
-                                   F.sum(n).alias("contracts"), F.sum(fee.cast("decimal(34,18)")).alias("fee_cents"))
+                                   F.sum(n).alias("contracts"), F.sum(fee.cast("decimal(38,18)")).alias("fee_cents"))
 
 
 def reconcile(stats: DataFrame, independent: DataFrame, reported: DataFrame) -> DataFrame:

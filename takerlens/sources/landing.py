@@ -30,15 +30,22 @@ PRICE_RANGES = "array<struct<start:string,end:string,step:string>>"
 
 
 def pages(spark: SparkSession, path: str, entity: str, multi_line: bool = False, stream: bool = False) -> DataFrame:
-    """One raw JSON string per item of every page below `path`."""
+    """`raw` (JSON text) and `arrival` of every item on every page below `path`.
+
+    `arrival` sorts items as they came: file name, place in the file, place on
+    the page. It settles repeated keys, the last item wins.
+    """
     reader = (spark.readStream if stream else spark.read).option("multiLine", multi_line)
     page = reader.schema(f"cursor string, {entity} array<string>").json(path)
-    return page.select(F.explode(entity).alias("raw"))
+    place = page.select("_metadata.file_path", "_metadata.file_block_start",
+                        F.monotonically_increasing_id().alias("line"), entity)
+    item = place.select("file_path", "file_block_start", "line", F.posexplode(entity).alias("pos", "raw"))
+    return item.select("raw", F.struct("file_path", "file_block_start", "line", "pos").alias("arrival"))
 
 
 def _parsed(raw: DataFrame, schema: str) -> DataFrame:
     # The page reader has checked the syntax; a field of the wrong shape is an error.
-    return raw.select("raw", F.from_json("raw", schema, {"mode": "FAILFAST"}).alias("p"))
+    return raw.select("raw", "arrival", F.from_json("raw", schema, {"mode": "FAILFAST"}).alias("p"))
 
 
 def read_series(raw: DataFrame, now: Column, strict: bool = True) -> DataFrame:
@@ -46,7 +53,7 @@ def read_series(raw: DataFrame, now: Column, strict: bool = True) -> DataFrame:
         F.col("p.ticker").alias("series_ticker"), "p.title", "p.category", "p.frequency", "p.tags",
         "p.settlement_sources", "p.contract_url", "p.contract_terms_url", "p.fee_type",
         dec(F.col("p.fee_multiplier"), "decimal(6,4)", strict).alias("fee_multiplier"),
-        now.alias("last_seen"), canonical_json(F.col("raw")).alias("raw"))
+        now.alias("last_seen"), canonical_json(F.col("raw")).alias("raw"), "arrival")
     return rows.where(has_key("series_ticker"))
 
 
@@ -59,7 +66,8 @@ def read_events(raw: DataFrame, now: Column) -> DataFrame:
 
 def nested_markets(raw_events: DataFrame) -> DataFrame:
     """Raw markets carried inside event payloads."""
-    return _parsed(raw_events, EVENT).select(F.explode("p.markets").alias("raw"))
+    item = _parsed(raw_events, EVENT).select("arrival", F.posexplode("p.markets").alias("nested", "raw"))
+    return item.select("raw", F.col("arrival").withField("pos", F.col("arrival.pos") * 100_000 + F.col("nested")).alias("arrival"))
 
 
 def read_snapshots(raw: DataFrame, run_ts: Column, strict: bool = True) -> DataFrame:
@@ -76,7 +84,7 @@ def read_snapshots(raw: DataFrame, run_ts: Column, strict: bool = True) -> DataF
         money("yes_ask"), money("no_bid"), money("no_ask"), money("last_price"), count("volume"),
         count("volume_24h"), count("open_interest"),
         dec(F.col("p.liquidity_dollars"), "decimal(18,6)", strict).alias("liquidity"),
-        "p.price_level_structure", ts(F.col("p.close_time")).alias("close_time"))
+        "p.price_level_structure", ts(F.col("p.close_time")).alias("close_time"), "arrival")
 
 
 def read_markets(raw: DataFrame, strict: bool = True) -> DataFrame:
@@ -87,7 +95,7 @@ def read_markets(raw: DataFrame, strict: bool = True) -> DataFrame:
         dec(F.col("p.volume_fp"), COUNT, strict).alias("volume"),
         dec(F.col("p.open_interest_fp"), COUNT, strict).alias("open_interest"),
         "p.price_level_structure", "p.rules_primary", "p.mve_collection_ticker",
-        canonical_json(F.col("raw")).alias("raw"))
+        canonical_json(F.col("raw")).alias("raw"), "arrival")
 
 
 def price_ranges(raw: DataFrame) -> DataFrame:
@@ -103,4 +111,4 @@ def read_trades(raw: DataFrame, origin: str = "live", strict: bool = True) -> Da
         dec(F.col("p.yes_price_dollars"), PRICE, strict).alias("yes_price_dollars"),
         dec(F.col("p.no_price_dollars"), PRICE, strict).alias("no_price_dollars"),
         "p.taker_side", "p.taker_outcome_side", "p.is_block_trade",
-        ts(F.col("p.created_time")).alias("created_time"), F.lit(origin).alias("origin"))
+        ts(F.col("p.created_time")).alias("created_time"), F.lit(origin).alias("origin"), "arrival")

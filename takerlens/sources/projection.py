@@ -20,6 +20,17 @@ FREQUENCIES = ["custom", "one_off", "annual", "monthly", "weekly", "daily", "hou
 LINKS = ["https://forecast.weather.gov/x", "https://www.bls.gov/x", "https://www.cmegroup.com/x",
          "https://www.oscars.org/x", "https://wpc.ncep.noaa.gov/x", "https://www.wsj.com/x"]
 LIVE_SINCE = "1998-01-01"
+# The table layouts, so opening one starts no job to infer its columns.
+LAYOUT = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                 "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "pages": "page_id bigint, url string, html string",
+}
 # Everything that can order two trades of one market created at the same time.
 TRADE_ORDER = ["trade_no", "part_no", "supp_no", "yes_cents", "taker_side", "count_fp"]
 
@@ -35,7 +46,7 @@ class Tables:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(LAYOUT[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def series(self) -> DataFrame:
         k = F.col("n_nationkey")
@@ -125,10 +136,10 @@ class Tables:
         return self._streaming().markets()
 
     def state_stream(self) -> DataFrame:
-        """Hourly market states without the series link (it is looked up per batch or later)."""
-        return self._streaming().quotes("hour").select("ticker", "run_ts", "arrival", "status")
+        """Daily market states without the series link (it is looked up per batch or later)."""
+        return self._streaming().quotes("day").select("ticker", "run_ts", "arrival", "status")
 
 
 class _StreamTables(Tables):
     def raw(self, name: str) -> DataFrame:
-        return file_stream(self.spark, self.folder, f"{name}.parquet")
+        return file_stream(self.spark, self.folder, f"{name}.parquet", LAYOUT[name])

@@ -104,22 +104,30 @@ class SnapshotTable:
         low = F.date_format(F.lit(moment).cast("timestamp"), self.RUN).cast("bigint")
         return self.read().where((F.col("run_minute") >= low) & (F.col("run_ts") >= F.lit(moment)))
 
-    def append(self, rows: DataFrame, staging: str) -> None:
-        """Write runs; a run already there keeps its rows except those with the same key.
-
-        The merged runs are staged first: a folder is never read and overwritten
-        in one job.
+    def append(self, rows: DataFrame, staging: str) -> int:
+        """Write runs and return the row count; a run already there keeps its other keys.
+
+        Rows are staged first, so the count is a footer read, lineage ends here,
+        and no folder is read and overwritten in one job. Only the run numbers
+        come to the driver (at most one per minute of the batch); they prune the
+        folders read for the merge. `rebalance` sizes the output files and
+        splits a large run over several tasks.
         """
         minute = F.date_format("run_ts", self.RUN).cast("bigint")
-        new = rows.withColumn("run_minute", minute)
-        runs = new.select("run_minute").distinct()
-        old = self.read().join(F.broadcast(runs), "run_minute", "left_semi")
-        both = old.withColumn("_rank", F.lit(0)).unionByName(new.withColumn("_rank", F.lit(1)))
-        merged = last_wins(both, ["ticker", "run_ts", "run_minute"], ["_rank"]).drop("_rank")
-        merged.write.mode("overwrite").parquet(staging)
-        staged = self.spark.read.schema(merged.schema).parquet(staging)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        rows.withColumn("run_minute", minute).write.mode("overwrite").parquet(f"{staging}/new")
+        new = self.spark.read.schema(f"{self.schema}, run_minute bigint").parquet(f"{staging}/new")
+        stored = {int(n.split("=")[1]) for n in _children(self.spark, self.path, "run_minute=")}
+        again = [r[0] for r in new.select("run_minute").distinct().collect() if r[0] in stored] if stored else []
+        out = new
+        if again:
+            old = self.read().where(F.col("run_minute").isin(again))
+            both = old.withColumn("_rank", F.lit(0)).unionByName(new.withColumn("_rank", F.lit(1)))
+            merged = last_wins(both, ["ticker", "run_ts", "run_minute"], ["_rank"]).drop("_rank")
+            merged.write.mode("overwrite").parquet(f"{staging}/merged")
+            out = self.spark.read.schema(new.schema).parquet(f"{staging}/merged")
+        (out.hint("rebalance", "run_minute").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run_minute").parquet(self.path))
+        return new.count()
 
     def prune(self, before) -> list[str]:
         """Drop whole run folders older than a time; nothing is rewritten."""

@@ -22,10 +22,10 @@ from takerlens.sources.tables import BatchLog, SnapshotTable
 LATENESS = "2 hours"
 
 
-def file_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
+def file_stream(spark: SparkSession, folder: str, name: str, schema: str,
+                files_per_batch: int | None = None) -> DataFrame:
     """Parquet files matching `name` in a folder as a stream, each file once."""
-    like = spark.read.parquet(f"{folder}/{name}")
-    reader = spark.readStream.schema(like.schema).option("pathGlobFilter", name)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", name)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(folder)
@@ -40,7 +40,7 @@ def _run(stream: DataFrame, sink, checkpoint: str, once: bool) -> StreamingQuery
 
 
 def sums_schema(keys: str = "ticker bigint") -> str:
-    return ", ".join([keys, *[f"{c} {t}" for c, t in SUMS.items()]])
+    return ", ".join([keys, *[f"{c} bigint" for c in SUMS]])
 
 
 def fold_tapes(trades: DataFrame, log: BatchLog, checkpoint: str, keys: Sequence[str] = ("ticker",),

@@ -1,0 +1,103 @@
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from takerlens.operators import linkage, merge
+
+NOW = datetime(2026, 10, 23, 12)
+SCHEMA = ("event_ticker string, series_ticker string, title string, category string, mutually_exclusive boolean, "
+          "settlement_sources array<struct<name:string,url:string>>, raw string, last_seen timestamp")
+COMPARE = ["series_ticker", "title", "category", "mutually_exclusive", "settlement_sources", "raw"]
+
+
+def event(key, now=NOW, **changes):
+    row = {"event_ticker": key, "series_ticker": "S1", "title": "T", "category": "c", "mutually_exclusive": True,
+           "settlement_sources": [("x", None)], "raw": "{}", "last_seen": now, **changes}
+    return tuple(row.values())
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def counts(target, source, **kw):
+    r = merge.write_stats(merge.upsert_actions(target, source, ["event_ticker"], COMPARE, "last_seen", **kw)).first()
+    return (r.seen, r.inserted, r.updated, r.unchanged)
+
+
+def test_unchanged_rows_are_not_rewritten(spark):
+    rows = frame(spark, [event(f"E{i}") for i in range(1203)])
+    later = frame(spark, [event(f"E{i}", NOW + timedelta(hours=6)) for i in range(1203)])
+    assert counts(frame(spark, []), rows) == (1203, 1203, 0, 0)
+    assert counts(rows, later) == (1203, 0, 0, 1203)
+    after = merge.upsert_changed(rows, later, ["event_ticker"], compare=COMPARE, touch_col="last_seen")
+    assert after.agg(F.max("last_seen")).first()[0] == NOW and after.count() == 1203
+
+
+@pytest.mark.parametrize("change", [
+    {"series_ticker": "S9"}, {"series_ticker": None}, {"title": "new"}, {"category": None},
+    {"mutually_exclusive": False}, {"settlement_sources": [("y", None)]}, {"raw": '{"a":1}'},
+])
+def test_any_changed_column_updates(spark, change):
+    stored = frame(spark, [event("E1"), event("E2")])
+    source = frame(spark, [event("E1", NOW + timedelta(hours=6), **change), event("E2", NOW + timedelta(hours=6))])
+    assert counts(stored, source) == (2, 0, 1, 1)
+    rows = {r.event_ticker: r for r in merge.upsert_changed(stored, source, ["event_ticker"], compare=COMPARE,
+                                                            touch_col="last_seen").collect()}
+    assert rows["E1"].last_seen == NOW + timedelta(hours=6) and rows["E2"].last_seen == NOW
+    (name, value), = change.items()
+    got = getattr(rows["E1"], name)
+    assert got == value or [tuple(x) for x in got] == value
+
+
+def test_touch_after_a_day_or_when_never_seen(spark):
+    stored = frame(spark, [event("E1")])
+    for hours, updated in ((23, 0), (24, 0), (25, 1)):
+        assert counts(stored, frame(spark, [event("E1", NOW + timedelta(hours=hours))]))[2] == updated
+    assert counts(frame(spark, [event("E1", None)]), stored)[2] == 1
+
+
+def test_repeated_key_last_wins(spark):
+    source = frame(spark, [event("E1", title="a"), event("E1", title="b")]).withColumn("n", F.monotonically_increasing_id())
+    assert counts(frame(spark, []), source, order=["n"])[0] == 1
+    out = merge.upsert(frame(spark, []), source, ["event_ticker"], order=["n"])
+    assert [r.title for r in out.collect()] == ["b"]
+
+
+def test_upsert_overwrites_with_null_and_keeps_unwritten_columns(spark):
+    target = spark.createDataFrame([("a", 1, "old", "seen"), ("b", 2, "old", "seen")], "k string, v int, w string, first string")
+    source = spark.createDataFrame([("a", None, "new"), ("c", 3, "new")], "k string, v int, w string")
+    rows = {r.k: tuple(r) for r in merge.upsert(target, source, ["k"], defaults={"first": F.lit("now")}).collect()}
+    assert rows == {"a": ("a", None, "new", "seen"), "b": ("b", 2, "old", "seen"), "c": ("c", 3, "new", "now")}
+    some = {r.k: tuple(r) for r in merge.upsert(target, source, ["k"], update_cols=["w"]).collect()}
+    assert some["a"] == ("a", 1, "new", "seen") and some["c"] == ("c", 3, "new", None)
+    none = {r.k: tuple(r) for r in merge.upsert(target, source, ["k"], update_cols=[]).collect()}
+    assert none["a"] == ("a", 1, "old", "seen") and none["c"] == ("c", 3, "new", None)
+    again = merge.upsert(merge.upsert(target, source, ["k"]), source, ["k"])
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, merge.upsert(target, source, ["k"]).collect()))
+
+
+def test_bad_compare_columns_are_rejected(spark):
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    with pytest.raises(ValueError):
+        merge.upsert_actions(df, df, ["k"], ["raw"])
+    with pytest.raises(ValueError):
+        merge.upsert_actions(df, df, ["k"], [])
+
+
+def test_links_and_repair(spark):
+    events = spark.createDataFrame([("E1", "S1"), ("E2", "S2"), ("E3", None)], "event_ticker string, series_ticker string")
+    markets = spark.createDataFrame([("M1", "E1"), ("M2", "E2"), ("M3", "E3"), ("M4", "EX"), ("M5", "E1"), ("M6", None)],
+                                    "ticker string, event_ticker string")
+    linked = linkage.link_series(markets, events)
+    assert {r.ticker: r.series_ticker for r in linked.collect()} == {
+        "M1": "S1", "M2": "S2", "M3": None, "M4": None, "M5": "S1", "M6": None}
+    assert linkage.link_report(linked).first().unmapped == 3
+    late = events.unionByName(spark.createDataFrame([("EX", "S7")], events.schema))
+    fixed = linkage.repair_links(linked, late)
+    assert [(r.ticker, r.series_ticker) for r in fixed.where("repaired").collect()] == [("M4", "S7")]
+    missing = linkage.missing_events(markets, events)
+    assert [r.event_ticker for r in missing.collect()] == ["EX"]
+    many = spark.range(20).selectExpr("lpad(id, 3, '0') AS event_ticker")
+    assert [r.event_ticker for r in linkage.missing_events(many, events, cap=3).collect()] == ["000", "001", "002"]
