@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from takerlens.operators import chunks, ingest, linkage, merge, retention, snapshots, tape, worklist
 from takerlens.plans import activity, bleed, classify, screen
+from takerlens.plans.screen import Thresholds
 from takerlens.session import scratch_dir
 from takerlens.sources import landing
 from takerlens.sources.tables import KeyedTable, SnapshotTable
@@ -81,10 +82,10 @@ class Store:
     def bleed(self) -> DataFrame:
         return bleed.taker_bleed(self.read("markets_terminal"), self.read("market_taker_stats"))
 
-    def screen(self, as_of, limits: screen.Thresholds = screen.Thresholds()) -> DataFrame:
+    def screen(self, as_of, limits: Thresholds = Thresholds()) -> DataFrame:
         return screen.screen(self.read("series"), self.read("series_tags"), self.activity(as_of), self.bleed(), limits)
 
-    def funnel(self, as_of, limits: screen.Thresholds = screen.Thresholds()) -> DataFrame:
+    def funnel(self, as_of, limits: Thresholds = Thresholds()) -> DataFrame:
         return screen.screen_funnel(self.read("series"), self.read("series_tags"), self.activity(as_of),
                                     self.bleed(), limits)
 
@@ -171,7 +172,7 @@ def backfill_job(store: Store, archive: DataFrame | None, recent: DataFrame, tra
                  days: int = 180, series: list[str] | None = None, from_screen: bool = False,
                  exclude_categories: list[str] | None = None, minimum_volume: float = 1,
                  page_size: int = tape.PAGE_SIZE, page_cap: int = tape.PAGE_CAP,
-                 limits: screen.Thresholds = screen.Thresholds()) -> dict:
+                 limits: Thresholds = Thresholds()) -> dict:
     """Archive and recent walks into the terminal table, then the pending tapes in scope."""
     now = _utc(now)
     since = F.lit(now - timedelta(days=days))

@@ -60,7 +60,7 @@ def read_series(raw: DataFrame, now: Column, strict: bool = True) -> DataFrame:
 def read_events(raw: DataFrame, now: Column) -> DataFrame:
     rows = _parsed(raw, EVENT).select(
         "p.event_ticker", "p.series_ticker", "p.title", "p.category", "p.mutually_exclusive",
-        "p.settlement_sources", now.alias("last_seen"), canonical_json(F.col("raw")).alias("raw"))
+        "p.settlement_sources", now.alias("last_seen"), canonical_json(F.col("raw")).alias("raw"), "arrival")
     return rows.where(has_key("event_ticker"))
 
 
