@@ -96,7 +96,10 @@ def capped_sums(trades: DataFrame, keys: Sequence[str], page_size: int = PAGE_SI
     each keep no more than the room left.
     """
     keys, cap = list(keys), page_size * page_cap
-    hourly = trades.withColumn("_hour", F.date_trunc(bucket, F.col("created_time")))
+    # Keyless trades belong to no tape. Saying so here, and not leaving it to the
+    # later joins, also keeps both uses of the hourly sums below identical.
+    keyed = trades.where(F.col(keys[0]).isNotNull())
+    hourly = keyed.withColumn("_hour", F.date_trunc(bucket, F.col("created_time")))
     per_hour = tape_sums(hourly, [*keys, "_hour"])
     newest_first = (Window.partitionBy(*keys).orderBy(F.col("_hour").desc_nulls_last())
                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -105,7 +108,9 @@ def capped_sums(trades: DataFrame, keys: Sequence[str], page_size: int = PAGE_SI
     # Hours beyond the cap keep their block count: block trades take no page.
     whole = placed.select(*keys, *[
         F.expr(c if c == "block_trades" else f"CASE WHEN _through <= {cap} THEN {c} ELSE 0 END AS {c}") for c in SUMS])
-    edge = placed.where((F.col("_before") < cap) & (F.col("_through") > cap)).select(
+    # `trades` is never negative, so the last condition always holds; it makes both
+    # uses of the hourly sums read the same columns, and Spark computes them once.
+    edge = placed.where((F.col("_before") < cap) & (F.col("_through") > cap) & (F.greatest(*SUMS) >= 0)).select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_hour").alias("_edge"),
         (F.lit(cap) - F.col("_before")).alias("_room"),
         F.least(F.ceil(F.col("trades") / ROWS_PER_SALT), F.lit(MAX_SALTS)).alias("_salts"))

@@ -29,7 +29,8 @@ TRADE = ("trade_id string, ticker string, count_fp string, yes_price_dollars str
 PRICE_RANGES = "array<struct<start:string,end:string,step:string>>"
 
 
-def pages(spark: SparkSession, path: str, entity: str, multi_line: bool = False, stream: bool = False) -> DataFrame:
+def pages(spark: SparkSession, path: str, entity: str, multi_line: bool = False, stream: bool = False,
+          keep: list[str] | None = None) -> DataFrame:
     """`raw` (JSON text) and `arrival` of every item on every page below `path`.
 
     `arrival` sorts items as they came: file name, place in the file, place on
@@ -89,13 +90,14 @@ def read_snapshots(raw: DataFrame, run_ts: Column, strict: bool = True) -> DataF
 
 def read_markets(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Market payloads as terminal rows (unlinked, not yet filtered by status)."""
+    carried = [c for c in raw.columns if c not in ("raw", "arrival")]
     return _parsed(raw, MARKET).select(
         "p.ticker", "p.event_ticker", "p.title", "p.status", "p.result", ts(F.col("p.open_time")).alias("open_time"),
         ts(F.col("p.close_time")).alias("close_time"), ts(F.col("p.settlement_ts")).alias("settlement_ts"),
         dec(F.col("p.volume_fp"), COUNT, strict).alias("volume"),
         dec(F.col("p.open_interest_fp"), COUNT, strict).alias("open_interest"),
         "p.price_level_structure", "p.rules_primary", "p.mve_collection_ticker",
-        canonical_json(F.col("raw")).alias("raw"), "arrival")
+        canonical_json(F.col("raw")).alias("raw"), "arrival", *carried)
 
 
 def price_ranges(raw: DataFrame) -> DataFrame:

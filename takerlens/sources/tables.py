@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from takerlens.operators.merge import last_wins, upsert
@@ -35,6 +35,10 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _minute(moment: Column) -> Column:
+    return F.floor(F.unix_seconds(moment.cast("timestamp")) / 60)
+
+
 class KeyedTable:
     """One row per key, rewritten generation by generation."""
 
@@ -86,11 +90,10 @@ class BatchLog:
 class SnapshotTable:
     """Snapshots partitioned by run, so a window read or a prune touches whole folders.
 
-    `run_minute` (yyyyMMddHHmm, UTC) names the partition; it sorts like run_ts.
+    `run_minute` (minutes since 1970, whatever the session's time zone) names the
+    partition; it sorts like run_ts.
     """
 
-    RUN = "yyyyMMddHHmm"
-
     def __init__(self, spark: SparkSession, path: str, schema: str):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
@@ -101,7 +104,7 @@ class SnapshotTable:
 
     def since(self, moment) -> DataFrame:
         """Rows from a time on, pruned to the run folders that can hold them."""
-        low = F.date_format(F.lit(moment).cast("timestamp"), self.RUN).cast("bigint")
+        low = _minute(F.lit(moment))
         return self.read().where((F.col("run_minute") >= low) & (F.col("run_ts") >= F.lit(moment)))
 
     def append(self, rows: DataFrame, staging: str) -> int:
@@ -113,8 +116,7 @@ class SnapshotTable:
         folders read for the merge. `rebalance` sizes the output files and
         splits a large run over several tasks.
         """
-        minute = F.date_format("run_ts", self.RUN).cast("bigint")
-        rows.withColumn("run_minute", minute).write.mode("overwrite").parquet(f"{staging}/new")
+        rows.withColumn("run_minute", _minute(F.col("run_ts"))).write.mode("overwrite").parquet(f"{staging}/new")
         new = self.spark.read.schema(f"{self.schema}, run_minute bigint").parquet(f"{staging}/new")
         stored = {int(n.split("=")[1]) for n in _children(self.spark, self.path, "run_minute=")}
         again = [r[0] for r in new.select("run_minute").distinct().collect() if r[0] in stored] if stored else []
@@ -131,8 +133,8 @@ class SnapshotTable:
 
     def prune(self, before) -> list[str]:
         """Drop whole run folders older than a time; nothing is rewritten."""
-        limit = self.spark.range(1).select(F.date_format(F.lit(before).cast("timestamp"), self.RUN)).first()[0]
-        gone = [n for n in _children(self.spark, self.path, "run_minute=") if n.split("=")[1] < limit]
+        limit = self.spark.range(1).select(_minute(F.lit(before))).first()[0]
+        gone = [n for n in _children(self.spark, self.path, "run_minute=") if int(n.split("=")[1]) < limit]
         for name in gone:
             _delete(self.spark, f"{self.path}/{name}")
         return gone

@@ -106,8 +106,8 @@ def test_backfill_scopes_both_halves(world):
     spark, root, _, _, _ = world
     store = jobs.Store(spark, str(root / "store2"))
     jobs.snapshot_job(store, feed(root / "land4", [market("M1", "E1")]), NOW)
-    page = land(root / "archive" / "walked_series=WX", "markets", [settled("A", "E1", 24 * 30), settled("X", "EX", 24 * 400)])
-    archive = landing.read_markets(landing.pages(spark, page, "markets")).withColumn("walked_series", F.lit("WX"))
+    land(root / "archive" / "walked_series=WX", "markets", [settled("A", "E1", 24 * 30), settled("X", "EX", 24 * 400)])
+    archive = landing.read_markets(landing.pages(spark, str(root / "archive"), "markets", keep=["walked_series"]))
     recent = landing.read_markets(landing.pages(spark, land(root / "recent", "markets", [
         settled("A", "E1", 24 * 30, volume="7"), settled("B", "E2", 24), settled("C", "E1", 24, volume="0")]), "markets"))
     trades = trades_of(spark, root, "t4", [tape("A", 1), tape("A", 2), tape("B", 1)])
@@ -117,3 +117,19 @@ def test_backfill_scopes_both_halves(world):
     assert rows == {"A": 7, "B": 5, "C": 0}
     again = jobs.backfill_job(store, archive, recent, trades, NOW, series=["SP"])
     assert again["aggregated"] == 1 and store.read("market_taker_stats").count() == 2
+
+
+def test_command_line(world):
+    from takerlens.__main__ import run
+
+    spark, root, _, opened, _ = world
+    base = ["--store", str(root / "store3"), "--as-of", "2026-08-09T12:00:30+00:00"]
+    assert run(spark, [*base, "snapshot", "--landed", feed(root / "land5", opened)])["written"] == 3
+    pages = land(root / "m5", "markets", [settled("A", "E1", 3)])
+    tapes = land(root / "t5", "trades", [tape("A", 1)])
+    assert run(spark, [*base, "sweep", "--markets", pages, "--trades", tapes])["aggregated"] == 1
+    assert run(spark, [*base, "classify"]).count() == 1
+    assert run(spark, [*base, "screen", "--n-settled", "1", "--out", str(root / "out5")]).count() == 1
+    assert spark.read.parquet(str(root / "out5")).count() == 1
+    assert run(spark, [*base, "funnel"]).first().series_total == 2
+    assert run(spark, [*base, "prune"]) == {"removed": 0}

@@ -1,0 +1,62 @@
+"""What the physical plans must and must not contain."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from takerlens.catalog import queries
+from takerlens.operators import merge, tape
+from takerlens.sources.projection import TRADE_ORDER, Tables
+
+FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+STREAMS_AND_PAGES = ("stream_", "json_")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(queries()) if not n.startswith(STREAMS_AND_PAGES)])
+def test_no_cross_joins_and_no_python(spark, name):
+    plan = plan_of(queries()[name](spark, FOLDER))
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "FlatMapGroups"):
+        assert bad not in plan
+
+
+def test_filters_and_columns_reach_the_scan(spark, tmp_path):
+    Tables(spark, FOLDER).markets(volume=True).write.parquet(str(tmp_path / "m"))
+    from takerlens.operators.ingest import recent_window
+    markets = spark.read.parquet(str(tmp_path / "m"))
+    rows = recent_window(markets, Tables(spark, FOLDER).events(), F.lit("1998-01-01").cast("timestamp_ntz"), None, 5)
+    scan = next(line for line in plan_of(rows.select("ticker", "series_ticker")).splitlines() if "FileScan" in line and "/m" in line)
+    pushed = scan.split("PushedFilters:")[1]
+    assert "GreaterThanOrEqual(settlement_ts" in pushed and "In(status" in pushed
+    assert "result" not in scan.split("ReadSchema:")[1]
+
+
+def test_trades_meet_markets_only_as_sums(spark):
+    """The tape is aggregated before any join, with a map-side half."""
+    t = Tables(spark, FOLDER)
+    plan = plan_of(tape.taker_stats(t.terminal(), t.trades(), t.series(), page_cap=None))
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "l_orderkey" in line and "FileScan" in line)
+    above = [line for line in lines[:scan] if "HashAggregate" in line or "Exchange" in line]
+    assert "partial_sum" in above[-1] and "Exchange hashpartitioning(ticker" in above[-2]
+
+
+def test_last_wins_combines_before_the_shuffle(spark):
+    t = Tables(spark, FOLDER)
+    plan = plan_of(merge.last_wins(t.trades(), ["ticker", "trade_no"], ["created_time"]))
+    assert "partial_max_by" in plan and "Window" not in plan
+
+
+def test_hourly_sums_are_computed_once(spark, tmp_path):
+    """Both uses inside the capped fold read one shuffle."""
+    t = Tables(spark, FOLDER)
+    t.trades().write.parquet(str(tmp_path / "t"))
+    markets = t.terminal()
+    df = tape.taker_stats(markets, spark.read.parquet(str(tmp_path / "t")), t.series(), 2, 3, TRADE_ORDER)
+    df.collect()
+    assert "ReusedExchange" in plan_of(df)
