@@ -34,19 +34,22 @@ def pages(spark: SparkSession, path: str, entity: str, multi_line: bool = False,
     """`raw` (JSON text) and `arrival` of every item on every page below `path`.
 
     `arrival` sorts items as they came: file name, place in the file, place on
-    the page. It settles repeated keys, the last item wins.
+    the page. It settles repeated keys, the last item wins. `keep` names folder
+    columns (`<name>=<value>/`) to carry along.
     """
+    keep = keep or []
     reader = (spark.readStream if stream else spark.read).option("multiLine", multi_line)
-    page = reader.schema(f"cursor string, {entity} array<string>").json(path)
+    schema = ", ".join(["cursor string", f"{entity} array<string>", *[f"{c} string" for c in keep]])
+    page = reader.schema(schema).json(path)
     place = page.select("_metadata.file_path", "_metadata.file_block_start",
-                        F.monotonically_increasing_id().alias("line"), entity)
-    item = place.select("file_path", "file_block_start", "line", F.posexplode(entity).alias("pos", "raw"))
-    return item.select("raw", F.struct("file_path", "file_block_start", "line", "pos").alias("arrival"))
+                        F.monotonically_increasing_id().alias("line"), entity, *keep)
+    item = place.select("file_path", "file_block_start", "line", F.posexplode(entity).alias("pos", "raw"), *keep)
+    return item.select("raw", F.struct("file_path", "file_block_start", "line", "pos").alias("arrival"), *keep)
 
 
 def _parsed(raw: DataFrame, schema: str) -> DataFrame:
     # The page reader has checked the syntax; a field of the wrong shape is an error.
-    return raw.select("raw", "arrival", F.from_json("raw", schema, {"mode": "FAILFAST"}).alias("p"))
+    return raw.select("*", F.from_json("raw", schema, {"mode": "FAILFAST"}).alias("p"))
 
 
 def read_series(raw: DataFrame, now: Column, strict: bool = True) -> DataFrame:
