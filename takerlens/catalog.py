@@ -45,7 +45,9 @@ def plain(df: DataFrame) -> DataFrame:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DecimalType, T.DoubleType)):
             c = F.round(c.cast("double"), 6)
-        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+        elif isinstance(f.dataType, T.TimestampType):
+            c = F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd HH:mm:ss")
+        elif isinstance(f.dataType, T.TimestampNTZType):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType)):
             c = c.cast("bigint")

@@ -107,17 +107,15 @@ def snapshot_job(store: Store, landed: str, now: datetime, refresh_hours: float
     store.tables["series"].upsert(series, order=["arrival"], defaults={"first_seen": moment})
 
     events = landing.read_events(landing.pages(spark, f"{landed}/events", "events", multi_line), moment)
-    stored, staged = store.read("events"), scratch_dir(spark, "events")
-    merge.upsert_actions(stored, events, ["event_ticker"], EVENT_COMPARE, "last_seen",
-                         order=["arrival"]).write.parquet(staged)
-    actions = spark.read.parquet(staged)
+    stored = store.read("events")
+    actions = _staged(merge.upsert_actions(stored, events, ["event_ticker"], EVENT_COMPARE, "last_seen", order=["arrival"]))
     counts = _one(merge.write_stats(actions))
     if counts["inserted"] or counts["updated"]:
         fresh = actions.where(F.col("action") != "unchanged").drop("action")
         store.tables["events"].write(merge.upsert(stored, fresh, ["event_ticker"]))
 
     markets = landing.read_snapshots(landing.pages(spark, f"{landed}/markets", "markets", multi_line), moment)
-    linked = merge.last_wins(linkage.link_series(markets, store.read("events")), snapshots.KEY, ["arrival"]).drop("arrival")
+    linked = _staged(merge.last_wins(linkage.link_series(markets, store.read("events")), snapshots.KEY, ["arrival"]).drop("arrival"))
     report = _one(linkage.link_report(linked))
     rows = linked
     if refresh_hours > 0:
@@ -129,10 +127,26 @@ def snapshot_job(store: Store, landed: str, now: datetime, refresh_hours: float
     return notes
 
 
-def _fold(store: Store, todo: DataFrame, trades: DataFrame, now: datetime, page_size: int, page_cap: int) -> None:
-    stats = tape.taker_stats(todo, trades, store.read("series"), page_size, page_cap, fallback=True)
-    rows = stats.withColumn("computed_at", F.lit(now))
-    store.tables["market_taker_stats"].upsert(rows.drop("result", "series_ticker", "fee_multiplier"))
+def _staged(rows: DataFrame) -> DataFrame:
+    """Rows written to the shared scratch folder: computed once, however often they are read."""
+    path = scratch_dir(rows.sparkSession, "staged")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _fold(store: Store, todo: DataFrame, trades: DataFrame, now: datetime, page_size: int, page_cap: int) -> dict:
+    """Fold the tapes of `todo` into the stats table; how many, and how many hit the cap."""
+    stats = _staged(tape.taker_stats(todo, trades, store.read("series"), page_size, page_cap, fallback=True)
+                    .drop("result", "series_ticker", "fee_multiplier"))
+    store.tables["market_taker_stats"].upsert(stats, defaults={"computed_at": F.lit(now)})
+    return _one(stats.agg(F.count("*").alias("aggregated"), F.count_if("truncated").alias("truncated")))
+
+
+def _store_settled(store: Store, rows: DataFrame, now: datetime, order: list[str]) -> DataFrame:
+    """Upsert settled markets; the first ingest time of a market stays. Returns the rows."""
+    batch = _staged(merge.last_wins(rows, ["ticker"], order).drop("mve_collection_ticker", *order))
+    store.tables["markets_terminal"].upsert(batch, defaults={"ingested_at": F.lit(now)})
+    return batch
 
 
 def sweep_job(store: Store, markets: DataFrame, trades: DataFrame, now: datetime, minimum_volume: float = 1,
@@ -145,17 +159,13 @@ def sweep_job(store: Store, markets: DataFrame, trades: DataFrame, now: datetime
     now = _utc(now)
     since = chunks.sweep_start(store.cursor("settled_sweep"), now)
     rows = ingest.recent_window(markets, store.read("events"), F.lit(since), F.lit(now), minimum_volume)
-    rows = rows.withColumn("ingested_at", F.lit(now)).drop("mve_collection_ticker")
-    store.tables["markets_terminal"].upsert(rows, order=["arrival"])
-    relink(store)
-    settled = store.read("markets_terminal").where(F.col("ingested_at") == F.lit(now))
-    todo = worklist.unfinished(settled.where(F.coalesce("volume", F.lit(0)) >= tape_minimum),
+    batch = _store_settled(store, rows, now, ["arrival"])
+    repaired = relink(store)
+    todo = worklist.unfinished(batch.where(F.coalesce("volume", F.lit(0)) >= tape_minimum),
                                store.read("market_taker_stats"))
-    before = store.read("market_taker_stats").count()
-    _fold(store, todo, trades, now, page_size, page_cap)
-    notes = {"markets": settled.count(), "aggregated": store.read("market_taker_stats").count() - before,
-             "since": since.isoformat()}
-    store.set_cursor("settled_sweep", now, now, **notes)
+    counts = _fold(store, todo, trades, now, page_size, page_cap)
+    notes = {"markets": batch.count(), **counts, "repaired": repaired}
+    store.set_cursor("settled_sweep", now, now, **notes, since=since.isoformat())
     return notes
 
 
@@ -188,17 +198,11 @@ def backfill_job(store: Store, archive: DataFrame | None, recent: DataFrame, tra
     if archive is not None:
         walked = ingest.archive_window(archive, events, scope, since).withColumn("source_rank", F.lit(1))
         rows = walked.unionByName(rows)
-    store.tables["markets_terminal"].upsert(rows.withColumn("ingested_at", F.lit(now)).drop("mve_collection_ticker"),
-                                            order=["source_rank", "arrival"])
+    _store_settled(store, rows, now, ["source_rank", "arrival"])
     repaired = relink(store)
     todo = worklist.pending_worklist(store.read("markets_terminal"), known, store.read("market_taker_stats"), since,
                                      minimum_volume, scope, exclude_categories)
-    before = store.read("market_taker_stats").count()
-    _fold(store, todo, trades, now, page_size, page_cap)
-    stats = store.read("market_taker_stats")
-    counts = _one(stats.agg(F.count("*").alias("n"),
-                            F.count_if(F.col("truncated") & (F.col("computed_at") == F.lit(now))).alias("truncated")))
-    notes = {"aggregated": counts["n"] - before, "truncated": counts["truncated"], "repaired": repaired}
+    notes = {**_fold(store, todo, trades, now, page_size, page_cap), "repaired": repaired}
     store.set_cursor("backfill", now, now, **notes, complete=True)
     return notes
 
@@ -209,9 +213,9 @@ def classify_job(store: Store, now: datetime, classify_all: bool = False, rechec
     terminal = None if classify_all else store.read("markets_terminal")
     rows = classify.candidates(store.read("series"), store.read("events"), store.read("series_tags"),
                                terminal, recheck, limit=limit)
-    tags = classify.classify(rows).withColumn("classified_at", F.lit(_utc(now)))
-    store.tables["series_tags"].upsert(tags)
-    return classify.tag_tally(store.read("series_tags").where(F.col("classified_at") == F.lit(_utc(now))))
+    tags = _staged(classify.classify(rows))
+    store.tables["series_tags"].upsert(tags, defaults={"classified_at": F.lit(_utc(now))})
+    return classify.tag_tally(tags)
 
 
 def prune_job(store: Store, now: datetime, days: float = retention.DAYS) -> dict:
