@@ -22,7 +22,10 @@ def _archive(spark: SparkSession, path: str) -> DataFrame:
     return landing.read_markets(landing.pages(spark, path, "markets", keep=["walked_series"]))
 
 
-def _trades(spark: SparkSession, live: str, archived: str | None) -> DataFrame:
+def _trades(spark: SparkSession, live: str | None, archived: str | None) -> DataFrame | None:
+    """Landed pages, or None for the trades kept in the store."""
+    if not live:
+        return None
     rows = landing.read_trades(landing.pages(spark, live, "trades"), "live")
     if archived:
         rows = rows.unionByName(landing.read_trades(landing.pages(spark, archived, "trades"), "archive"))
@@ -37,16 +40,20 @@ def parser() -> argparse.ArgumentParser:
     p = sub.add_parser("snapshot", help="series, events and one run of open markets")
     p.add_argument("--landed", required=True)
     p.add_argument("--refresh-hours", type=float, default=12)
+    p = sub.add_parser("trades", help="keep landed trades as Parquet")
+    p.add_argument("--landed", required=True)
+    p.add_argument("--batch", type=int, required=True)
+    p.add_argument("--origin", choices=["live", "archive"], default="live")
     p = sub.add_parser("sweep", help="settled markets since the cursor and their tapes")
     p.add_argument("--markets", required=True)
-    p.add_argument("--trades", required=True)
+    p.add_argument("--trades", help="landed pages (default: the store's trades)")
     p.add_argument("--archived-trades")
     p.add_argument("--minimum-volume", type=float, default=1)
     p.add_argument("--page-cap", type=int, default=50)
     p = sub.add_parser("backfill", help="archive and recent markets, then the pending tapes in scope")
     p.add_argument("--archive")
     p.add_argument("--markets", required=True)
-    p.add_argument("--trades", required=True)
+    p.add_argument("--trades", help="landed pages (default: the store's trades)")
     p.add_argument("--archived-trades")
     p.add_argument("--days", type=int, default=180)
     p.add_argument("--series", default="")
@@ -80,6 +87,8 @@ def run(spark: SparkSession, argv: list[str]) -> dict | DataFrame:
 
     if a.job == "snapshot":
         return jobs.snapshot_job(store, a.landed.rstrip("/"), now, a.refresh_hours)
+    if a.job == "trades":
+        return jobs.trades_job(store, a.landed, a.batch, a.origin)
     if a.job == "sweep":
         return jobs.sweep_job(store, _markets(spark, a.markets), _trades(spark, a.trades, a.archived_trades), now,
                               a.minimum_volume, page_cap=a.page_cap)

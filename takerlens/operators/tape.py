@@ -9,7 +9,7 @@ the join with markets then runs on one row per tape.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from takerlens.functions import trades as fill
 from takerlens.operators.filters import is_binary
 
+Stage = Callable[[DataFrame], DataFrame]
+
 PAGE_SIZE = 1000
 PAGE_CAP = 50
 ROWS_PER_SALT = 1_000_000
@@ -87,39 +89,40 @@ def merge_sums(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def capped_sums(trades: DataFrame, keys: Sequence[str], page_size: int = PAGE_SIZE, page_cap: int = PAGE_CAP,
-                tie_break: Sequence[str] = (), bucket: str = "hour") -> DataFrame:
+                tie_break: Sequence[str] = (), bucket: str = "hour", stage: Stage | None = None) -> DataFrame:
     """Sums over the newest `page_size * page_cap` screen trades of every tape.
 
     No tape is sorted as a whole. Sums per (tape, hour) show, added up newest
     first, which hours lie inside the cap and the one hour where it is reached;
     only that hour's trades are ranked, in salted groups sized by its count that
     each keep no more than the room left.
+
+    `stage` (a job's "write it to the shared folder and read it back") makes the
+    hourly sums a table and the edge hours one of known size; without it both
+    stay parts of one plan.
     """
     keys, cap = list(keys), page_size * page_cap
+    stage = stage or (lambda df: df)
     # Keyless trades belong to no tape. Saying so here, and not leaving it to the
     # later joins, also keeps both uses of the hourly sums below identical.
-    keyed = trades.where(F.col(keys[0]).isNotNull())
-    hourly = keyed.withColumn("_hour", F.date_trunc(bucket, F.col("created_time")))
-    per_hour = tape_sums(hourly, [*keys, "_hour"])
-    newest_first = (Window.partitionBy(*keys).orderBy(F.col("_hour").desc_nulls_last())
+    keyed = trades.where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
+    hour = F.coalesce(F.date_trunc(bucket, F.col("created_time")).cast("timestamp"), F.lit("1900-01-01").cast("timestamp"))
+    hourly = keyed.withColumn("_hour", hour)
+    newest_first = (Window.partitionBy(*keys).orderBy(F.col("_hour").desc())
                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = per_hour.withColumn("_through", F.sum("trades").over(newest_first)) \
-                     .withColumn("_before", F.col("_through") - F.col("trades"))
+    placed = stage(tape_sums(hourly, [*keys, "_hour"]).withColumn("_through", F.sum("trades").over(newest_first)))
     # Hours beyond the cap keep their block count: block trades take no page.
     whole = placed.select(*keys, *[
         F.expr(c if c == "block_trades" else f"CASE WHEN _through <= {cap} THEN {c} ELSE 0 END AS {c}") for c in SUMS])
     # `trades` is never negative, so the last condition always holds; it makes both
     # uses of the hourly sums read the same columns, and Spark computes them once.
-    edge = placed.where((F.col("_before") < cap) & (F.col("_through") > cap) & (F.greatest(*SUMS) >= 0)).select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_hour").alias("_edge"),
-        (F.lit(cap) - F.col("_before")).alias("_room"),
-        F.least(F.ceil(F.col("trades") / ROWS_PER_SALT), F.lit(MAX_SALTS)).alias("_salts"))
-    on = F.col("_hour").eqNullSafe(F.col("_edge"))
-    for i, k in enumerate(keys):
-        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    before = F.col("_through") - F.col("trades")
+    edge = stage(placed.where((before < cap) & (F.col("_through") > cap) & (F.greatest(*SUMS) >= 0)).select(
+        *keys, "_hour", (F.lit(cap) - before).alias("_room"),
+        F.least(F.ceil(F.col("trades") / ROWS_PER_SALT), F.lit(MAX_SALTS)).alias("_salts")))
     screen = hourly.where(~F.coalesce(F.col("is_block_trade"), F.lit(False)))
     order = [F.col("created_time").desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in tie_break]]
-    salted = screen.join(edge, on).withColumn(
+    salted = screen.join(edge, [*keys, "_hour"]).withColumn(
         "_salt", F.pmod(F.xxhash64("created_time", *tie_break, "count_fp"), F.col("_salts")))
     near = salted.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order))) \
                  .where(F.col("_rn") <= F.col("_room"))
@@ -176,10 +179,11 @@ def with_fee_multiplier(markets: DataFrame, series: DataFrame) -> DataFrame:
 def taker_stats(markets: DataFrame, trades: DataFrame, series: DataFrame | None = None,
                 page_size: int = PAGE_SIZE, page_cap: int | None = PAGE_CAP,
                 tie_break: Sequence[str] = ("trade_id",), fallback: bool = False,
-                strict: bool = True) -> DataFrame:
+                strict: bool = True, stage: Stage | None = None) -> DataFrame:
     """Fold every market's tape. `fallback` picks the archived tape where the live one is empty."""
     keys = ["ticker", "origin"] if fallback else ["ticker"]
-    sums = tape_sums(trades, keys) if page_cap is None else capped_sums(trades, keys, page_size, page_cap, tie_break)
+    sums = (tape_sums(trades, keys) if page_cap is None
+            else capped_sums(trades, keys, page_size, page_cap, tie_break, stage=stage))
     if fallback:
         sums = prefer_live(sums).drop("origin")
     wanted = markets.select("ticker", "result", *(["series_ticker"] if "series_ticker" in markets.columns else []))

@@ -1,4 +1,4 @@
-"""The five batch jobs over landed pages and a folder of tables.
+"""The batch jobs over landed pages and a folder of tables.
 
 Job metadata (counts, cursors) is the only thing that reaches the driver.
 """
@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from takerlens.operators import chunks, ingest, linkage, merge, retention, snapshots, tape, worklist
 from takerlens.plans import activity, bleed, classify, screen
 from takerlens.plans.screen import Thresholds
-from takerlens.session import scratch_dir
+from takerlens.session import scratch_dir, size_shuffles
 from takerlens.sources import landing
-from takerlens.sources.tables import KeyedTable, SnapshotTable
+from takerlens.sources.tables import BatchLog, KeyedTable, SnapshotTable
 
 SCHEMAS = {
     "series": ("series_ticker string, title string, category string, frequency string, tags array<string>, "
@@ -45,6 +45,12 @@ SNAPSHOTS = ("ticker string, run_ts timestamp, series_ticker string, event_ticke
              "yes_bid decimal(10,6), yes_ask decimal(10,6), no_bid decimal(10,6), no_ask decimal(10,6), "
              "last_price decimal(10,6), volume decimal(18,2), volume_24h decimal(18,2), open_interest decimal(18,2), "
              "liquidity decimal(18,6), price_level_structure string, close_time timestamp")
+TRADES = ("trade_id string, ticker string, count_fp decimal(18,2), yes_price_dollars decimal(10,6), "
+          "no_price_dollars decimal(10,6), taker_side string, taker_outcome_side string, is_block_trade boolean, "
+          "created_time timestamp, origin string, trade_date date")
+# A worklist up to this many keys (tens of megabytes) is sent to every executor to
+# select its trades; a longer one is joined after the fold instead.
+BROADCAST_KEYS = 500_000
 EVENT_COMPARE = ["series_ticker", "title", "category", "mutually_exclusive", "settlement_sources", "raw"]
 
 
@@ -56,11 +62,13 @@ class Store:
     path: str
     tables: dict[str, KeyedTable] = field(init=False)
     market_snapshots: SnapshotTable = field(init=False)
+    trades: BatchLog = field(init=False)
 
     def __post_init__(self) -> None:
         self.tables = {name: KeyedTable(self.spark, f"{self.path}/{name}", schema, keys)
                        for name, (schema, keys) in SCHEMAS.items()}
         self.market_snapshots = SnapshotTable(self.spark, f"{self.path}/market_snapshots", SNAPSHOTS)
+        self.trades = BatchLog(self.spark, f"{self.path}/trades", TRADES, ["origin", "trade_date"])
 
     def read(self, name: str) -> DataFrame:
         return self.tables[name].read()
@@ -136,12 +144,29 @@ def _staged(rows: DataFrame) -> DataFrame:
 
 def _fold(store: Store, todo: DataFrame, trades: DataFrame, now: datetime, page_size: int, page_cap: int) -> dict:
     """Fold the tapes of `todo` into the stats table; how many, and how many hit the cap."""
-    stats = _staged(tape.taker_stats(todo, trades, store.read("series"), page_size, page_cap, fallback=True)
+    size_shuffles(store.spark, trades)
+    todo = _staged(todo.select("ticker", "result", "series_ticker"))
+    if todo.count() <= BROADCAST_KEYS:
+        trades = trades.join(F.broadcast(todo.select("ticker")), "ticker", "left_semi")
+    stats = _staged(tape.taker_stats(todo, trades, store.read("series"), page_size, page_cap, fallback=True, stage=_staged)
                     .drop("result", "series_ticker", "fee_multiplier"))
     store.tables["market_taker_stats"].upsert(stats, defaults={"computed_at": F.lit(now)})
     return _one(stats.agg(F.count("*").alias("aggregated"), F.count_if("truncated").alias("truncated")))
 
 
+def trades_job(store: Store, landed: str, batch: int, origin: str = "live", multi_line: bool = False) -> dict:
+    """Keep landed trades as Parquet by origin and day, ordered by market inside a file.
+
+    Landing a batch again replaces it, so tapes can be folded any number of times
+    without reading JSON.
+    """
+    rows = landing.read_trades(landing.pages(store.spark, landed, "trades", multi_line), origin)
+    rows = merge.last_wins(rows, ["trade_id"], ["arrival"]).drop("arrival").withColumn("trade_date", F.to_date("created_time"))
+    spread = rows.hint("rebalance", "origin", "trade_date").sortWithinPartitions("origin", "trade_date", "ticker")
+    store.trades.write(spread, batch)
+    return {"trades": store.trades.read().where(F.col("batch_id") == batch).count()}
+
+
 def _store_settled(store: Store, rows: DataFrame, now: datetime, order: list[str]) -> DataFrame:
     """Upsert settled markets; the first ingest time of a market stays. Returns the rows."""
     batch = _staged(merge.last_wins(rows, ["ticker"], order).drop("mve_collection_ticker", *order))
@@ -149,12 +174,13 @@ def _store_settled(store: Store, rows: DataFrame, now: datetime, order: list[str
     return batch
 
 
-def sweep_job(store: Store, markets: DataFrame, trades: DataFrame, now: datetime, minimum_volume: float = 1,
+def sweep_job(store: Store, markets: DataFrame, trades: DataFrame | None, now: datetime, minimum_volume: float = 1,
               tape_minimum: float = 1, page_size: int = tape.PAGE_SIZE, page_cap: int = tape.PAGE_CAP) -> dict:
     """Settled markets since the cursor, relinked, and the tapes not folded yet.
 
     The whole range is one plan: Spark's tasks are the unit of retry, so time
     windows serve the report only. The cursor moves when everything is written.
+    `trades` defaults to the store's own.
     """
     now = _utc(now)
     since = chunks.sweep_start(store.cursor("settled_sweep"), now)
@@ -163,7 +189,7 @@ def sweep_job(store: Store, markets: DataFrame, trades: DataFrame, now: datetime
     repaired = relink(store)
     todo = worklist.unfinished(batch.where(F.coalesce("volume", F.lit(0)) >= tape_minimum),
                                store.read("market_taker_stats"))
-    counts = _fold(store, todo, trades, now, page_size, page_cap)
+    counts = _fold(store, todo, store.trades.read() if trades is None else trades, now, page_size, page_cap)
     notes = {"markets": batch.count(), **counts, "repaired": repaired}
     store.set_cursor("settled_sweep", now, now, **notes, since=since.isoformat())
     return notes
@@ -178,7 +204,7 @@ def relink(store: Store) -> int:
     return n
 
 
-def backfill_job(store: Store, archive: DataFrame | None, recent: DataFrame, trades: DataFrame, now: datetime,
+def backfill_job(store: Store, archive: DataFrame | None, recent: DataFrame, trades: DataFrame | None, now: datetime,
                  days: int = 180, series: list[str] | None = None, from_screen: bool = False,
                  exclude_categories: list[str] | None = None, minimum_volume: float = 1,
                  page_size: int = tape.PAGE_SIZE, page_cap: int = tape.PAGE_CAP,
@@ -202,7 +228,7 @@ def backfill_job(store: Store, archive: DataFrame | None, recent: DataFrame, tra
     repaired = relink(store)
     todo = worklist.pending_worklist(store.read("markets_terminal"), known, store.read("market_taker_stats"), since,
                                      minimum_volume, scope, exclude_categories)
-    notes = {**_fold(store, todo, trades, now, page_size, page_cap), "repaired": repaired}
+    notes = {**_fold(store, todo, store.trades.read() if trades is None else trades, now, page_size, page_cap), "repaired": repaired}
     store.set_cursor("backfill", now, now, **notes, complete=True)
     return notes
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Every job assumes UTC, ANSI errors and runtime re-planning. Skewed shuffle
 # partitions of a lookup join (a hot event, or NULL keys) are split by AQE.
@@ -49,3 +49,14 @@ def scratch_dir(spark: SparkSession, prefix: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="takerlens-")
     return f"{base.rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+
+
+def size_shuffles(spark: SparkSession, *inputs: DataFrame, partition_bytes: int = 128 << 20, most: int = 100_000) -> int:
+    """Raise `spark.sql.shuffle.partitions` so that shuffling the inputs makes partitions of bounded size.
+
+    Sizes are Catalyst's estimates of the inputs; AQE merges what turns out small.
+    """
+    total = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
+    n = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // partition_bytes)), most)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

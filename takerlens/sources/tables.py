@@ -70,11 +70,11 @@ class KeyedTable:
 class BatchLog:
     """Append-only rows below `batch_id=`; a repeated batch overwrites itself."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    def __init__(self, spark: SparkSession, path: str, schema: str, partition_by: Sequence[str] = ()):
+        self.spark, self.path, self.schema, self.partition_by = spark, path.rstrip("/"), schema, list(partition_by)
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/batch_id={batch_id}")
 
     def read(self) -> DataFrame:
         """All rows with their `batch_id`."""

@@ -129,10 +129,33 @@ def test_command_line(world):
     base = ["--store", str(root / "store3"), "--as-of", "2026-08-09T12:00:30+00:00"]
     assert run(spark, [*base, "snapshot", "--landed", feed(root / "land5", opened)])["written"] == 3
     pages = land(root / "m5", "markets", [settled("A", "E1", 3)])
-    tapes = land(root / "t5", "trades", [tape("A", 1)])
-    assert run(spark, [*base, "sweep", "--markets", pages, "--trades", tapes])["aggregated"] == 1
+    tapes = land(root / "t5", "trades", [tape("A", 1), tape("A", 1), tape("A", 2)])
+    for _ in range(2):
+        assert run(spark, [*base, "trades", "--landed", tapes, "--batch", "7"]) == {"trades": 2}
+    assert run(spark, [*base, "sweep", "--markets", pages])["aggregated"] == 1
+    assert jobs.Store(spark, base[1]).read("market_taker_stats").first().trades == 2
     assert run(spark, [*base, "classify"]).count() == 1
     assert run(spark, [*base, "screen", "--n-settled", "1", "--out", str(root / "out5")]).count() == 1
     assert spark.read.parquet(str(root / "out5")).count() == 1
     assert run(spark, [*base, "funnel"]).first().series_total == 2
     assert run(spark, [*base, "prune"]) == {"removed": 0}
+
+
+def test_long_worklists_are_joined_after_the_fold(world, monkeypatch):
+    spark, root, _, opened, _ = world
+    monkeypatch.setattr(jobs, "BROADCAST_KEYS", 0)
+    store = jobs.Store(spark, str(root / "store6"))
+    markets = landing.read_markets(landing.pages(spark, land(root / "m6", "markets", [settled("A", "E1", 3)]), "markets"))
+    trades = trades_of(spark, root, "t6", [tape("A", i) for i in range(7)] + [tape("B", 1)])
+    assert jobs.sweep_job(store, markets, trades, NOW, page_size=2, page_cap=2)["truncated"] == 1
+    assert [(r.ticker, r.trades) for r in store.read("market_taker_stats").collect()] == [("A", 4)]
+
+
+def test_shuffles_grow_with_the_input(spark, tmp_path):
+    from takerlens.session import size_shuffles
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, spark.range(10)) == int(old)
+        assert size_shuffles(spark, spark.range(10_000), partition_bytes=1000) == 80
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
