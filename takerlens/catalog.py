@@ -31,7 +31,7 @@ _QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-    _QUERIES[fn.__name__] = lambda spark, folder: plain(fn(Tables(spark, folder)))
+    _QUERIES[fn.__name__.rstrip("_")] = lambda spark, folder: plain(fn(Tables(spark, folder)))
     return fn
 
 
@@ -181,7 +181,7 @@ def page_host_match(t: Tables) -> DataFrame:
 # --- screen and diagnostics -------------------------------------------------
 
 @query
-def screen_ranked(t: Tables) -> DataFrame:
+def screen_(t: Tables) -> DataFrame:
     return screen.screen(t.series(), _tags(t), _activity(t), _bleed(t), LIMITS)
 
 
@@ -203,6 +203,11 @@ def ground_truth(t: Tables) -> DataFrame:
     return truth.withColumn("passes", F.col("passes").cast("string"))
 
 
+@query
+def ground_truth_report(t: Tables) -> DataFrame:
+    return screen.ground_truth_report(screen.ground_truth(t.series(), _tags(t), ["S1", "S2", "S5"]))
+
+
 @query
 def ingest_health(t: Tables) -> DataFrame:
     stamped = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("ticker") % 720).cast("int"))
@@ -302,7 +307,7 @@ def dedupe_last_wins(t: Tables) -> DataFrame:
 # --- snapshots --------------------------------------------------------------
 
 @query
-def snapshot_replay(t: Tables) -> DataFrame:
+def snapshot_skip_unchanged(t: Tables) -> DataFrame:
     """All hourly runs replayed with a 12 h refresh: the rows that get written."""
     return snapshots.skip_unchanged(t.states(), None, 12, ARRIVAL, ["series_ticker", "status"]) \
                     .select("ticker", "run_ts", "status")
@@ -436,6 +441,11 @@ def source_coverage(t: Tables) -> DataFrame:
     return quality.source_coverage(_tags(t))
 
 
+@query
+def coverage_floor(t: Tables) -> DataFrame:
+    return quality.coverage_floor(_tags(t), floor=10)
+
+
 # --- streams: the result after the last batch --------------------------------
 
 @query

@@ -284,7 +284,7 @@ def statements() -> dict[str, str]:
         SELECT page_id, host, host = 'example.org' OR host LIKE '%.example.org' AS is_org,
                host IN ('example.com', 'example.net') OR host LIKE '%.example.com' OR host LIKE '%.example.net' AS is_com_or_net
         FROM h"""
-    sql["screen_ranked"] = _with("tags act bleed", f"""
+    sql["screen"] = _with("tags act bleed", f"""
         SELECT t.series_ticker, title, category, frequency, settlement_source_type, benchmark, recurrence,
                scrape_difficulty, open_markets, live_markets, breadth, {_six('top_share', 'top_market_share')},
                {_six('sum_volume', 'sum_vol24h_latest')}, {_six('med_spread', 'med_spread_cents')}, n_settled,
@@ -316,6 +316,14 @@ def statements() -> dict[str, str]:
                                     WHERE n_regionkey <> 3) t USING (series_ticker)
         WHERE (s.series_ticker LIKE 'S1%' OR s.series_ticker LIKE 'S2%' OR s.series_ticker LIKE 'S5%')
           AND s.category = 'Climate and Weather'""")
+    sql["ground_truth_report"] = _with("tags", """
+        SELECT count(*) AS n, count(*) FILTER (ok) AS n_passing, count(*) FILTER (NOT ok) <= 1 AS ok
+        FROM (SELECT settlement_source_type = 'scrapable_numeric_feed' AND benchmark = 'none'
+                     AND recurrence = 'recurring' AS ok FROM tags
+              WHERE left(series_ticker, 2) IN ('S1', 'S2', 'S5') AND category = 'Climate and Weather')""")
+    sql["coverage_floor"] = _with("tags", """
+        SELECT count(*) AS usable, count(*) >= 10 AS ok FROM tags
+        WHERE settlement_source_type IN ('scrapable_numeric_feed', 'official_report')""")
     stamp = "TIMESTAMP '2024-01-01' + CAST(ticker % 720 AS INTEGER) * INTERVAL 1 HOUR"
     sql["ingest_health"] = _with("px_snapshots px_terminal px_trades", f"""
         , clock AS (SELECT max(run_ts) + INTERVAL 90 MINUTE AS now FROM px_snapshots),
@@ -373,7 +381,7 @@ def statements() -> dict[str, str]:
                {_six('n', 'count_fp')}
         FROM px_trades QUALIFY row_number() OVER (PARTITION BY ticker, trade_no
              ORDER BY created DESC, part_no DESC, supp_no DESC, n DESC) = 1""")
-    sql["snapshot_replay"] = _with("states", f"SELECT ticker, {_ts('run_ts')}, status FROM walk", REPLAY)
+    sql["snapshot_skip_unchanged"] = _with("states", f"SELECT ticker, {_ts('run_ts')}, status FROM walk", REPLAY)
     daily = REPLAY.replace("OR n.series_ticker IS DISTINCT FROM w.series_ticker", "").replace("12 HOUR", "60 HOUR")
     sql["stream_snapshots"] = _with("days", f"SELECT ticker, {_ts('run_ts')}, status FROM walk",
                                     daily.replace("states", "days"))

@@ -1,7 +1,6 @@
 """Run a query and its SQL over the same tables and compare every value."""
 
 import math
-import os
 
 import duckdb
 
