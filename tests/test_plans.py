@@ -53,10 +53,10 @@ def test_last_wins_combines_before_the_shuffle(spark):
 
 
 def test_hourly_sums_are_computed_once(spark, tmp_path):
-    """Both uses inside the capped fold read one shuffle."""
+    """Both uses inside the capped fold read one shuffle (over stored tables)."""
     t = Tables(spark, FOLDER.replace("0.001", "0.01"))
     t.trades().write.parquet(str(tmp_path / "t"))
-    markets = t.terminal()
-    df = tape.taker_stats(markets, spark.read.parquet(str(tmp_path / "t")), t.series(), 2, 3, TRADE_ORDER)
+    t.terminal().write.parquet(str(tmp_path / "m"))
+    df = tape.taker_stats(spark.read.parquet(str(tmp_path / "m")), spark.read.parquet(str(tmp_path / "t")), t.series(), 2, 3, TRADE_ORDER)
     df.collect()
     assert "ReusedExchange" in plan_of(df)
