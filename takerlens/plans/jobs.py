@@ -112,7 +112,8 @@ def snapshot_job(store: Store, landed: str, now: datetime, refresh_hours: float
     spark, now = store.spark, _utc(now)
     moment = F.lit(now)
     series = landing.read_series(landing.pages(spark, f"{landed}/series", "series", multi_line), moment)
-    store.tables["series"].upsert(series, order=["arrival"], defaults={"first_seen": moment})
+    series = _staged(merge.last_wins(series, ["series_ticker"], ["arrival"]).drop("arrival"))
+    store.tables["series"].upsert(series, defaults={"first_seen": moment})
 
     events = landing.read_events(landing.pages(spark, f"{landed}/events", "events", multi_line), moment)
     stored = store.read("events")
@@ -120,7 +121,7 @@ def snapshot_job(store: Store, landed: str, now: datetime, refresh_hours: float
     counts = _one(merge.write_stats(actions))
     if counts["inserted"] or counts["updated"]:
         fresh = actions.where(F.col("action") != "unchanged").drop("action")
-        store.tables["events"].write(merge.upsert(stored, fresh, ["event_ticker"]))
+        store.tables["events"].upsert(fresh)
 
     markets = landing.read_snapshots(landing.pages(spark, f"{landed}/markets", "markets", multi_line), moment)
     linked = _staged(merge.last_wins(linkage.link_series(markets, store.read("events")), snapshots.KEY, ["arrival"]).drop("arrival"))
@@ -196,11 +197,12 @@ def sweep_job(store: Store, markets: DataFrame, trades: DataFrame | None, now: d
 
 
 def relink(store: Store) -> int:
-    """Fill missing series links; the table is rewritten only when some can be filled."""
-    fixed = linkage.repair_links(store.read("markets_terminal"), store.read("events"))
-    n = fixed.where("repaired").count()
+    """Fill missing series links; only the markets that can be filled are written."""
+    unlinked = store.read("markets_terminal").where(F.col("series_ticker").isNull())
+    fixed = _staged(linkage.repair_links(unlinked, store.read("events")).where("repaired").drop("repaired"))
+    n = fixed.count()
     if n:
-        store.tables["markets_terminal"].write(fixed.drop("repaired"))
+        store.tables["markets_terminal"].upsert(fixed)
     return n
 
 

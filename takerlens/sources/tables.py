@@ -1,8 +1,8 @@
 """Tables kept as Parquet folders on the cluster's shared file system.
 
-A keyed table is written as whole generations: the next one is complete before
-readers see it, so a lost executor or driver never leaves half a table. Log
-tables take appends keyed by a batch id; writing a batch again replaces it.
+Nothing is visible before it is complete, so a lost executor or driver never
+leaves half a table. Log tables take appends keyed by a batch id; writing a batch
+again replaces it.
 """
 
 from __future__ import annotations
@@ -40,31 +40,73 @@ def _minute(moment: Column) -> Column:
 
 
 class KeyedTable:
-    """One row per key, rewritten generation by generation."""
+    """One row per key: a base and the upserts since, merged when read.
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], keep: int = 2):
-        self.spark, self.path, self.schema, self.keys, self.keep = spark, path.rstrip("/"), schema, list(keys), keep
+        gen=<g>/base/        whole table
+        gen=<g>/delta=<n>/   full rows of the keys one upsert wrote
 
-    def _complete(self) -> list[str]:
-        names = _children(self.spark, self.path, "gen=")
-        return [n for n in names if _exists(self.spark, f"{self.path}/{n}/_SUCCESS")]
+    An upsert writes only its own keys. Reading drops the written keys from the
+    base (an anti join that Catalyst broadcasts while the deltas are small, so
+    the base is not shuffled) and adds their last rows. After `max_deltas`
+    upserts the table is rewritten as the next generation. A folder counts only
+    once its `_SUCCESS` file is there.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str],
+                 max_deltas: int = 8, keep: int = 2):
+        self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, list(keys)
+        self.max_deltas, self.keep = max_deltas, keep
+
+    def _complete(self, folder: str, prefix: str, inside: str = "") -> list[str]:
+        return [n for n in _children(self.spark, folder, prefix)
+                if _exists(self.spark, f"{folder}/{n}{inside}/_SUCCESS")]
+
+    def _generations(self) -> list[str]:
+        return self._complete(self.path, "gen=", "/base")
+
+    def _deltas(self, generation: str) -> list[str]:
+        return self._complete(f"{self.path}/{generation}", "delta=")
+
+    def _empty(self) -> DataFrame:
+        return self.spark.createDataFrame([], self.schema)
 
     def read(self) -> DataFrame:
-        done = self._complete()
-        reader = self.spark.read.schema(self.schema)
-        return reader.parquet(f"{self.path}/{done[-1]}") if done else self.spark.createDataFrame([], self.schema)
+        done = self._generations()
+        if not done:
+            return self._empty()
+        folder = f"{self.path}/{done[-1]}"
+        base = self.spark.read.schema(self.schema).parquet(f"{folder}/base")
+        names = self._deltas(done[-1])
+        if not names:
+            return base
+        deltas = (self.spark.read.schema(f"{self.schema}, delta int").option("basePath", folder)
+                  .parquet(*[f"{folder}/{n}" for n in names]))
+        last = deltas if len(names) == 1 else last_wins(deltas, self.keys, ["delta"])
+        kept = base.join(deltas.select(*self.keys), self.keys, "left_anti")
+        return kept.select(*base.columns).unionByName(last.select(*base.columns))
 
     def write(self, rows: DataFrame) -> None:
         """Publish the next generation and drop the oldest ones."""
-        done = self._complete()
+        done = self._generations()
         number = int(done[-1].split("=")[1]) + 1 if done else 0
-        columns = self.spark.createDataFrame([], self.schema).columns
-        rows.select(*columns).write.mode("overwrite").parquet(f"{self.path}/gen={number:09d}")
+        rows.select(*self._empty().columns).write.mode("overwrite").parquet(f"{self.path}/gen={number:09d}/base")
         for name in done[: max(0, len(done) + 1 - self.keep)]:
             _delete(self.spark, f"{self.path}/{name}")
 
-    def upsert(self, rows: DataFrame, **options) -> None:
-        self.write(upsert(self.read(), rows, self.keys, **options))
+    def upsert(self, rows: DataFrame, order: Sequence[str] | None = None, **options) -> None:
+        """Insert or overwrite the rows' keys (see `merge.upsert`); other rows are not touched."""
+        columns = self._empty().columns
+        if order:
+            rows = last_wins(rows, self.keys, order).drop(*[c for c in order if c not in columns])
+        done = self._generations()
+        if not done:
+            return self.write(upsert(self._empty(), rows, self.keys, **options))
+        known = self.read().join(rows.select(*self.keys), self.keys, "left_semi").select(*columns)
+        number = max([int(n.split("=")[1]) for n in self._deltas(done[-1])], default=-1) + 1
+        upsert(known, rows, self.keys, **options).write.mode("overwrite").parquet(
+            f"{self.path}/{done[-1]}/delta={number:06d}")
+        if number + 1 >= self.max_deltas:
+            self.write(self.read())
 
 
 class BatchLog:

@@ -36,6 +36,15 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     assert "result" not in scan.split("ReadSchema:")[1]
 
 
+def test_snapshot_window_reaches_the_scan(spark, tmp_path):
+    from datetime import datetime
+
+    from takerlens.operators.snapshots import latest_snapshot
+    Tables(spark, FOLDER).snapshots().write.parquet(str(tmp_path / "s"))
+    plan = plan_of(latest_snapshot(spark.read.parquet(str(tmp_path / "s")), F.lit(datetime(2024, 1, 30)).cast("timestamp_ntz")))
+    assert "GreaterThan(run_ts,2024-01-29T00:00)" in plan
+
+
 def test_trades_meet_markets_only_as_sums(spark):
     """The tape is aggregated before any join, with a map-side half."""
     t = Tables(spark, FOLDER)
@@ -60,3 +69,23 @@ def test_hourly_sums_are_computed_once(spark, tmp_path):
     df = tape.taker_stats(spark.read.parquet(str(tmp_path / "m")), spark.read.parquet(str(tmp_path / "t")), t.series(), 2, 3, TRADE_ORDER)
     df.collect()
     assert "ReusedExchange" in plan_of(df)
+
+
+def test_hot_events_are_split(spark):
+    """A lookup too big to broadcast: AQE splits the partition of the hot key."""
+    from takerlens.operators.linkage import link_series
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        markets = spark.range(200_000).selectExpr("id AS ticker", "if(id % 3 = 0, 7, id) AS event_ticker").repartition(8)
+        events = spark.range(50_000).selectExpr("id AS event_ticker", "concat('S', id % 9) AS series_ticker")
+        linked = link_series(markets, events)
+        rows = linked.collect()
+        assert "skew=true" in plan_of(linked) and len(rows) == 200_000
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
