@@ -38,9 +38,10 @@ def main() -> None:
                           spark__sql__shuffle__partitions=cpus, spark__ui__showConsoleProgress="false",
                           spark__sql__files__maxPartitionBytes="8MB", spark__checkpoint__dir=scratch)
     spark.sparkContext.setLogLevel("ERROR")
-    for n in names:  # compile and warm up
-        run(spark, folder, n)
-    times = {n: round(run(spark, folder, n), 3) for n in names}
+    times = {}
+    for n in names:
+        run(spark, folder, n)  # compile and warm up
+        times[n] = round(run(spark, folder, n), 3)
     spark.stop()
     shutil.rmtree(scratch, ignore_errors=True)
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",

@@ -132,11 +132,15 @@ def capped_sums(trades: DataFrame, keys: Sequence[str], page_size: int = PAGE_SI
 
 
 def prefer_live(sums: DataFrame, key: str = "ticker", origin: str = "origin", live: str = "live") -> DataFrame:
-    """One tape per market: the live one unless it holds no screen trade, else the archived one."""
-    usable = sums.where((F.col("trades") > 0) | (F.col(origin) != live))
-    rest = [c for c in sums.columns if c != key]
-    picked = usable.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(origin) == live).alias("_t"))
-    return picked.select(key, "_t.*")
+    """One tape per market: the live one unless it holds no screen trade, else the archived one.
+
+    `origin` tells which was taken. The other tape adds nothing, not even block counts.
+    """
+    both = sums.groupBy(key).agg(*[
+        F.expr(f"sum(CASE WHEN {origin} {test} '{live}' THEN {c} ELSE 0 END) AS {side}_{c}")
+        for c in SUMS for side, test in (("l", "="), ("a", "<>"))])
+    picked = [F.expr(f"CASE WHEN l_trades > 0 THEN l_{c} ELSE a_{c} END AS {c}") for c in SUMS]
+    return both.select(key, F.expr(f"CASE WHEN l_trades > 0 THEN '{live}' ELSE 'archive' END AS {origin}"), *picked)
 
 
 def score(markets: DataFrame, sums: DataFrame, page_size: int = PAGE_SIZE,

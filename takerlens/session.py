@@ -18,6 +18,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3.0",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # A session runs many queries; the default of 100 would compile them again and again.
+    "spark.sql.codegen.cache.maxEntries": "2000",
     # Call-site capture costs several driver round trips per column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":

@@ -124,7 +124,7 @@ def test_fallback_takes_the_whole_archived_tape(spark):
             trade(5, "C", yes="0.5", block=True, origin="live")]
     sums = tape.prefer_live(tape.tape_sums(spark.createDataFrame(rows, TRADES), ["ticker", "origin"]))
     got = {r.ticker: (r.origin, r.size, r.block_trades) for r in sums.collect()}
-    assert got == {"A": ("live", 100, 0), "B": ("archive", 300, 0)}
+    assert got == {"A": ("live", 100, 0), "B": ("archive", 300, 0), "C": ("archive", 0, 0)}
 
 
 def test_bleed_and_exclusions(spark):
