@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from takerlens import catalog, oracle
 from tests.compare import compare, duck
 
 FOLDER = "/root/testdata/sf0.001"
@@ -17,13 +18,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.statements())
 
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_sql(spark, con, name):
-    assert compare(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name]) is None
+    assert compare(catalog.queries()[name](spark, FOLDER), con, oracle.statements()[name]) is None
