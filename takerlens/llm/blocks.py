@@ -4,11 +4,13 @@ What depends only on a distinct value (a word's token ids, its count in the corp
 value, not once per use. Documents are cut into blocks of bounded size as they are scanned. A block yields
 
 * one payload: its documents with values replaced by indices into the block's vocabulary, compressed,
-* one row (block, idx, chunk) per distinct value.
+* one row per distinct value.
 
-Distinct values of all blocks meet in one shuffle, where a value has at most one row a block, so no value is hot. What
-was worked out goes back to the blocks by number, and each block is finished on its own. Texts are never shuffled.
-Blocks are staged: their numbers come from the scan's tasks, and a second scan could cut them elsewhere.
+Distinct values of all blocks meet in one shuffle, where a value has at most one row a block, so no value is hot. The
+answers go back to the blocks by number, and each block is finished on its own. Texts are never shuffled.
+
+A block is named by the scan task that cut it, so the documents must come in the same order when a lost task is run
+again: from a stored table, not from a shuffle.
 """
 
 from __future__ import annotations
@@ -21,17 +23,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from takerlens.llm.staging import staged
-
 BLOCK_BYTES = 24 << 20
-SCHEMA = "block long, payload binary, idx int, chunk binary, weight long"
-_ARROW = pa.schema([("block", pa.int64()), ("payload", pa.binary()), ("idx", pa.int32()), ("chunk", pa.binary()),
-                    ("weight", pa.int64())])
+PAYLOAD = -1
+CUT = "block long, idx int, chunk binary, weight long"
+_CUT = pa.schema([("block", pa.int64()), ("idx", pa.int32()), ("chunk", pa.binary()), ("weight", pa.int64())])
+ANSWERED = "block long, payload binary, idx binary, size binary, flat binary"
+_ANSWERED = pa.schema([("block", pa.int64()), *((x, pa.binary()) for x in ("payload", "idx", "size", "flat"))])
 _ROWS = 100_000
 
 
 class Vocabulary(dict):
-    """Numbers each distinct key in order of first use: `map(vocabulary.__getitem__, keys)`."""
+    """Numbers each distinct key in order of first use."""
 
     def __missing__(self, key):
         self[key] = n = len(self)
@@ -52,77 +54,147 @@ def unpacked(payload: bytes) -> pa.Table:
     return pa.ipc.open_stream(payload).read_all()
 
 
+def id_type(docs: DataFrame) -> str:
+    return docs.select("doc_id").schema[0].dataType.simpleString()
+
+
 def id_and_bytes(docs: DataFrame) -> DataFrame:
     """`doc_id` and the text in UTF-8; NULL texts become empty. Other columns are not read."""
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
 
-def cut(docs: DataFrame, read: Callable, name: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Staged blocks of `docs`.
+def cut(docs: DataFrame, read: Callable, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Rows of `CUT`: for each block its payload (idx -1) and its vocabulary.
 
     `read(ids, texts)` gets a block's ids (Arrow array) and texts (bytes) and returns (payload table, chunks, weights);
     chunks are bytes or text in index order, weights a list of numbers or None.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, n = TaskContext.get().partitionId() << 32, 0
-        ids: list = []
-        texts: list[bytes] = []
-        size = 0
+        first = n = TaskContext.get().partitionId() << 32
+        ids, texts, size = [], [], 0
         for batch in batches:
+            kind = batch.column(0).type
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids.append(doc_id)
                 texts.append(text)
                 size += len(text)
                 if size >= block_bytes:
-                    yield from emit(base + n, ids, texts)
+                    yield from block(n, pa.array(ids, kind), texts)
                     ids, texts, size, n = [], [], 0, n + 1
         if ids:
-            yield from emit(base + n, ids, texts)
+            yield from block(n, pa.array(ids, kind), texts)
+        assert n - first < 1 << 32
 
-    def emit(block: int, ids: list, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        data, chunks, weights = read(pa.array(ids, id_type), texts)
-        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([packed(data)], pa.binary()),
-                                          pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64())],
-                                         schema=_ARROW)
+    def block(number: int, ids: pa.Array, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        data, chunks, weights = read(ids, texts)
+        yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([PAYLOAD], pa.int32()),
+                                          pa.array([packed(data)], pa.binary()), pa.nulls(1, pa.int64())], schema=_CUT)
         for lo in range(0, len(chunks), _ROWS):
             part = chunks[lo:lo + _ROWS]
-            k = len(part)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(k, block)), pa.nulls(k, pa.binary()), pa.array(np.arange(lo, lo + k, dtype=np.int32)),
+                pa.array(np.full(len(part), number)), pa.array(np.arange(lo, lo + len(part), dtype=np.int32)),
                 pa.array(part, pa.binary()),
-                pa.nulls(k, pa.int64()) if weights is None else pa.array(weights[lo:lo + k], pa.int64())], schema=_ARROW)
-
-    id_type = pa.from_numpy_dtype(np.int64) if dict(docs.dtypes)["doc_id"] == "bigint" else _arrow_type(docs)
-    return staged(id_and_bytes(docs).mapInArrow(rows, SCHEMA), name)
-
-
-def _arrow_type(docs: DataFrame) -> pa.DataType:
-    return {"int": pa.int32(), "smallint": pa.int16(), "string": pa.string()}[dict(docs.dtypes)["doc_id"]]
+                pa.nulls(len(part), pa.int64()) if weights is None else pa.array(weights[lo:lo + _ROWS], pa.int64())],
+                schema=_CUT)
 
+    return id_and_bytes(docs).mapInArrow(rows, CUT)
 
-def vocabulary(blocks: DataFrame) -> DataFrame:
-    return blocks.where(F.col("chunk").isNotNull()).select("block", "idx", "chunk", "weight")
 
+def answered(rows: DataFrame, answer: Callable) -> DataFrame:
+    """Rows of `ANSWERED` for `cut` rows: payloads as they are, and each block's values for its vocabulary.
 
-def resolved(blocks: DataFrame, values: DataFrame) -> DataFrame:
-    """Each block's (block, idx) with the value columns of its chunk; `values` has one row per chunk."""
-    return vocabulary(blocks).drop("weight").join(values, "chunk").drop("chunk")
-
-
-def finished(blocks: DataFrame, values: DataFrame, finish: Callable, schema: str) -> DataFrame:
-    """`finish(documents of a block, its values ordered by idx)` for each block, as rows of `schema`."""
-
-    def block(left: pa.Table, right: pa.Table) -> pa.Table:
-        order = np.argsort(right.column("idx").to_numpy()) if right.num_rows else np.empty(0, np.int64)
-        return finish(unpacked(left.column("payload")[0].as_py()), right.take(order))
+    `answer(chunks, weights)` gets distinct chunks with their weights summed over all blocks, each chunk once in all, and
+    returns a size per chunk and the values (as many as the sizes say, or none where the size is all there is).
+    """
 
-    data = blocks.where(F.col("payload").isNotNull()).select("block", "payload")
-    values = values.withColumnRenamed("block", "of_block")
-    return data.groupBy("block").cogroup(values.groupBy("of_block")).applyInArrow(block, schema)
+    def lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            waiting.append(batch)
+            if sum(x.num_rows for x in waiting) >= 4 * _ROWS:
+                done, left = _whole_runs(pa.Table.from_batches(waiting))
+                yield from ask(done)
+                waiting = left.to_batches()
+        if waiting:
+            yield from ask(pa.Table.from_batches(waiting))
+
+    def ask(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        if not table.num_rows:
+            return
+        idx = table.column("idx").to_numpy()
+        for row in np.flatnonzero(idx == PAYLOAD).tolist():
+            yield pa.RecordBatch.from_arrays([table.column("block")[row:row + 1].combine_chunks(),
+                                              table.column("chunk")[row:row + 1].combine_chunks(),
+                                              *[pa.nulls(1, pa.binary())] * 3], schema=_ANSWERED)
+        words = table.filter(pa.array(idx != PAYLOAD))
+        if not words.num_rows:
+            return
+        chunks = words.column("chunk").to_pylist()
+        new = np.fromiter((a != b for a, b in zip(chunks[1:], chunks)), bool, len(chunks) - 1)
+        first = np.concatenate([[0], np.flatnonzero(new) + 1])
+        weights = np.add.reduceat(words.column("weight").fill_null(0).to_numpy(), first)
+        size, flat = answer([chunks[i] for i in first.tolist()], weights)
+        of = np.concatenate([[0], np.cumsum(new)])
+        yield from _by_block(words.column("block").to_numpy(), words.column("idx").to_numpy(), of, size, flat)
+
+    return rows.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(lookup, ANSWERED)
+
+
+def _whole_runs(table: pa.Table) -> tuple[pa.Table, pa.Table]:
+    """Cut where the last chunk's rows begin: more of them may follow."""
+    chunk = table.column("chunk")
+    last, n = chunk[-1], table.num_rows
+    while n and chunk[n - 1] == last:
+        n -= 1
+    return table.slice(0, n), table.slice(n)
+
+
+def _by_block(block: np.ndarray, idx: np.ndarray, of: np.ndarray, size: np.ndarray, flat: np.ndarray | None):
+    order = np.argsort(block, kind="stable")
+    bounds = np.flatnonzero(np.diff(block[order], prepend=-1, append=-1))
+    size = np.asarray(size, np.int64)
+    starts = np.cumsum(size) - size
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        rows = order[lo:hi]
+        values = b"" if flat is None else ragged(flat, starts, size, of[rows]).astype(np.int32).tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(block[rows[:1]]), pa.nulls(1, pa.binary()), pa.array([idx[rows].tobytes()], pa.binary()),
+             pa.array([size[of[rows]].tobytes()], pa.binary()), pa.array([values], pa.binary())], schema=_ANSWERED)
+
+
+def finished(rows: DataFrame, finish: Callable, schema: str) -> DataFrame:
+    """`finish(documents of a block, sizes, flat values)` for each block of `answered` rows, both in index order."""
+
+    def block(table: pa.Table) -> pa.Table:
+        data, idx, size, flat = None, [], [], []
+        for payload, i, s, f in zip(*(table.column(x) for x in ("payload", "idx", "size", "flat"))):
+            if payload.is_valid:
+                data = unpacked(payload.as_buffer())
+            else:
+                idx.append(np.frombuffer(i.as_buffer(), np.int32))
+                size.append(np.frombuffer(s.as_buffer(), np.int64))
+                flat.append(np.frombuffer(f.as_buffer(), np.int32))
+        if not idx:
+            return finish(data, np.empty(0, np.int64), np.empty(0, np.int32))
+        size, flat = np.concatenate(size), np.concatenate(flat)
+        order = np.argsort(np.concatenate(idx))
+        if len(flat):
+            flat = ragged(flat, np.cumsum(size) - size, size, order)
+        return finish(data, size[order], flat)
+
+    return rows.groupBy("block").applyInArrow(block, schema)
 
 
 def ragged(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, index: np.ndarray) -> np.ndarray:
     """flat[starts[i]:starts[i] + lengths[i]] for each i of `index`, end to end."""
     each = lengths[index]
     return flat[np.repeat(starts[index] - (np.cumsum(each) - each), each) + np.arange(each.sum())]
+
+
+def lists(column: pa.ChunkedArray) -> Iterator[np.ndarray]:
+    """The arrays of a list column."""
+    array = column.combine_chunks()
+    flat, lengths = array.flatten().to_numpy(), array.value_lengths().to_numpy()
+    for end, n in zip(np.cumsum(lengths).tolist(), lengths.tolist()):
+        yield flat[end - n:end]

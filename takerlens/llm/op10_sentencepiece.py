@@ -5,14 +5,13 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from takerlens.llm.blocks import Vocabulary, cut, finished, ragged, resolved, vocabulary
+from takerlens.llm.blocks import Vocabulary, answered, cut, finished, id_type, lists, ragged
 from takerlens.llm.staging import documents
 from takerlens.llm.wordpieces import public_path
 
@@ -47,20 +46,17 @@ def _positions(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, list[str],
     return pa.table({"doc_id": ids, "index": pa.array(index, pa.list_(pa.int32()))}), list(chunks), None
 
 
-def _segments(blocks: DataFrame, path: str) -> DataFrame:
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _segmenter(path: str):
+    def segment(chunks: list[bytes], _) -> tuple[np.ndarray, np.ndarray]:
         library = processor(path)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 5000):
-                part = batch.slice(lo, 5000).column(0)
-                # An empty chunk is a marker alone; the library gives it only beside another marker.
-                ids = [_ids(library, x.decode()) for x in part.to_pylist()]
-                yield pa.RecordBatch.from_arrays([part, pa.array(ids, pa.list_(pa.int32()))], ["chunk", "value"])
+        ids = [_ids(library, x.decode()) for x in chunks]
+        return np.array([len(x) for x in ids], np.int64), np.array([i for x in ids for i in x], np.int32)
 
-    return vocabulary(blocks).select("chunk").distinct().mapInArrow(encode, "chunk binary, value array<int>")
+    return segment
 
 
 def _ids(library, chunk: str) -> list[int]:
+    # An empty chunk is a marker alone; the library has it only beside another marker.
     return library.encode(chunk) if chunk else [library.piece_to_id(_MARK)]
 
 
@@ -76,48 +72,30 @@ def encode_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 for each row of `docs`; see `encode` for unusual rows."""
     path = path or public_path("piece_bpe_32k.model")
 
-    def digests(data: pa.Table, values: pa.Table) -> pa.Table:
-        return _digest_rows(data, values, processor(path))
+    def digests(data: pa.Table, size: np.ndarray, flat: np.ndarray) -> pa.Table:
+        return _digest_rows(data, size, flat, processor(path))
 
     return _encoded(docs, path, digests, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _encoded(docs: DataFrame, path: str, finish, columns: str) -> DataFrame:
-    blocks = cut(docs, _positions, "pieces")
-    kind = docs.select("doc_id").schema[0].dataType.simpleString()
-    return finished(blocks, resolved(blocks, _segments(blocks, path)), finish, f"doc_id {kind}, {columns}")
+    return finished(answered(cut(docs, _positions), _segmenter(path)), finish, f"doc_id {id_type(docs)}, {columns}")
 
 
-def _gathered(data: pa.Table, values: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each document its chunks and its ids."""
-    value = values.column("value").combine_chunks()
-    flat = value.flatten().to_numpy() if values.num_rows else np.empty(0, np.int32)
-    lengths = value.value_lengths().to_numpy() if values.num_rows else np.empty(0, np.int32)
-    starts = np.cumsum(lengths) - lengths
-    for index in _lists(data.column("index")):
-        yield index, ragged(flat, starts, lengths, index)
-
-
-def _lists(column: pa.ChunkedArray) -> Iterator[np.ndarray]:
-    array = column.combine_chunks()
-    flat, lengths = array.flatten().to_numpy(), array.value_lengths().to_numpy()
-    for end, n in zip(np.cumsum(lengths), lengths):
-        yield flat[end - n:end]
-
-
-def _ids_rows(data: pa.Table, values: pa.Table) -> pa.Table:
-    ids = [found for _, found in _gathered(data, values)]
+def _ids_rows(data: pa.Table, size: np.ndarray, flat: np.ndarray) -> pa.Table:
+    starts = np.cumsum(size) - size
+    ids = [ragged(flat, starts, size, index) for index in lists(data.column("index"))]
     return pa.table({"doc_id": data.column("doc_id"), "ids": pa.array(ids, pa.list_(pa.int32()))})
 
 
-def _digest_rows(data: pa.Table, values: pa.Table, library) -> pa.Table:
-    ids = values.column("value").to_pylist()
+def _digest_rows(data: pa.Table, size: np.ndarray, flat: np.ndarray, library) -> pa.Table:
+    ends = np.cumsum(size).tolist()
+    ids = [flat[end - n:end].tolist() for end, n in zip(ends, size.tolist())]
     written = [",".join(map(str, x)) for x in ids]
     # A chunk decodes alone to its text without the first marker; byte pieces never join across chunks.
-    spelled = [library.decode(x) if x else "" for x in ids]
-    size = np.array([len(x) for x in ids], np.int64)
+    spelled = library.decode(ids) if ids else []
     n_tokens, ids_sha, text_sha = [], [], []
-    for index in _lists(data.column("index")):
+    for index in lists(data.column("index")):
         n_tokens.append(int(size[index].sum()))
         chunks = index.tolist()
         ids_sha.append(hashlib.sha256(",".join(map(written.__getitem__, chunks)).encode()).hexdigest())

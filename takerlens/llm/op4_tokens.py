@@ -10,9 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from takerlens.llm.blocks import Vocabulary, cut, finished, resolved
+from takerlens.llm.blocks import Vocabulary, answered, cut, finished, id_type
 from takerlens.llm.staging import documents
-from takerlens.llm.wordpieces import ids_of, pretokens, public_path
+from takerlens.llm.wordpieces import encoder, pretokens, public_path
 
 
 def _frequencies(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, list[str], None]:
@@ -33,8 +33,7 @@ def _frequencies(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, list[str]
     return data, words, None
 
 
-def _summed(data: pa.Table, values: pa.Table) -> pa.Table:
-    pieces = values.column("value").to_numpy()
+def _summed(data: pa.Table, pieces: np.ndarray, _) -> pa.Table:
     index, frequency = data.column("index").combine_chunks(), data.column("frequency").combine_chunks()
     total = np.concatenate([[0], np.cumsum(pieces[index.flatten().to_numpy()] * frequency.flatten().to_numpy())])
     bounds = np.concatenate([[0], np.cumsum(index.value_lengths().to_numpy())])
@@ -49,10 +48,8 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 2048) ->
     ids give a row each; an empty table gives no rows; other columns are ignored. A chunk of any length is counted whole.
     """
     path = path or public_path("word_bpe_49k.json")
-    blocks = cut(docs, _frequencies, "tokens")
-    values = resolved(blocks, ids_of(blocks, path, count_only=True))
-    kind = docs.select("doc_id").schema[0].dataType.simpleString()
-    rows = finished(blocks, values, _summed, f"doc_id {kind}, n_bytes long, n_tokens long")
+    rows = answered(cut(docs, _frequencies), encoder(path, count_only=True))
+    rows = finished(rows, _summed, f"doc_id {id_type(docs)}, n_bytes long, n_tokens long")
     return rows.withColumn("over_limit", F.col("n_tokens") > limit)
 
 

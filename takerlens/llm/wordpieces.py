@@ -8,14 +8,11 @@ the table of distinct pre-tokens small; any other chunk stays whole and goes to
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
 
-from takerlens.llm.blocks import Vocabulary, vocabulary
+from takerlens.llm.blocks import Vocabulary
 
 # Letters whose lower case is one letter and which no normal form changes.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
@@ -53,21 +50,17 @@ def pretokens(chunks: list[bytes]) -> tuple[list[str], np.ndarray]:
     return list(found), pairs
 
 
-def ids_of(blocks: DataFrame, path: str, count_only: bool) -> DataFrame:
-    """One row per distinct pre-token: (chunk, n), or (chunk, ids) unless only the count is asked for."""
+def encoder(path: str, count_only: bool):
+    """Answers distinct pre-tokens with their number of ids, and with the ids unless only the number is asked for."""
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(chunks: list[bytes], _) -> tuple[np.ndarray, np.ndarray | None]:
         library = tokenizer(path)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 2000):
-                part = batch.slice(lo, 2000).column(0)
-                texts = [x.decode() for x in part.to_pylist()]
-                if count_only:
-                    value = pa.array([len(e) for e in library.encode_batch_fast(texts, add_special_tokens=False)], pa.int64())
-                else:
-                    value = pa.array([e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)],
-                                     pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([part, value], ["chunk", "value"])
-
-    kind = "long" if count_only else "array<int>"
-    return vocabulary(blocks).select("chunk").distinct().mapInArrow(encode, f"chunk binary, value {kind}")
+        size, ids = [], []
+        for lo in range(0, len(chunks), 2000):
+            for e in library.encode_batch_fast([x.decode() for x in chunks[lo:lo + 2000]], add_special_tokens=False):
+                size.append(len(e))
+                if not count_only:
+                    ids += e.ids
+        return np.array(size, np.int64), None if count_only else np.array(ids, np.int32)
+
+    return encode
