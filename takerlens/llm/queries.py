@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from takerlens.llm.op1_pii import op1_offset_preserving_pii
+from takerlens.llm.op3_secrets import op3_randomness_battery
 from takerlens.llm.op4_tokens import op4_distinct_pretoken_counts
 from takerlens.llm.op6_packing import op6_sum_of_squares_packing
+from takerlens.llm.op9_isolation import op9_isolation_forest
 from takerlens.llm.op10_sentencepiece import op10_distinct_chunk_pieces
 
-QUERIES = {f.__name__: f for f in (op1_offset_preserving_pii, op4_distinct_pretoken_counts, op6_sum_of_squares_packing, op10_distinct_chunk_pieces)}
+QUERIES = {f.__name__: f for f in (
+    op1_offset_preserving_pii, op3_randomness_battery, op4_distinct_pretoken_counts, op6_sum_of_squares_packing,
+    op9_isolation_forest, op10_distinct_chunk_pieces)}
 ORACLE_SQL: dict[str, str] = {}
