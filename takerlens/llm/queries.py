@@ -7,11 +7,13 @@ from takerlens.llm.op3_secrets import op3_randomness_battery
 from takerlens.llm.op4_tokens import op4_distinct_pretoken_counts
 from takerlens.llm.op5_templates import op5_log_template_lines
 from takerlens.llm.op6_packing import op6_sum_of_squares_packing
+from takerlens.llm.op7_jaccard import op7_bayesian_jaccard_join
 from takerlens.llm.op8_exact import OP8_SQL, op8_streaming_exact_dedup
 from takerlens.llm.op9_isolation import op9_isolation_forest
 from takerlens.llm.op10_sentencepiece import op10_distinct_chunk_pieces
 
 QUERIES = {f.__name__: f for f in (
     op1_offset_preserving_pii, op3_randomness_battery, op4_distinct_pretoken_counts, op5_log_template_lines,
-    op6_sum_of_squares_packing, op8_streaming_exact_dedup, op9_isolation_forest, op10_distinct_chunk_pieces)}
+    op6_sum_of_squares_packing, op7_bayesian_jaccard_join, op8_streaming_exact_dedup, op9_isolation_forest,
+    op10_distinct_chunk_pieces)}
 ORACLE_SQL: dict[str, str] = {"op8_streaming_exact_dedup": OP8_SQL}
