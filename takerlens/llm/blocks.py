@@ -9,8 +9,8 @@ value, not once per use. Documents are cut into blocks of bounded size as they a
 Distinct values of all blocks meet in one shuffle, where a value has at most one row a block, so no value is hot. The
 answers go back to the blocks by number, and each block is finished on its own. Texts are never shuffled.
 
-A block is named by the scan task that cut it, so the documents must come in the same order when a lost task is run
-again: from a stored table, not from a shuffle.
+A block is named by the scan partition and place of its first row, so the documents must come in the same order when a
+lost task is run again: from a stored table, not from a shuffle.
 """
 
 from __future__ import annotations
@@ -19,12 +19,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 24 << 20
-PAYLOAD = -1
+PAYLOAD = TOTALS = -1
 CUT = "block long, idx int, chunk binary, weight long"
 _CUT = pa.schema([("block", pa.int64()), ("idx", pa.int32()), ("chunk", pa.binary()), ("weight", pa.int64())])
 ANSWERED = "block long, payload binary, idx binary, size binary, flat binary"
@@ -63,34 +62,36 @@ def id_and_bytes(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
 
-def cut(docs: DataFrame, read: Callable, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Rows of `CUT`: for each block its payload (idx -1) and its vocabulary.
+def cut(docs: DataFrame, read: Callable, block_bytes: int = BLOCK_BYTES, payloads: bool = True,
+        vocabularies: bool = True) -> DataFrame:
+    """Rows of `CUT`: for each block its payload (idx -1) and its vocabulary, or only one of the two.
 
     `read(ids, texts)` gets a block's ids (Arrow array) and texts (bytes) and returns (payload table, chunks, weights);
     chunks are bytes or text in index order, weights a list of numbers or None.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = n = TaskContext.get().partitionId() << 32
-        ids, texts, size = [], [], 0
+        ids, texts, size, number = [], [], 0, 0
         for batch in batches:
             kind = batch.column(0).type
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text, row in zip(*(c.to_pylist() for c in batch.columns)):
+                number = number if ids else row
                 ids.append(doc_id)
                 texts.append(text)
                 size += len(text)
                 if size >= block_bytes:
-                    yield from block(n, pa.array(ids, kind), texts)
-                    ids, texts, size, n = [], [], 0, n + 1
+                    yield from block(number, pa.array(ids, kind), texts)
+                    ids, texts, size = [], [], 0
         if ids:
-            yield from block(n, pa.array(ids, kind), texts)
-        assert n - first < 1 << 32
+            yield from block(number, pa.array(ids, kind), texts)
 
     def block(number: int, ids: pa.Array, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
         data, chunks, weights = read(ids, texts)
-        yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([PAYLOAD], pa.int32()),
-                                          pa.array([packed(data)], pa.binary()), pa.nulls(1, pa.int64())], schema=_CUT)
-        for lo in range(0, len(chunks), _ROWS):
+        if payloads:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number]), pa.array([PAYLOAD], pa.int32()), pa.array([packed(data)], pa.binary()),
+                 pa.nulls(1, pa.int64())], schema=_CUT)
+        for lo in range(0, len(chunks) if vocabularies else 0, _ROWS):
             part = chunks[lo:lo + _ROWS]
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(len(part), number)), pa.array(np.arange(lo, lo + len(part), dtype=np.int32)),
@@ -98,12 +99,25 @@ def cut(docs: DataFrame, read: Callable, block_bytes: int = BLOCK_BYTES) -> Data
                 pa.nulls(len(part), pa.int64()) if weights is None else pa.array(weights[lo:lo + _ROWS], pa.int64())],
                 schema=_CUT)
 
-    return id_and_bytes(docs).mapInArrow(rows, CUT)
+    return id_and_bytes(docs).withColumn("row", F.monotonically_increasing_id()).mapInArrow(rows, CUT)
 
 
-def answered(rows: DataFrame, answer: Callable) -> DataFrame:
+def answered_apart(docs: DataFrame, read: Callable, answer: Callable) -> DataFrame:
+    """`answered` for large payloads: they skip the shuffle by chunk, at the price of a second scan."""
+    return answered(cut(docs, read, payloads=False), answer).unionByName(payloads(docs, read))
+
+
+def payloads(docs: DataFrame, read: Callable) -> DataFrame:
+    """The payloads alone, as rows of `ANSWERED`."""
+    return cut(docs, read, vocabularies=False).select(
+        "block", F.col("chunk").alias("payload"), *(F.lit(None).cast("binary").alias(x) for x in ("idx", "size", "flat")))
+
+
+def answered(rows: DataFrame, answer: Callable, totals: bool = False) -> DataFrame:
     """Rows of `ANSWERED` for `cut` rows: payloads as they are, and each block's values for its vocabulary.
 
+    With `totals`, rows of block -1 have as size the number of chunks with a weight and the sum of weights of a part.
+
     `answer(chunks, weights)` gets distinct chunks with their weights summed over all blocks, each chunk once in all, and
     returns a size per chunk and the values (as many as the sizes say, or none where the size is all there is).
     """
@@ -135,6 +149,10 @@ def answered(rows: DataFrame, answer: Callable) -> DataFrame:
         first = np.concatenate([[0], np.flatnonzero(new) + 1])
         weights = np.add.reduceat(words.column("weight").fill_null(0).to_numpy(), first)
         size, flat = answer([chunks[i] for i in first.tolist()], weights)
+        if totals:
+            summed = np.array([(weights > 0).sum(), weights.sum()], np.int64).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([TOTALS]), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),
+                                              pa.array([summed], pa.binary()), pa.nulls(1, pa.binary())], schema=_ANSWERED)
         of = np.concatenate([[0], np.cumsum(new)])
         yield from _by_block(words.column("block").to_numpy(), words.column("idx").to_numpy(), of, size, flat)
 
@@ -167,34 +185,47 @@ def finished(rows: DataFrame, finish: Callable, schema: str) -> DataFrame:
     """`finish(documents of a block, sizes, flat values)` for each block of `answered` rows, both in index order."""
 
     def block(table: pa.Table) -> pa.Table:
-        data, idx, size, flat = None, [], [], []
-        for payload, i, s, f in zip(*(table.column(x) for x in ("payload", "idx", "size", "flat"))):
-            if payload.is_valid:
-                data = unpacked(payload.as_buffer())
-            else:
-                idx.append(np.frombuffer(i.as_buffer(), np.int32))
-                size.append(np.frombuffer(s.as_buffer(), np.int64))
-                flat.append(np.frombuffer(f.as_buffer(), np.int32))
-        if not idx:
-            return finish(data, np.empty(0, np.int64), np.empty(0, np.int32))
-        size, flat = np.concatenate(size), np.concatenate(flat)
-        order = np.argsort(np.concatenate(idx))
-        if len(flat):
-            flat = ragged(flat, np.cumsum(size) - size, size, order)
-        return finish(data, size[order], flat)
+        return finish(*opened(table))
 
     return rows.groupBy("block").applyInArrow(block, schema)
 
 
+def opened(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+    """A block's documents, and the sizes and values of its vocabulary in index order."""
+    data, idx, size, flat = None, [], [], []
+    for payload, i, s, f in zip(*(table.column(x) for x in ("payload", "idx", "size", "flat"))):
+        if payload.is_valid:
+            data = unpacked(payload.as_buffer())
+        elif i.is_valid:
+            idx.append(np.frombuffer(i.as_buffer(), np.int32))
+            size.append(np.frombuffer(s.as_buffer(), np.int64))
+            flat.append(np.frombuffer(f.as_buffer(), np.int32))
+    if not idx:
+        return data, np.empty(0, np.int64), np.empty(0, np.int32)
+    size, flat = np.concatenate(size), np.concatenate(flat)
+    order = np.argsort(np.concatenate(idx))
+    if len(flat):
+        flat = ragged(flat, np.cumsum(size) - size, size, order)
+    return data, size[order], flat
+
+
 def ragged(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, index: np.ndarray) -> np.ndarray:
     """flat[starts[i]:starts[i] + lengths[i]] for each i of `index`, end to end."""
     each = lengths[index]
     return flat[np.repeat(starts[index] - (np.cumsum(each) - each), each) + np.arange(each.sum())]
 
 
-def lists(column: pa.ChunkedArray) -> Iterator[np.ndarray]:
-    """The arrays of a list column."""
-    array = column.combine_chunks()
-    flat, lengths = array.flatten().to_numpy(), array.value_lengths().to_numpy()
+def numbers(arrays: list[np.ndarray]) -> dict[str, pa.Array]:
+    """Columns for a list of integers per document, a list for each byte: like bytes side by side compress better."""
+    flat = np.ascontiguousarray(np.concatenate([*arrays, np.empty(0, np.int32)]).astype("<i4")).view(np.uint8).reshape(-1, 4)
+    ends = pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32())
+    return {f"byte{k}": pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(flat[:, k]))) for k in range(4)}
+
+
+def lists(data: pa.Table) -> Iterator[np.ndarray]:
+    """The lists that `numbers` stored."""
+    columns = [data.column(f"byte{k}").combine_chunks() for k in range(4)]
+    flat = np.stack([c.flatten().to_numpy() for c in columns], axis=1).view("<i4").ravel()
+    lengths = columns[0].value_lengths().to_numpy()
     for end, n in zip(np.cumsum(lengths).tolist(), lengths.tolist()):
         yield flat[end - n:end]

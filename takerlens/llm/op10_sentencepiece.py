@@ -1,5 +1,7 @@
 """SentencePiece by distinct chunk: pieces never cross the start of a white-space marker, so each distinct marked word is
-segmented once and its ids are joined back by position. Decoding joins the pieces' texts the same way."""
+segmented once and its ids are joined back by position. Decoding joins the pieces' texts the same way.
+
+No piece holds a line break either, so chunks also end there, which leaves fewer distinct ones."""
 
 from __future__ import annotations
 
@@ -11,12 +13,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from takerlens.llm.blocks import Vocabulary, answered, cut, finished, id_type, lists, ragged
+from takerlens.llm.blocks import Vocabulary, answered_apart, finished, id_type, lists, numbers, ragged
 from takerlens.llm.staging import documents
 from takerlens.llm.wordpieces import public_path
 
 _MARK = "▁"
-_RUNS = re.compile(r" +[^ ]*")
+_CHUNK = re.compile(rf"{_MARK}+[^{_MARK}\n]*|[^{_MARK}\n]+|\n")
 
 
 @lru_cache(maxsize=4)
@@ -24,42 +26,33 @@ def processor(path: str):
     import sentencepiece
 
     loaded = sentencepiece.SentencePieceProcessor(model_file=path)
-    crossing = [i for i in range(loaded.vocab_size()) if _MARK in loaded.id_to_piece(i).lstrip(_MARK)]
+    crossing = [p for p in map(loaded.id_to_piece, range(loaded.vocab_size())) if _MARK in p.lstrip(_MARK) or "\n" in p]
     if crossing:
-        raise ValueError(f"pieces such as {loaded.id_to_piece(crossing[0])!r} cross a white-space marker")
+        raise ValueError(f"pieces such as {crossing[0]!r} cross a white-space marker or a line break")
     return loaded
 
 
 def chunks_of(text: str) -> list[str]:
-    """Marked words without their first marker. The library puts one marker before a text that is not empty."""
-    if not text:
-        return []
-    text = text.replace(_MARK, " ")
-    if "  " not in text and text[0] != " " and text[-1] != " ":
-        return text.split(" ")
-    return [run[1:] for run in _RUNS.findall(" " + text)]
+    """The chunks of a text, end to end; the library puts a marker before a text that is not empty."""
+    return _CHUNK.findall(_MARK + text.replace(" ", _MARK)) if text else []
 
 
 def _positions(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, list[str], None]:
     chunks = Vocabulary()
     index = [chunks.indices(chunks_of(text.decode())) for text in texts]
-    return pa.table({"doc_id": ids, "index": pa.array(index, pa.list_(pa.int32()))}), list(chunks), None
+    return pa.table({"doc_id": ids, **numbers(index)}), list(chunks), None
 
 
 def _segmenter(path: str):
     def segment(chunks: list[bytes], _) -> tuple[np.ndarray, np.ndarray]:
         library = processor(path)
-        ids = [_ids(library, x.decode()) for x in chunks]
+        # After a line break the library adds no marker; its own marker and the break are the first two ids.
+        ids = [x[2:] for x in library.encode(["\n" + x.decode() for x in chunks], num_threads=1)]
         return np.array([len(x) for x in ids], np.int64), np.array([i for x in ids for i in x], np.int32)
 
     return segment
 
 
-def _ids(library, chunk: str) -> list[int]:
-    # An empty chunk is a marker alone; the library has it only beside another marker.
-    return library.encode(chunk) if chunk else [library.piece_to_id(_MARK)]
-
-
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id and ids (array<int>) for each row of `docs`, exactly the library's.
 
@@ -79,12 +72,12 @@ def encode_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def _encoded(docs: DataFrame, path: str, finish, columns: str) -> DataFrame:
-    return finished(answered(cut(docs, _positions), _segmenter(path)), finish, f"doc_id {id_type(docs)}, {columns}")
+    return finished(answered_apart(docs, _positions, _segmenter(path)), finish, f"doc_id {id_type(docs)}, {columns}")
 
 
 def _ids_rows(data: pa.Table, size: np.ndarray, flat: np.ndarray) -> pa.Table:
     starts = np.cumsum(size) - size
-    ids = [ragged(flat, starts, size, index) for index in lists(data.column("index"))]
+    ids = [ragged(flat, starts, size, index) for index in lists(data)]
     return pa.table({"doc_id": data.column("doc_id"), "ids": pa.array(ids, pa.list_(pa.int32()))})
 
 
@@ -92,14 +85,15 @@ def _digest_rows(data: pa.Table, size: np.ndarray, flat: np.ndarray, library) ->
     ends = np.cumsum(size).tolist()
     ids = [flat[end - n:end].tolist() for end, n in zip(ends, size.tolist())]
     written = [",".join(map(str, x)) for x in ids]
-    # A chunk decodes alone to its text without the first marker; byte pieces never join across chunks.
-    spelled = library.decode(ids) if ids else []
+    # A chunk is whole characters, so byte pieces never join across chunks.
+    line_break = library.encode("\n")[1:]
+    spelled = [x[1:] for x in library.decode([line_break + x for x in ids])] if ids else []
     n_tokens, ids_sha, text_sha = [], [], []
-    for index in lists(data.column("index")):
+    for index in lists(data):
         n_tokens.append(int(size[index].sum()))
         chunks = index.tolist()
         ids_sha.append(hashlib.sha256(",".join(map(written.__getitem__, chunks)).encode()).hexdigest())
-        text_sha.append(hashlib.sha256(" ".join(map(spelled.__getitem__, chunks)).encode()).hexdigest())
+        text_sha.append(hashlib.sha256("".join(map(spelled.__getitem__, chunks))[1:].encode()).hexdigest())
     return pa.table({"doc_id": data.column("doc_id"), "n_tokens": pa.array(n_tokens, pa.int64()),
                      "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())})
 

@@ -22,21 +22,25 @@ def _frequencies(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, list[str]
         found = Counter(text.split())
         rows.append((chunks.indices(list(found)), np.fromiter(found.values(), np.int32, len(found))))
     words, pairs = pretokens(list(chunks))
-    index, frequency = [], []
+    steps, frequency = [], []
     for chunk, times in rows:
         tail = pairs[chunk, 1]
-        index.append(np.concatenate([pairs[chunk, 0], tail[tail >= 0]]))
-        frequency.append(np.concatenate([times, times[tail >= 0]]))
+        both, times = np.concatenate([pairs[chunk, 0], tail[tail >= 0]]), np.concatenate([times, times[tail >= 0]])
+        order = np.argsort(both)
+        steps.append(np.diff(both[order], prepend=0))  # in order and as differences they compress to half
+        frequency.append(times[order])
     data = pa.table({"doc_id": ids, "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
-                     "index": pa.array(index, pa.list_(pa.int32())),
+                     "steps": pa.array(steps, pa.list_(pa.int32())),
                      "frequency": pa.array(frequency, pa.list_(pa.int32()))})
     return data, words, None
 
 
 def _summed(data: pa.Table, pieces: np.ndarray, _) -> pa.Table:
-    index, frequency = data.column("index").combine_chunks(), data.column("frequency").combine_chunks()
-    total = np.concatenate([[0], np.cumsum(pieces[index.flatten().to_numpy()] * frequency.flatten().to_numpy())])
-    bounds = np.concatenate([[0], np.cumsum(index.value_lengths().to_numpy())])
+    steps, frequency = data.column("steps").combine_chunks(), data.column("frequency").combine_chunks()
+    bounds = np.concatenate([[0], np.cumsum(steps.value_lengths().to_numpy())])
+    so_far = np.concatenate([[0], np.cumsum(steps.flatten().to_numpy(), dtype=np.int64)])
+    index = so_far[1:] - np.repeat(so_far[bounds[:-1]], np.diff(bounds))
+    total = np.concatenate([[0], np.cumsum(pieces[index] * frequency.flatten().to_numpy())])
     return pa.table({"doc_id": data.column("doc_id"), "n_bytes": data.column("n_bytes"),
                      "n_tokens": pa.array((total[bounds[1:]] - total[bounds[:-1]]).astype(np.int64))})
 

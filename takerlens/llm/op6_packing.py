@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from takerlens.llm.blocks import Vocabulary, answered, cut, finished, id_type, ragged
+from takerlens.llm.blocks import Vocabulary, answered, cut, finished, id_type, lists, numbers, ragged
 from takerlens.llm.staging import documents, staged
 from takerlens.llm.wordpieces import encoder, pretokens, public_path
 
@@ -33,7 +33,7 @@ def _sequences(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, list[str],
     for row in rows:
         both = pairs[row].ravel()
         index.append(both[both >= 0])
-    return pa.table({"doc_id": ids, "index": pa.array(index, pa.list_(pa.int32()))}), words, None
+    return pa.table({"doc_id": ids, **numbers(index)}), words, None
 
 
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = 1) -> DataFrame:
@@ -41,12 +41,9 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
 
     def cut_up(data: pa.Table, lengths: np.ndarray, flat: np.ndarray) -> pa.Table:
         starts = np.cumsum(lengths) - lengths
-        index = data.column("index").combine_chunks()
-        words, each = index.flatten().to_numpy(), index.value_lengths().to_numpy()
         out: list[tuple[int, int, int, int, int]] = []
-        ends = np.cumsum(each)
-        for doc, (hi, n) in enumerate(zip(ends.tolist(), each.tolist())):
-            parts = [ragged(flat, starts, lengths, words[lo:min(lo + _SLICE, hi)]) for lo in range(hi - n, hi, _SLICE)]
+        for doc, words in enumerate(lists(data)):
+            parts = [ragged(flat, starts, lengths, words[lo:lo + _SLICE]) for lo in range(0, len(words), _SLICE)]
             ids = np.concatenate([*parts, [end_id]]).astype("<u4")
             for k, lo in enumerate(range(0, len(ids), capacity)):
                 part = ids[lo:lo + capacity]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from takerlens.llm.op1_pii import op1_offset_preserving_pii
+from takerlens.llm.op2_ppm import op2_prediction_by_partial_matching
 from takerlens.llm.op3_secrets import op3_randomness_battery
 from takerlens.llm.op4_tokens import op4_distinct_pretoken_counts
 from takerlens.llm.op5_templates import op5_log_template_lines
@@ -13,7 +15,7 @@ from takerlens.llm.op9_isolation import op9_isolation_forest
 from takerlens.llm.op10_sentencepiece import op10_distinct_chunk_pieces
 
 QUERIES = {f.__name__: f for f in (
-    op1_offset_preserving_pii, op3_randomness_battery, op4_distinct_pretoken_counts, op5_log_template_lines,
-    op6_sum_of_squares_packing, op7_bayesian_jaccard_join, op8_streaming_exact_dedup, op9_isolation_forest,
-    op10_distinct_chunk_pieces)}
+    op1_offset_preserving_pii, op2_prediction_by_partial_matching, op3_randomness_battery, op4_distinct_pretoken_counts,
+    op5_log_template_lines, op6_sum_of_squares_packing, op7_bayesian_jaccard_join, op8_streaming_exact_dedup,
+    op9_isolation_forest, op10_distinct_chunk_pieces)} | {"pipeline": corpus_pipeline.run}
 ORACLE_SQL: dict[str, str] = {"op8_streaming_exact_dedup": OP8_SQL}
