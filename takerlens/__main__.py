@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,7 +29,7 @@ def _trades(spark: SparkSession, live: str | None, archived: str | None) -> Data
     rows = landing.read_trades(landing.pages(spark, live, "trades"), "live")
     if archived:
         rows = rows.unionByName(landing.read_trades(landing.pages(spark, archived, "trades"), "archive"))
-    return rows
+    return jobs.distinct_trades(rows)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -48,8 +48,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--markets", required=True)
     p.add_argument("--trades", help="landed pages (default: the store's trades)")
     p.add_argument("--archived-trades")
-    p.add_argument("--minimum-volume", type=float, default=1)
-    p.add_argument("--page-cap", type=int, default=50)
+    p.add_argument("--minimum-volume", type=float, default=0)
+    p.add_argument("--page-cap", type=int, default=None, help="newest pages of a tape (default: whole tapes)")
+    p.add_argument("--lookback-days", type=float, help="how far a first sweep looks back (default: all landed markets)")
     p = sub.add_parser("backfill", help="archive and recent markets, then the pending tapes in scope")
     p.add_argument("--archive")
     p.add_argument("--markets", required=True)
@@ -59,8 +60,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--series", default="")
     p.add_argument("--from-screen", action="store_true")
     p.add_argument("--exclude-categories", default="")
-    p.add_argument("--minimum-volume", type=float, default=1)
-    p.add_argument("--page-cap", type=int, default=50)
+    p.add_argument("--minimum-volume", type=float, default=0)
+    p.add_argument("--page-cap", type=int, default=None, help="newest pages of a tape (default: whole tapes)")
     p = sub.add_parser("classify", help="tag series")
     p.add_argument("--all", action="store_true")
     p.add_argument("--recheck", action="store_true")
@@ -79,7 +80,7 @@ def parser() -> argparse.ArgumentParser:
 
 def run(spark: SparkSession, argv: list[str]) -> dict | DataFrame:
     a = parser().parse_args(argv)
-    now = datetime.fromisoformat(a.as_of) if a.as_of else datetime.now(timezone.utc)
+    now = jobs.utc(datetime.fromisoformat(a.as_of)) if a.as_of else datetime.now(timezone.utc)
     store = jobs.Store(spark, a.store.rstrip("/"))
 
     def words(text: str) -> list[str]:
@@ -91,7 +92,8 @@ def run(spark: SparkSession, argv: list[str]) -> dict | DataFrame:
         return jobs.trades_job(store, a.landed, a.batch, a.origin)
     if a.job == "sweep":
         return jobs.sweep_job(store, _markets(spark, a.markets), _trades(spark, a.trades, a.archived_trades), now,
-                              a.minimum_volume, page_cap=a.page_cap)
+                              a.minimum_volume, page_cap=a.page_cap,
+                              lookback=None if a.lookback_days is None else timedelta(days=a.lookback_days))
     if a.job == "backfill":
         return jobs.backfill_job(store, _archive(spark, a.archive) if a.archive else None, _markets(spark, a.markets),
                                  _trades(spark, a.trades, a.archived_trades), now, a.days, words(a.series), a.from_screen,

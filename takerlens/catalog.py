@@ -79,11 +79,11 @@ def _capped_stats(t: Tables) -> DataFrame:
 
 
 def _whole_stats(t: Tables) -> DataFrame:
-    return tape.taker_stats(t.terminal(), t.trades(), t.series(), page_cap=None)
+    return tape.taker_stats(t.terminal(), t.trades(), t.series())
 
 
 def _bleed(t: Tables) -> DataFrame:
-    return bleed.bleed_of(_capped_stats(t))
+    return bleed.bleed_of(_whole_stats(t))
 
 
 # --- bleed ------------------------------------------------------------------
@@ -116,9 +116,29 @@ def tape_fallback(t: Tables) -> DataFrame:
                         "pages_read", "truncated")
 
 
+@query
+def trades_overlap(t: Tables) -> DataFrame:
+    """Two landed batches that share trades: each trade is folded once."""
+    rows = t.trades().withColumn("trade_id", F.concat_ws("-", "ticker", *TRADE_ORDER))
+    first = rows.where(F.col("created_time") < _moment("1997-01-01")).withColumn("batch", F.lit(1))
+    second = rows.where(~F.coalesce(F.col("created_time") < _moment("1994-01-01"), F.lit(False))).withColumn("batch", F.lit(2))
+    known = merge.last_wins(first.unionByName(second), ["trade_id"], ["batch"]).drop("batch")
+    return tape.exact(tape.tape_sums(known, ["ticker"])).select("ticker", "trades", "contracts", "block_trades")
+
+
+@query
+def late_link_fees(t: Tables) -> DataFrame:
+    """Fees of markets folded before their event was known, scored again once it is."""
+    early = linkage.link_series(t.terminal().drop("series_ticker"), t.early_events())
+    stored = tape.taker_stats(early, t.trades(), t.series(), fee_base=True).drop("fee_multiplier")
+    fixed = linkage.repair_links(early, t.events()).where("repaired")
+    again = bleed.fees_again(stored, fixed, t.series())
+    return merge.upsert(stored.select("ticker", "taker_fee_est_cents"), again, ["ticker"])
+
+
 @query
 def bleed_exclusions(t: Tables) -> DataFrame:
-    return bleed.bleed_exclusions(t.terminal(), _capped_stats(t))
+    return bleed.bleed_exclusions(t.terminal(), _whole_stats(t))
 
 
 # --- activity ---------------------------------------------------------------
@@ -249,7 +269,7 @@ def missing_events(t: Tables) -> DataFrame:
 
 def _earlier(t: Tables) -> DataFrame:
     """Markets stored by an earlier run, with the volume known then and a first-seen time."""
-    return (t.markets().where(F.col("close_time") < _moment("1999-07-01"))
+    return (t.markets().where(F.coalesce(F.col("close_time") < _moment("1999-07-01"), F.lit(True)))
             .select("ticker", "status", "result", F.lit(0).cast("decimal(18,2)").alias("volume"),
                     F.col("close_time").alias("first_seen")))
 
@@ -383,9 +403,7 @@ def ingest_two_source(t: Tables) -> DataFrame:
 
 @query
 def sweep_chunk_report(t: Tables) -> DataFrame:
-    rows = t.terminal(volume=True)
-    since, until = _moment("1995-02-01 04:33:00"), _moment("2001-06-30 19:00:00")
-    return chunks.chunk_report(rows, since, until, ingest_minimum=1, tape_minimum=100)
+    return chunks.chunk_report(t.terminal(volume=True), ingest_minimum=1, tape_minimum=100)
 
 
 # --- quality ----------------------------------------------------------------
@@ -414,14 +432,23 @@ def reconciliation_summary(t: Tables) -> DataFrame:
     return quality.reconciliation_summary(_reconciled(t))
 
 
+@query
+def reconciliation_finds_errors(t: Tables) -> DataFrame:
+    """Stats that are a cent off in every 97th market: as many mismatches."""
+    off = F.when(F.col("ticker") % 97 == 1, F.col("taker_gross_pnl_cents") + 1).otherwise(F.col("taker_gross_pnl_cents"))
+    markets = tape.with_fee_multiplier(t.terminal(), t.series())
+    return quality.reconciliation_summary(quality.reconcile(
+        _whole_stats(t).withColumn("taker_gross_pnl_cents", off), quality.independent_totals(t.trades(), markets), t.volumes()))
+
+
 @query
 def trade_explain(t: Tables) -> DataFrame:
-    return quality.explain_trades(t.trades(), t.terminal(), most=3)
+    return quality.explain_trades(t.trades(), t.terminal())
 
 
 @query
 def handcheck_markets(t: Tables) -> DataFrame:
-    return quality.handcheck_markets(t.terminal(volume=True), 25).select("ticker", "result", "volume")
+    return quality.handcheck_markets(t.terminal(volume=True)).select("ticker", "result", "volume")
 
 
 @query
@@ -455,7 +482,7 @@ def stream_taker_stats(t: Tables) -> DataFrame:
     log = BatchLog(t.spark, f"{base}/log", flows.sums_schema())
     flows.fold_tapes(t.trade_stream(), log, f"{base}/checkpoint")
     markets = tape.with_fee_multiplier(t.terminal(), t.series()).select("ticker", "result", "fee_multiplier")
-    return tape.score(markets, flows.folded(log), page_cap=None).select(
+    return tape.score(markets, flows.folded(log)).select(
         "ticker", "trades", "contracts", "taker_gross_pnl_cents", "taker_fee_est_cents", "block_trades_skipped")
 
 

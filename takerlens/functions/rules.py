@@ -42,7 +42,6 @@ CRYPTO = ["cfbenchmarks.com", "coinmarketcap.com", "coingecko.com"]
 RATES = ["federalreserve.gov", "nber.org"]
 RECURRING = ["fifteen_min", "hourly", "daily", "weekly", "monthly", "quarterly", "annual"]
 EVENT_FLOOR = 6
-NOTE_LENGTH = 200
 # ---------------------------------------------------------------------------
 
 _EDGE_SPACE = r"^\s+|\s+$"
@@ -127,9 +126,8 @@ def recurrence(frequency: Column, n_events: Column) -> Column:
 
 def notes(source_type: Column, bench: Column, names: Column, frequency: Column,
           recur: Column, n_events: Column) -> Column:
-    """Why the tag says what it says, at most 200 characters."""
-    via = F.when(F.size(names) > 0, F.concat(F.lit(" via "), F.array_join(F.slice(names, 1, 3), ",")))
+    """Why the tag says what it says."""
+    via = F.when(F.size(names) > 0, F.concat(F.lit(" via "), F.array_join(names, ",")))
     promoted = (recur == "recurring") & (F.lower(frequency) == "custom")
     record = F.when(promoted, F.concat(F.lit(" [recurrence from "), n_events.cast("string"), F.lit(" events]")))
-    text = F.concat(source_type, F.lit("/"), bench, F.coalesce(via, F.lit("")), F.coalesce(record, F.lit("")))
-    return F.substring(text, 1, NOTE_LENGTH)
+    return F.concat(source_type, F.lit("/"), bench, F.coalesce(via, F.lit("")), F.coalesce(record, F.lit("")))

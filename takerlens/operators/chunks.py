@@ -14,12 +14,21 @@ OVERLAP = timedelta(hours=2)
 FIRST_LOOKBACK = timedelta(days=3)
 
 
-def sweep_start(cursor: datetime | None, now: datetime) -> datetime:
-    """Where a sweep resumes: a little before the stored cursor, else a few days back."""
-    return now - FIRST_LOOKBACK if cursor is None else cursor - OVERLAP
+def sweep_start(cursor: datetime | None, now: datetime, lookback: timedelta | None = FIRST_LOOKBACK,
+                overlap: timedelta | None = OVERLAP) -> datetime | None:
+    """Where a sweep resumes: `overlap` before the stored cursor, else `lookback` back; None: from the first market."""
+    if cursor is None:
+        return None if lookback is None else now - lookback
+    return None if overlap is None else cursor - overlap
 
 
-def plan_chunks(spark: SparkSession, since: datetime, until: datetime, chunk: timedelta = CHUNK) -> DataFrame:
+def _moment(moment: datetime, kind: str) -> Column:
+    """A literal of a time column's type; a naive time is the column's own where that has no zone."""
+    return F.lit(moment.isoformat(sep=" ")).cast(kind) if kind == "timestamp_ntz" else F.lit(moment)
+
+
+def plan_chunks(spark: SparkSession, since: datetime, until: datetime, chunk: timedelta = CHUNK,
+                kind: str = "timestamp") -> DataFrame:
     """chunk, lo, hi: consecutive windows from `since`, the last one short.
 
     An empty range still gives one (empty) window.
@@ -28,10 +37,11 @@ def plan_chunks(spark: SparkSession, since: datetime, until: datetime, chunk: ti
     if width <= 0:
         raise ValueError("chunk must be positive")
     n = max(1, -(-int((until - since).total_seconds()) // width))
-    lo = F.lit(since) + F.make_dt_interval(secs=(F.col("id") * width).cast("decimal(18,6)"))
-    hi = F.least(F.lit(until), lo + F.make_dt_interval(secs=F.lit(width).cast("decimal(18,6)")))
+    first, last = _moment(since, kind), _moment(until, kind)
+    lo = first + F.make_dt_interval(secs=(F.col("id") * width).cast("decimal(18,6)"))
+    hi = F.least(last, lo + F.make_dt_interval(secs=F.lit(width).cast("decimal(18,6)")))
     return spark.range(n).select((F.col("id") + 1).alias("chunk"), lo.alias("lo"),
-                                 F.when(lo < F.lit(until), hi).otherwise(F.lit(until)).alias("hi"))
+                                 F.when(lo < last, hi).otherwise(last).alias("hi"))
 
 
 def chunk_of(moment: Column, since: Column, until: Column, chunk: timedelta = CHUNK) -> Column:
@@ -42,12 +52,24 @@ def chunk_of(moment: Column, since: Column, until: Column, chunk: timedelta = CH
     return (F.least(index, final) + 1).cast("bigint")
 
 
-def chunk_report(settled: DataFrame, since: Column, until: Column, chunk: timedelta = CHUNK,
-                 ingest_minimum: float = 1, tape_minimum: float = 1) -> DataFrame:
-    """Per window: settled markets, those above the ingest gate and above the tape gate."""
-    inside = settled.where((F.col("settlement_ts") >= since) & (F.col("settlement_ts") <= until))
+def chunk_report(settled: DataFrame, since: datetime | None = None, until: datetime | None = None,
+                 chunk: timedelta = CHUNK, ingest_minimum: float = 0, tape_minimum: float = 0) -> DataFrame:
+    """Every window with its bounds: settled markets, those at or above the ingest gate and the tape gate.
+
+    Empty windows are there with zeros. The range is the data's own where it is not given.
+    """
+    kind = dict(settled.dtypes)["settlement_ts"]
+    if since is None or until is None:
+        first, last = settled.agg(F.min("settlement_ts"), F.max("settlement_ts")).first()
+        since, until = since or first, until or last
+        if since is None or until is None:
+            since = until = datetime(1970, 1, 1)
+    low, high = _moment(since, kind), _moment(until, kind)
+    inside = settled.where((F.col("settlement_ts") >= low) & (F.col("settlement_ts") <= high))
     volume = F.coalesce(F.col("volume"), F.lit(0))
-    return (inside.groupBy(chunk_of(F.col("settlement_ts"), since, until, chunk).alias("chunk"))
-            .agg(F.min("settlement_ts").alias("first_settled"), F.max("settlement_ts").alias("last_settled"),
-                 F.count("*").alias("settled"), F.count_if(volume >= ingest_minimum).alias("ingest_eligible"),
-                 F.count_if(volume >= tape_minimum).alias("tape_eligible")))
+    counted = inside.groupBy(chunk_of(F.col("settlement_ts"), low, high, chunk).alias("chunk")).agg(
+        F.count("*").alias("settled"), F.count_if(volume >= ingest_minimum).alias("ingest_eligible"),
+        F.count_if(volume >= tape_minimum).alias("tape_eligible"))
+    planned = plan_chunks(settled.sparkSession, since, until, chunk, kind)
+    return planned.join(counted, "chunk", "left").select(
+        "chunk", "lo", "hi", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("settled", "ingest_eligible", "tape_eligible")])

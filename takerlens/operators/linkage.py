@@ -43,7 +43,7 @@ def repair_links(terminal: DataFrame, events: DataFrame) -> DataFrame:
     return joined.select(*cols, fixed.alias("repaired"))
 
 
-def missing_events(wanted: DataFrame, events: DataFrame, cap: int = 2000) -> DataFrame:
-    """Worklist of event keys nobody has stored yet, first `cap` in key order."""
+def missing_events(wanted: DataFrame, events: DataFrame) -> DataFrame:
+    """Worklist of event keys nobody has stored yet, in key order."""
     keys = wanted.where(present(F.col("event_ticker"))).select("event_ticker").distinct()
-    return keys.join(events.select("event_ticker"), "event_ticker", "left_anti").orderBy("event_ticker").limit(cap)
+    return keys.join(events.select("event_ticker"), "event_ticker", "left_anti").orderBy("event_ticker")

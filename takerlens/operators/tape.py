@@ -20,9 +20,7 @@ from takerlens.operators.filters import is_binary
 Stage = Callable[[DataFrame], DataFrame]
 
 PAGE_SIZE = 1000
-PAGE_CAP = 50
 ROWS_PER_SALT = 1_000_000
-MAX_SALTS = 4096
 
 # The mergeable sums of a tape, all 64-bit: sizes in hundredths of a contract,
 # prices in millionths of a dollar, so nothing is rounded and the fold stays in
@@ -88,7 +86,7 @@ def merge_sums(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS])
 
 
-def capped_sums(trades: DataFrame, keys: Sequence[str], page_size: int = PAGE_SIZE, page_cap: int = PAGE_CAP,
+def capped_sums(trades: DataFrame, keys: Sequence[str], page_size: int = PAGE_SIZE, page_cap: int = 50,
                 tie_break: Sequence[str] = (), bucket: str = "hour", stage: Stage | None = None) -> DataFrame:
     """Sums over the newest `page_size * page_cap` screen trades of every tape.
 
@@ -119,7 +117,7 @@ def capped_sums(trades: DataFrame, keys: Sequence[str], page_size: int = PAGE_SI
     before = F.col("_through") - F.col("trades")
     edge = stage(placed.where((before < cap) & (F.col("_through") > cap) & (F.greatest(*SUMS) >= 0)).select(
         *keys, "_hour", (F.lit(cap) - before).alias("_room"),
-        F.least(F.ceil(F.col("trades") / ROWS_PER_SALT), F.lit(MAX_SALTS)).alias("_salts")))
+        F.ceil(F.col("trades") / ROWS_PER_SALT).alias("_salts")))
     screen = hourly.where(~F.coalesce(F.col("is_block_trade"), F.lit(False)))
     order = [F.col("created_time").desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in tie_break]]
     salted = screen.join(edge, [*keys, "_hour"]).withColumn(
@@ -144,12 +142,13 @@ def prefer_live(sums: DataFrame, key: str = "ticker", origin: str = "origin", li
 
 
 def score(markets: DataFrame, sums: DataFrame, page_size: int = PAGE_SIZE,
-          page_cap: int | None = PAGE_CAP, strict: bool = True) -> DataFrame:
+          page_cap: int | None = None, strict: bool = True, fee_base: bool = False) -> DataFrame:
     """Stats row of every market from its tape sums, zeros when it never traded.
 
     `markets` has ticker, result and optionally fee_multiplier. Profit and fee
     are NULL unless the result is yes or no. With `strict`, a trade without a
-    price, or one of a yes/no market without a side, is an error.
+    price, or one of a yes/no market without a side, is an error. `fee_base`
+    keeps the fee before its multiplier, so that it can be scored again.
     """
     joined = exact(markets.join(sums, "ticker", "left"))
     multiplier = F.col("fee_multiplier") if "fee_multiplier" in markets.columns else F.lit(1)
@@ -171,6 +170,7 @@ def score(markets: DataFrame, sums: DataFrame, page_size: int = PAGE_SIZE,
         fee.alias("taker_fee_est_cents"), F.col("block_trades").alias("block_trades_skipped"),
         F.expr(f"{pages} AS pages_read"),
         F.expr("false AS truncated" if page_cap is None else f"{pages} >= {page_cap} AS truncated"),
+        *(["fee_base"] if fee_base else []),
     )
 
 
@@ -181,10 +181,13 @@ def with_fee_multiplier(markets: DataFrame, series: DataFrame) -> DataFrame:
 
 
 def taker_stats(markets: DataFrame, trades: DataFrame, series: DataFrame | None = None,
-                page_size: int = PAGE_SIZE, page_cap: int | None = PAGE_CAP,
+                page_size: int = PAGE_SIZE, page_cap: int | None = None,
                 tie_break: Sequence[str] = ("trade_id",), fallback: bool = False,
-                strict: bool = True, stage: Stage | None = None) -> DataFrame:
-    """Fold every market's tape. `fallback` picks the archived tape where the live one is empty."""
+                strict: bool = True, stage: Stage | None = None, fee_base: bool = False) -> DataFrame:
+    """Fold every market's whole tape; a `page_cap` keeps the newest pages only, for who asks for it.
+
+    `fallback` picks the archived tape where the live one is empty.
+    """
     keys = ["ticker", "origin"] if fallback else ["ticker"]
     sums = (tape_sums(trades, keys) if page_cap is None
             else capped_sums(trades, keys, page_size, page_cap, tie_break, stage=stage))
@@ -193,4 +196,4 @@ def taker_stats(markets: DataFrame, trades: DataFrame, series: DataFrame | None
     wanted = markets.select("ticker", "result", *(["series_ticker"] if "series_ticker" in markets.columns else []))
     if series is not None:
         wanted = with_fee_multiplier(wanted, series)
-    return score(wanted, sums, page_size, page_cap, strict)
+    return score(wanted, sums, page_size, page_cap, strict, fee_base)

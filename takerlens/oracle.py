@@ -96,13 +96,13 @@ CTES = {
         FROM px_terminal m LEFT JOIN fills f USING (ticker)
         LEFT JOIN mult x ON x.series_ticker = m.series_ticker GROUP BY 1, 2, 3""",
     "bleed": """
-        SELECT series_ticker, count(*) FILTER (NOT truncated) AS n_settled, count(*) FILTER (truncated) AS n_truncated,
-               CAST(sum(contracts) FILTER (NOT truncated) AS DOUBLE) AS contracts,
-               CAST(sum(pnl) FILTER (NOT truncated) AS DOUBLE)
-                 / nullif(CAST(sum(contracts) FILTER (NOT truncated) AS DOUBLE), 0) AS gross,
-               CAST(sum(pnl * 10000 - coalesce(fee_e4, 0)) FILTER (NOT truncated) AS DOUBLE) / 10000
-                 / nullif(CAST(sum(contracts) FILTER (NOT truncated) AS DOUBLE), 0) AS feeadj
-        FROM capped WHERE result IN ('yes', 'no') GROUP BY 1""",
+        SELECT series_ticker, count(*) AS n_settled, CAST(0 AS BIGINT) AS n_truncated,
+               CAST(sum(contracts) AS DOUBLE) AS contracts,
+               CAST(sum(pnl) AS DOUBLE)
+                 / nullif(CAST(sum(contracts) AS DOUBLE), 0) AS gross,
+               CAST(sum(pnl * 10000 - coalesce(fee_e4, 0)) AS DOUBLE) / 10000
+                 / nullif(CAST(sum(contracts) AS DOUBLE), 0) AS feeadj
+        FROM whole WHERE result IN ('yes', 'no') GROUP BY 1""",
     "latest": """
         SELECT * FROM px_snapshots
         WHERE run_ts > (SELECT max(run_ts) FROM px_snapshots) - INTERVAL 24 HOUR
@@ -199,7 +199,7 @@ SCREENABLE = ("recurrence = 'recurring' AND benchmark = 'none' "
               "AND settlement_source_type IN ('scrapable_numeric_feed', 'official_report')")
 FEES = "fee_type <> 'quadratic_with_maker_fees'"
 BAND = "coalesce(a.sum_volume, 0) BETWEEN 50 AND 1000"
-EARLIER = "SELECT ticker, status, result, close_time FROM px_markets WHERE close_time < TIMESTAMP '1999-07-01'"
+EARLIER = "SELECT ticker, status, result, close_time FROM px_markets WHERE coalesce(close_time < TIMESTAMP '1999-07-01', true)"
 LATER = "SELECT ticker, result, volume FROM px_markets WHERE close_time >= TIMESTAMP '1998-01-01'"
 REPLAY = """
     walk AS (
@@ -245,10 +245,10 @@ def statements() -> dict[str, str]:
                coalesce(b.n, 0) AS block_trades_skipped, CAST(coalesce(pages, 0) AS BIGINT) AS pages_read,
                coalesce(pages, 0) >= 3 AS truncated
         FROM px_terminal m LEFT JOIN kept USING (ticker) LEFT JOIN blocks b USING (ticker)""")
-    sql["bleed_exclusions"] = _with("capped", """
+    sql["bleed_exclusions"] = _with("whole", """
         SELECT series_ticker, count(*) FILTER (result NOT IN ('yes', 'no')) AS n_non_binary_result,
-               count(*) FILTER (truncated) AS n_truncated, count(*) FILTER (result IS NULL) AS n_null_result
-        FROM capped GROUP BY 1""")
+               CAST(0 AS BIGINT) AS n_truncated, count(*) FILTER (result IS NULL) AS n_null_result
+        FROM whole GROUP BY 1""")
     sql["latest_snapshot"] = _with("latest", f"""
         SELECT ticker, {_ts('run_ts')}, arrival, event_ticker, status, {_six('bid_cents / 100', 'yes_bid')},
                {_six('ask_cents / 100', 'yes_ask')}, {_six('volume_24h', 'volume_24h')}, price_level_structure,
@@ -276,7 +276,7 @@ def statements() -> dict[str, str]:
         WHERE s.frequency <> 'one_off' AND n_regionkey <> 2""")
     sql["tag_tally"] = _with("tags", """
         SELECT settlement_source_type, benchmark, recurrence, count(*) AS n FROM tags GROUP BY 1, 2, 3
-        ORDER BY n DESC, 1, 2, 3 LIMIT 12""")
+        ORDER BY n DESC, 1, 2, 3""")
     sql["events_per_series"] = _with("n_ev", "SELECT series_ticker, n_events FROM n_ev")
     sql["page_host_match"] = """
         WITH h AS (SELECT page_id, replace(lower(split_part(split_part(split_part(split_part(url, '//', 2), '/', 1),
@@ -354,7 +354,7 @@ def statements() -> dict[str, str]:
     sql["missing_events"] = _with("px_markets px_events", """
         SELECT DISTINCT event_ticker FROM px_markets
         WHERE event_ticker NOT IN (SELECT event_ticker FROM px_events WHERE mutually_exclusive)
-        ORDER BY event_ticker LIMIT 2000""")
+        ORDER BY event_ticker""")
     sql["upsert_merge"] = _with("px_markets", f"""
         SELECT coalesce(a.ticker, b.ticker) AS ticker, a.status,
                CASE WHEN b.ticker IS NULL THEN a.result ELSE b.result END AS result,
@@ -418,15 +418,15 @@ def statements() -> dict[str, str]:
         SELECT ticker, series_ticker, CAST(0 AS DOUBLE), CAST(1 AS BIGINT) FROM arch
         WHERE ticker NOT IN (SELECT ticker FROM rec)""")
     sql["sweep_chunk_report"] = _with("px_terminal", f"""
-        , w AS (SELECT lo, lead(lo) OVER (ORDER BY lo) AS hi, row_number() OVER (ORDER BY lo) AS chunk
-                FROM (SELECT unnest(generate_series(TIMESTAMP '1995-02-01 04:33:00', TIMESTAMP '2001-06-30 19:00:00',
-                                                    INTERVAL 12 HOUR)) AS lo))
-        SELECT chunk, {_ts('min(settlement_ts)', 'first_settled')}, {_ts('max(settlement_ts)', 'last_settled')},
-               count(*) AS settled, count(*) FILTER (coalesce(volume, 0) >= 1) AS ingest_eligible,
-               count(*) FILTER (coalesce(volume, 0) >= 100) AS tape_eligible
-        FROM w JOIN px_terminal t ON settlement_ts >= lo
-             AND (settlement_ts < hi OR (hi IS NULL AND settlement_ts <= TIMESTAMP '2001-06-30 19:00:00'))
-        GROUP BY chunk""")
+        , ends AS (SELECT min(settlement_ts) AS first, max(settlement_ts) AS last FROM px_terminal),
+        starts AS (SELECT unnest(generate_series(first, last, INTERVAL 12 HOUR)) AS lo, first, last FROM ends),
+        w AS (SELECT row_number() OVER (ORDER BY lo) AS chunk, lo, least(lo + INTERVAL 12 HOUR, last) AS hi,
+                     lo + INTERVAL 12 HOUR >= last AS final FROM starts WHERE lo < last OR first = last)
+        SELECT chunk, {_ts('w.lo', 'lo')}, {_ts('w.hi', 'hi')}, count(t.ticker) AS settled,
+               count(*) FILTER (t.ticker IS NOT NULL AND coalesce(volume, 0) >= 1) AS ingest_eligible,
+               count(*) FILTER (t.ticker IS NOT NULL AND coalesce(volume, 0) >= 100) AS tape_eligible
+        FROM w LEFT JOIN px_terminal t ON settlement_ts >= w.lo AND (settlement_ts < w.hi OR (final AND settlement_ts <= w.hi))
+        GROUP BY chunk, w.lo, w.hi""")
     checks = [
         ("series_key", "px_series", "series_ticker IS NULL OR series_ticker = ''"),
         ("series_frequency", "px_series", "frequency IS NULL OR frequency = ''"),
@@ -450,16 +450,24 @@ def statements() -> dict[str, str]:
         FROM whole w LEFT JOIN px_volumes v ON v.ticker = w.ticker WHERE result IN ('yes', 'no')""")
     sql["reconciliation_summary"] = _with("px_terminal", """
         SELECT count(*) AS markets, CAST(0 AS BIGINT) AS mismatches FROM px_terminal WHERE result IN ('yes', 'no')""")
+    sql["reconciliation_finds_errors"] = _with("px_terminal", """
+        SELECT count(*) AS markets, count(*) FILTER (ticker % 97 = 1) AS mismatches
+        FROM px_terminal WHERE result IN ('yes', 'no')""")
+    sql["trades_overlap"] = _with("px_trades", f"""
+        SELECT ticker, count(*) FILTER (NOT block) AS trades, {_six('coalesce(sum(n) FILTER (NOT block), 0)', 'contracts')},
+               count(*) FILTER (block) AS block_trades
+        FROM px_trades GROUP BY 1""")
+    sql["late_link_fees"] = _with("whole", f"""
+        SELECT ticker, {_six('CAST(fee_e4 AS DOUBLE) / 10000', 'taker_fee_est_cents')} FROM whole""")
     sql["trade_explain"] = _with("fills", f"""
         SELECT ticker, side AS taker_side, result, {_six('n', 'contracts')},
                {_six("(CASE side WHEN 'yes' THEN yes_cents ELSE 100 - yes_cents END) / 100", 'price_dollars')},
                {_six("CASE WHEN side = result THEN 100 ELSE 0 END - CASE side WHEN 'yes' THEN yes_cents ELSE 100 - yes_cents END", 'cents_per_contract')},
                {_six('pnl', 'pnl_cents')}
-        FROM fills WHERE NOT block AND result IN ('yes', 'no')
-        QUALIFY count(*) OVER (PARTITION BY ticker) <= 3""")
+        FROM fills WHERE NOT block AND result IN ('yes', 'no')""")
     sql["handcheck_markets"] = _with("px_terminal", f"""
         SELECT ticker, result, {_six('volume', 'volume')} FROM px_terminal
-        WHERE result IN ('yes', 'no') AND volume > 20 AND volume < 4000 ORDER BY ticker LIMIT 25""")
+        WHERE result IN ('yes', 'no') AND volume > 20 AND volume < 4000 ORDER BY ticker""")
     sql["rule_known_answers"] = _with("tags", """
         SELECT series_ticker, 'recurrence' AS field,
                CASE WHEN CAST(substr(series_ticker, 2) AS INTEGER) % 8 = 1 THEN 'one_off' ELSE 'recurring' END AS expected,

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from takerlens.functions import trades as fill
 from takerlens.functions.values import ratio
 from takerlens.operators.filters import is_binary
+from takerlens.operators.tape import with_fee_multiplier
 
 STATS = ["contracts", "taker_gross_pnl_cents", "taker_fee_est_cents", "truncated"]
 
@@ -17,6 +19,14 @@ def taker_bleed(terminal: DataFrame, stats: DataFrame) -> DataFrame:
                     .join(stats.select("ticker", *STATS), "ticker"))
 
 
+def fees_again(stats: DataFrame, linked: DataFrame, series: DataFrame) -> DataFrame:
+    """ticker, taker_fee_est_cents of markets linked since they were folded, from the fee base kept with their stats."""
+    known = linked.select("ticker", "result", "series_ticker")
+    rows = with_fee_multiplier(stats.select("ticker", "fee_base").join(known, "ticker"), series)
+    return rows.select("ticker", F.when(is_binary(), fill.fee_cents(F.col("fee_base"), F.col("fee_multiplier")))
+                       .alias("taker_fee_est_cents"))
+
+
 def bleed_of(scored: DataFrame) -> DataFrame:
     """The same over stats that still carry their market's result and series.
 

@@ -58,7 +58,7 @@ def classify(series: DataFrame) -> DataFrame:
                          F.lit(rules.RULES_VERSION).alias("model"), F.lit(False).alias("reviewed"))
 
 
-def tag_tally(tags: DataFrame, top: int = 12) -> DataFrame:
-    """Most common combinations of source, benchmark and recurrence."""
+def tag_tally(tags: DataFrame) -> DataFrame:
+    """All combinations of source, benchmark and recurrence, the most common first."""
     return tags.groupBy(*FIELDS).agg(F.count("*").alias("n")) \
-               .orderBy(F.desc("n"), *FIELDS).limit(top)
+               .orderBy(F.desc("n"), *FIELDS)

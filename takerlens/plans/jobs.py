@@ -34,7 +34,7 @@ SCHEMAS = {
                            "taker_yes_vwap_cents decimal(18,10), taker_no_contracts decimal(22,2), "
                            "taker_no_vwap_cents decimal(18,10), taker_gross_pnl_cents decimal(34,8), "
                            "taker_fee_est_cents decimal(38,18), block_trades_skipped bigint, pages_read bigint, "
-                           "truncated boolean, computed_at timestamp", ["ticker"]),
+                           "truncated boolean, fee_base decimal(28,14), computed_at timestamp", ["ticker"]),
     "series_tags": ("series_ticker string, settlement_source_type string, benchmark string, benchmark_name string, "
                     "recurrence string, scrape_difficulty string, source_urls array<string>, notes string, "
                     "model string, classified_at timestamp, reviewed boolean", ["series_ticker"]),
@@ -48,9 +48,6 @@ SNAPSHOTS = ("ticker string, run_ts timestamp, series_ticker string, event_ticke
 TRADES = ("trade_id string, ticker string, count_fp decimal(18,2), yes_price_dollars decimal(10,6), "
           "no_price_dollars decimal(10,6), taker_side string, taker_outcome_side string, is_block_trade boolean, "
           "created_time timestamp, origin string, trade_date date")
-# A worklist up to this many keys (tens of megabytes) is sent to every executor to
-# select its trades; a longer one is joined after the fold instead.
-BROADCAST_KEYS = 500_000
 EVENT_COMPARE = ["series_ticker", "title", "category", "mutually_exclusive", "settlement_sources", "raw"]
 
 
@@ -98,7 +95,7 @@ class Store:
                                     self.bleed(), limits)
 
 
-def _utc(moment: datetime) -> datetime:
+def utc(moment: datetime) -> datetime:
     return moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
 
 
@@ -109,7 +106,7 @@ def _one(df: DataFrame) -> dict:
 def snapshot_job(store: Store, landed: str, now: datetime, refresh_hours: float = 12,
                  multi_line: bool = False) -> dict:
     """Series, changed events, then a snapshot run of every open market."""
-    spark, now = store.spark, _utc(now)
+    spark, now = store.spark, utc(now)
     moment = F.lit(now)
     series = landing.read_series(landing.pages(spark, f"{landed}/series", "series", multi_line), moment)
     series = _staged(merge.last_wins(series, ["series_ticker"], ["arrival"]).drop("arrival"))
@@ -143,13 +140,14 @@ def _staged(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def _fold(store: Store, todo: DataFrame, trades: DataFrame, now: datetime, page_size: int, page_cap: int) -> dict:
+def _fold(store: Store, todo: DataFrame, trades: DataFrame, now: datetime, page_size: int, page_cap: int | None) -> dict:
     """Fold the tapes of `todo` into the stats table; how many, and how many hit the cap."""
     size_shuffles(store.spark, trades)
     todo = _staged(todo.select("ticker", "result", "series_ticker"))
-    if todo.count() <= BROADCAST_KEYS:
-        trades = trades.join(F.broadcast(todo.select("ticker")), "ticker", "left_semi")
-    stats = _staged(tape.taker_stats(todo, trades, store.read("series"), page_size, page_cap, fallback=True, stage=_staged)
+    # Catalyst sends a small worklist to the scan and splits hot tapes where the join is shuffled.
+    wanted = trades.join(todo.select("ticker"), "ticker", "left_semi")
+    stats = _staged(tape.taker_stats(todo, wanted, store.read("series"), page_size, page_cap, fallback=True, stage=_staged,
+                                     fee_base=True)
                     .drop("result", "series_ticker", "fee_multiplier"))
     store.tables["market_taker_stats"].upsert(stats, defaults={"computed_at": F.lit(now)})
     return _one(stats.agg(F.count("*").alias("aggregated"), F.count_if("truncated").alias("truncated")))
@@ -159,13 +157,28 @@ def trades_job(store: Store, landed: str, batch: int, origin: str = "live", mult
     """Keep landed trades as Parquet by origin and day, ordered by market inside a file.
 
     Landing a batch again replaces it, so tapes can be folded any number of times
-    without reading JSON.
+    without reading JSON. A trade that another batch holds already is not kept
+    twice; only the days of this batch are read to tell. Trades without an id
+    cannot be told apart: each is kept, and counted. Those without a market
+    belong to no tape and are counted too.
     """
     rows = landing.read_trades(landing.pages(store.spark, landed, "trades", multi_line), origin)
-    rows = merge.last_wins(rows, ["trade_id"], ["arrival"]).drop("arrival").withColumn("trade_date", F.to_date("created_time"))
+    rows = _staged(distinct_trades(rows).withColumn("trade_date", F.to_date("created_time")))
+    counts = _one(rows.agg(F.count_if(F.col("trade_id").isNull()).alias("without_id"),
+                           F.count_if(F.col("ticker").isNull()).alias("without_market")))
+    days = [r[0] for r in rows.select("trade_date").distinct().where("trade_date IS NOT NULL").collect()]
+    held = store.trades.read().where((F.col("batch_id") != batch) & (F.col("origin") == origin)
+                                     & (F.col("trade_date").isin(days) | F.col("trade_date").isNull()))
+    rows = rows.join(held.select("trade_id"), "trade_id", "left_anti")
     spread = rows.hint("rebalance", "origin", "trade_date").sortWithinPartitions("origin", "trade_date", "ticker")
     store.trades.write(spread, batch)
-    return {"trades": store.trades.read().where(F.col("batch_id") == batch).count()}
+    return {"trades": store.trades.read().where(F.col("batch_id") == batch).count(), **counts}
+
+
+def distinct_trades(rows: DataFrame) -> DataFrame:
+    """One row per (trade_id, origin), the last to arrive; trades without an id all stay."""
+    named = merge.last_wins(rows.where("trade_id IS NOT NULL"), ["trade_id", "origin"], ["arrival"])
+    return named.unionByName(rows.where("trade_id IS NULL")).drop("arrival")
 
 
 def _store_settled(store: Store, rows: DataFrame, now: datetime, order: list[str]) -> DataFrame:
@@ -175,44 +188,62 @@ def _store_settled(store: Store, rows: DataFrame, now: datetime, order: list[str
     return batch
 
 
-def sweep_job(store: Store, markets: DataFrame, trades: DataFrame | None, now: datetime, minimum_volume: float = 1,
-              tape_minimum: float = 1, page_size: int = tape.PAGE_SIZE, page_cap: int = tape.PAGE_CAP) -> dict:
+def sweep_job(store: Store, markets: DataFrame, trades: DataFrame | None, now: datetime, minimum_volume: float = 0,
+              tape_minimum: float = 0, page_size: int = tape.PAGE_SIZE, page_cap: int | None = None,
+              lookback: timedelta | None = None, overlap: timedelta | None = chunks.OVERLAP) -> dict:
     """Settled markets since the cursor, relinked, and the tapes not folded yet.
 
     The whole range is one plan: Spark's tasks are the unit of retry, so time
     windows serve the report only. The cursor moves when everything is written.
-    `trades` defaults to the store's own.
+    A first sweep takes all landed markets unless `lookback` bounds it; `overlap`
+    None looks at all of them every time, for markets that land late.
+    `trades` defaults to the store's own. Markets linked late are scored again.
     """
-    now = _utc(now)
-    since = chunks.sweep_start(store.cursor("settled_sweep"), now)
-    rows = ingest.recent_window(markets, store.read("events"), F.lit(since), F.lit(now), minimum_volume)
+    now = utc(now)
+    since = chunks.sweep_start(store.cursor("settled_sweep"), now, lookback, overlap)
+    low = datetime(1970, 1, 1, tzinfo=timezone.utc) if since is None else since
+    rows = ingest.recent_window(markets, store.read("events"), F.lit(low), F.lit(now), minimum_volume)
+    before = unlinked(store)
     batch = _store_settled(store, rows, now, ["arrival"])
-    repaired = relink(store)
+    repaired = relink(store, before)
     todo = worklist.unfinished(batch.where(F.coalesce("volume", F.lit(0)) >= tape_minimum),
                                store.read("market_taker_stats"))
     counts = _fold(store, todo, store.trades.read() if trades is None else trades, now, page_size, page_cap)
-    notes = {"markets": batch.count(), **counts, "repaired": repaired}
-    store.set_cursor("settled_sweep", now, now, **notes, since=since.isoformat())
+    unknown = linkage.missing_events(batch, store.read("events")).count()
+    notes = {"markets": batch.count(), **counts, "repaired": repaired, "missing_events": unknown}
+    store.set_cursor("settled_sweep", now, now, **notes, since=low.isoformat())
     return notes
 
 
-def relink(store: Store) -> int:
-    """Fill missing series links; only the markets that can be filled are written."""
-    unlinked = store.read("markets_terminal").where(F.col("series_ticker").isNull())
-    fixed = _staged(linkage.repair_links(unlinked, store.read("events")).where("repaired").drop("repaired"))
+def unlinked(store: Store) -> DataFrame:
+    return _staged(store.read("markets_terminal").where(F.col("series_ticker").isNull()).select("ticker"))
+
+
+def relink(store: Store, before: DataFrame | None = None) -> int:
+    """Fill missing series links; only the markets that can be filled are written.
+
+    `before` are the markets without a link when the job began: those that have one
+    now, by this or because they were swept again, get their tape's fee anew.
+    """
+    before = unlinked(store) if before is None else before
+    missing = store.read("markets_terminal").where(F.col("series_ticker").isNull())
+    fixed = _staged(linkage.repair_links(missing, store.read("events")).where("repaired").drop("repaired"))
     n = fixed.count()
     if n:
         store.tables["markets_terminal"].upsert(fixed)
+    linked = store.read("markets_terminal").where(F.col("series_ticker").isNotNull()).join(before, "ticker", "left_semi")
+    again = _staged(bleed.fees_again(store.read("market_taker_stats"), linked, store.read("series")))
+    store.tables["market_taker_stats"].upsert(again, update_cols=["taker_fee_est_cents"])
     return n
 
 
 def backfill_job(store: Store, archive: DataFrame | None, recent: DataFrame, trades: DataFrame | None, now: datetime,
                  days: int = 180, series: list[str] | None = None, from_screen: bool = False,
-                 exclude_categories: list[str] | None = None, minimum_volume: float = 1,
-                 page_size: int = tape.PAGE_SIZE, page_cap: int = tape.PAGE_CAP,
+                 exclude_categories: list[str] | None = None, minimum_volume: float = 0,
+                 page_size: int = tape.PAGE_SIZE, page_cap: int | None = None,
                  limits: Thresholds = Thresholds()) -> dict:
     """Archive and recent walks into the terminal table, then the pending tapes in scope."""
-    now = _utc(now)
+    now = utc(now)
     since = F.lit(now - timedelta(days=days))
     known = store.read("series")
     if series:
@@ -226,8 +257,9 @@ def backfill_job(store: Store, archive: DataFrame | None, recent: DataFrame, tra
     if archive is not None:
         walked = ingest.archive_window(archive, events, scope, since).withColumn("source_rank", F.lit(1))
         rows = walked.unionByName(rows)
+    before = unlinked(store)
     _store_settled(store, rows, now, ["source_rank", "arrival"])
-    repaired = relink(store)
+    repaired = relink(store, before)
     todo = worklist.pending_worklist(store.read("markets_terminal"), known, store.read("market_taker_stats"), since,
                                      minimum_volume, scope, exclude_categories)
     notes = {**_fold(store, todo, store.trades.read() if trades is None else trades, now, page_size, page_cap), "repaired": repaired}
@@ -242,14 +274,15 @@ def classify_job(store: Store, now: datetime, classify_all: bool = False, rechec
     rows = classify.candidates(store.read("series"), store.read("events"), store.read("series_tags"),
                                terminal, recheck, limit=limit)
     tags = _staged(classify.classify(rows))
-    store.tables["series_tags"].upsert(tags, defaults={"classified_at": F.lit(_utc(now))})
+    store.tables["series_tags"].upsert(tags, defaults={"classified_at": F.lit(utc(now))})
     return classify.tag_tally(tags)
 
 
 def prune_job(store: Store, now: datetime, days: float = retention.DAYS) -> dict:
     """Drop snapshot runs older than the retention window."""
-    cut = _utc(now) - timedelta(days=days)
+    cut = utc(now) - timedelta(days=days)
     gone = F.count_if(F.col("run_ts") < F.lit(cut)).alias("removed")
-    removed = _one(store.market_snapshots.read().agg(gone))["removed"]
+    doomed = F.col("run_minute") <= F.lit(int(cut.timestamp()) // 60)
+    removed = _one(store.market_snapshots.read().where(doomed).agg(gone))["removed"]
     store.market_snapshots.prune(cut.replace(second=0, microsecond=0) + timedelta(minutes=1) if cut.second or cut.microsecond else cut)
     return {"removed": removed}

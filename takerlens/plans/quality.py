@@ -33,7 +33,7 @@ def settled_checks() -> dict[str, Column]:
 
 
 def trade_checks() -> dict[str, Column]:
-    return {"trade_side": ~F.coalesce(F.col("taker_side").isin("yes", "no"), F.lit(False)),
+    return {"trade_side": ~F.coalesce(fill.side_of(F.col("taker_side")).isin("yes", "no"), F.lit(False)),
             "trade_count": F.col("count_fp").isNull(),
             "trade_block": F.coalesce("is_block_trade", F.lit(False))}
 
@@ -57,7 +57,7 @@ def independent_totals(trades: DataFrame, markets: DataFrame) -> DataFrame:
     """
     p = F.coalesce(F.col("yes_price_dollars"), 1 - F.col("no_price_dollars")).cast(fill.UNIT_PRICE)
     levels = (trades.where(~F.coalesce("is_block_trade", F.lit(False)))
-              .groupBy("ticker", F.col("taker_side").alias("side"), p.alias("p"))
+              .groupBy("ticker", fill.side_of(F.col("taker_side")).alias("side"), p.alias("p"))
               .agg(F.sum(F.coalesce("count_fp", F.lit(0)).cast(fill.SIZE)).cast("decimal(16,2)").alias("n")))
     t = levels.join(markets.where(is_binary()).select("ticker", "result", "fee_multiplier"), "ticker")
     price, n = F.col("p"), F.col("n")
@@ -81,7 +81,8 @@ def reconcile(stats: DataFrame, independent: DataFrame, reported: DataFrame) ->
     joined = s.join(i, "ticker", "full_outer").join(reported.select("ticker", "volume"), "ticker", "left")
     same = F.lit(True)
     for name in ("pnl_cents", "contracts", "fee_cents"):
-        same = same & (F.coalesce(f"stats_{name}", zero) == F.coalesce(f"check_{name}", zero))
+        # A market without trades has no second computation: that is zero. A NULL beside a number is a mismatch.
+        same = same & F.col(f"stats_{name}").eqNullSafe(F.coalesce(f"check_{name}", zero))
     return joined.select("ticker", "stats_pnl_cents", "check_pnl_cents", "stats_contracts", "check_contracts",
                          "stats_fee_cents", "check_fee_cents", F.col("volume").alias("reported_volume"),
                          same.alias("matches"))
@@ -91,24 +92,26 @@ def reconciliation_summary(reconciled: DataFrame) -> DataFrame:
     return reconciled.agg(F.count("*").alias("markets"), F.count_if(~F.col("matches")).alias("mismatches"))
 
 
-def explain_trades(trades: DataFrame, markets: DataFrame, most: int = 12) -> DataFrame:
-    """Fill-by-fill arithmetic of yes/no markets whose tape has at most `most` trades."""
-    screen = trades.where(~F.coalesce("is_block_trade", F.lit(False)))
-    small = screen.groupBy("ticker").agg(F.count("*").alias("_n")).where(F.col("_n") <= most).select("ticker")
+def explain_trades(trades: DataFrame, markets: DataFrame, most: int | None = None) -> DataFrame:
+    """Fill-by-fill arithmetic of yes/no markets; `most` leaves only tapes of at most so many trades."""
+    screen = trades.where(~F.coalesce("is_block_trade", F.lit(False))).withColumn("taker_side", fill.side_of(F.col("taker_side")))
     yes, no = F.col("yes_price_dollars"), F.col("no_price_dollars")
     price = F.when(F.col("taker_side") == "yes", fill.yes_price(yes, no)).otherwise(fill.no_price(yes, no))
     per = F.when(F.col("taker_side") == F.col("result"), 100).otherwise(0) - price * 100
-    wanted = markets.where(is_binary()).select("ticker", "result").join(small, "ticker")
+    wanted = markets.where(is_binary()).select("ticker", "result")
+    if most is not None:
+        small = screen.groupBy("ticker").agg(F.count("*").alias("_n")).where(F.col("_n") <= most)
+        wanted = wanted.join(small, "ticker", "left_semi")
     return (screen.join(wanted, "ticker")
             .select("ticker", "taker_side", "result", F.col("count_fp").alias("contracts"), price.alias("price_dollars"),
                     per.alias("cents_per_contract"),
                     fill.pnl_cents(F.col("taker_side"), yes, no, F.col("count_fp"), F.col("result")).alias("pnl_cents")))
 
 
-def handcheck_markets(settled: DataFrame, n: int, low: float = 20, high: float = 4000) -> DataFrame:
-    """The first n yes/no markets (by key) whose volume lies strictly between the bounds."""
+def handcheck_markets(settled: DataFrame, low: float = 20, high: float = 4000) -> DataFrame:
+    """Yes/no markets, by key, whose volume lies strictly between the bounds."""
     volume = F.col("volume")
-    return settled.where(is_binary() & (volume > low) & (volume < high)).orderBy("ticker").limit(n)
+    return settled.where(is_binary() & (volume > low) & (volume < high)).orderBy("ticker")
 
 
 def known_answers(tags: DataFrame, expected: DataFrame) -> DataFrame:

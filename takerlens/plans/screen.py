@@ -51,7 +51,7 @@ def _in_band(t: Thresholds) -> Column:
 
 
 def _broad(t: Thresholds) -> Column:
-    return F.coalesce("breadth", F.lit(0)) >= F.lit(str(t.breadth)).cast("decimal(6,3)")
+    return F.coalesce("breadth", F.lit(0)) >= F.lit(str(t.breadth)).cast("decimal(20,15)")
 
 
 def _settled(t: Thresholds) -> Column:

@@ -71,7 +71,7 @@ def read_events(raw: DataFrame, now: Column) -> DataFrame:
 def nested_markets(raw_events: DataFrame) -> DataFrame:
     """Raw markets carried inside event payloads."""
     item = _parsed(raw_events, EVENT).select("arrival", F.posexplode("p.markets").alias("nested", "raw"))
-    return item.select("raw", F.col("arrival").withField("pos", F.col("arrival.pos") * 100_000 + F.col("nested")).alias("arrival"))
+    return item.select("raw", F.col("arrival").withField("nested", F.col("nested")).alias("arrival"))
 
 
 def read_snapshots(raw: DataFrame, run_ts: Column, strict: bool = True) -> DataFrame:

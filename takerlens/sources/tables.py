@@ -1,8 +1,7 @@
 """Tables kept as Parquet folders on the cluster's shared file system.
 
-Nothing is visible before it is complete, so a lost executor or driver never
-leaves half a table. Log tables take appends keyed by a batch id; writing a batch
-again replaces it.
+A write commits whole partitions. Log tables take appends keyed by a batch id;
+writing a batch again replaces it.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from takerlens.operators.merge import last_wins, upsert
+from takerlens.session import scratch_dir
 
 
 def _children(spark: SparkSession, path: str, prefix: str) -> list[str]:
@@ -25,9 +25,11 @@ def _children(spark: SparkSession, path: str, prefix: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().startswith(prefix))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _rename(spark: SparkSession, path: str, to: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.rename(target, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"cannot rename {path}")
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -40,73 +42,43 @@ def _minute(moment: Column) -> Column:
 
 
 class KeyedTable:
-    """One row per key: a base and the upserts since, merged when read.
+    """One row per key, as Parquet partitioned by a hash of the key.
 
-        gen=<g>/base/        whole table
-        gen=<g>/delta=<n>/   full rows of the keys one upsert wrote
-
-    An upsert writes only its own keys. Reading drops the written keys from the
-    base (an anti join that Catalyst broadcasts while the deltas are small, so
-    the base is not shuffled) and adds their last rows. After `max_deltas`
-    upserts the table is rewritten as the next generation. A folder counts only
-    once its `_SUCCESS` file is there.
+    An upsert reads and overwrites only the partitions its keys fall in. New rows
+    are staged first, so no folder is read and overwritten in one job.
+    `parts` must stay what it was when the table was first written.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str],
-                 max_deltas: int = 8, keep: int = 2):
-        self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, list(keys)
-        self.max_deltas, self.keep = max_deltas, keep
-
-    def _complete(self, folder: str, prefix: str, inside: str = "") -> list[str]:
-        return [n for n in _children(self.spark, folder, prefix)
-                if _exists(self.spark, f"{folder}/{n}{inside}/_SUCCESS")]
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], parts: int = 64):
+        self.spark, self.path, self.schema, self.keys, self.parts = spark, path.rstrip("/"), schema, list(keys), parts
 
-    def _generations(self) -> list[str]:
-        return self._complete(self.path, "gen=", "/base")
+    def _part(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("int")
 
-    def _deltas(self, generation: str) -> list[str]:
-        return self._complete(f"{self.path}/{generation}", "delta=")
-
-    def _empty(self) -> DataFrame:
-        return self.spark.createDataFrame([], self.schema)
+    def _stored(self) -> DataFrame:
+        if not _children(self.spark, self.path, "part="):
+            return self.spark.createDataFrame([], f"{self.schema}, part int")
+        return self.spark.read.schema(f"{self.schema}, part int").parquet(self.path)
 
     def read(self) -> DataFrame:
-        done = self._generations()
-        if not done:
-            return self._empty()
-        folder = f"{self.path}/{done[-1]}"
-        base = self.spark.read.schema(self.schema).parquet(f"{folder}/base")
-        names = self._deltas(done[-1])
-        if not names:
-            return base
-        deltas = (self.spark.read.schema(f"{self.schema}, delta int").option("basePath", folder)
-                  .parquet(*[f"{folder}/{n}" for n in names]))
-        last = deltas if len(names) == 1 else last_wins(deltas, self.keys, ["delta"])
-        kept = base.join(deltas.select(*self.keys), self.keys, "left_anti")
-        return kept.select(*base.columns).unionByName(last.select(*base.columns))
-
-    def write(self, rows: DataFrame) -> None:
-        """Publish the next generation and drop the oldest ones."""
-        done = self._generations()
-        number = int(done[-1].split("=")[1]) + 1 if done else 0
-        rows.select(*self._empty().columns).write.mode("overwrite").parquet(f"{self.path}/gen={number:09d}/base")
-        for name in done[: max(0, len(done) + 1 - self.keep)]:
-            _delete(self.spark, f"{self.path}/{name}")
+        return self._stored().drop("part")
 
     def upsert(self, rows: DataFrame, order: Sequence[str] | None = None, **options) -> None:
-        """Insert or overwrite the rows' keys (see `merge.upsert`); other rows are not touched."""
-        columns = self._empty().columns
+        """Insert or overwrite the rows' keys (see `merge.upsert`); other partitions are not touched."""
+        stored = self._stored()
         if order:
-            rows = last_wins(rows, self.keys, order).drop(*[c for c in order if c not in columns])
-        done = self._generations()
-        if not done:
-            return self.write(upsert(self._empty(), rows, self.keys, **options))
-        known = self.read().join(rows.select(*self.keys), self.keys, "left_semi").select(*columns)
-        number = max([int(n.split("=")[1]) for n in self._deltas(done[-1])], default=-1) + 1
-        upsert(known, rows, self.keys, **options).write.mode("overwrite").parquet(
-            f"{self.path}/{done[-1]}/delta={number:06d}")
-        if number + 1 >= self.max_deltas:
-            self.write(self.read())
+            rows = last_wins(rows, self.keys, order).drop(*[c for c in order if c not in stored.columns])
+        # Nothing to write leaves the table as it is.
+        touched = [r[0] for r in rows.select(self._part()).distinct().collect()]  # at most `parts`
+        if not touched:
+            return
+        known = stored.where(F.col("part").isin(touched)).drop("part")
+        staging = scratch_dir(self.spark, "upsert")
+        merged = upsert(known, rows, self.keys, **options).withColumn("part", self._part())
+        merged.write.parquet(staging)
+        (self.spark.read.schema(merged.schema).parquet(staging).hint("rebalance", "part").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(self.path))
+        _delete(self.spark, staging)
 
 
 class BatchLog:
@@ -116,7 +88,11 @@ class BatchLog:
         self.spark, self.path, self.schema, self.partition_by = spark, path.rstrip("/"), schema, list(partition_by)
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/batch_id={batch_id}")
+        """Written aside and then renamed: a failed write leaves the batch as it was."""
+        aside, place = f"{self.path}/_writing-{batch_id}", f"{self.path}/batch_id={batch_id}"
+        rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(aside)
+        _delete(self.spark, place)
+        _rename(self.spark, aside, place)
 
     def read(self) -> DataFrame:
         """All rows with their `batch_id`."""

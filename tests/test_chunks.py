@@ -23,6 +23,7 @@ def test_empty_range_is_one_window(spark):
 def test_sweep_start():
     assert chunks.sweep_start(UNTIL, UNTIL) == UNTIL - timedelta(hours=2)
     assert chunks.sweep_start(None, UNTIL) == UNTIL - timedelta(days=3)
+    assert chunks.sweep_start(None, UNTIL, lookback=None) is None and chunks.sweep_start(UNTIL, UNTIL, overlap=None) is None
 
 
 def test_every_settlement_lies_in_exactly_one_window(spark):
@@ -30,8 +31,8 @@ def test_every_settlement_lies_in_exactly_one_window(spark):
              UNTIL + timedelta(seconds=1), SINCE - timedelta(seconds=1)]
     df = spark.createDataFrame([(t, v) for t, v in zip(times, [0, 1, 100, None, 5, 9, 9])], "settlement_ts timestamp, volume int")
     got = {r.chunk: (r.settled, r.ingest_eligible, r.tape_eligible)
-           for r in chunks.chunk_report(df, F.lit(SINCE), F.lit(UNTIL), tape_minimum=100).collect()}
-    assert got == {1: (2, 1, 1), 2: (1, 1, 0), 12: (2, 1, 0)}
+           for r in chunks.chunk_report(df, SINCE, UNTIL, ingest_minimum=1, tape_minimum=100).collect()}
+    assert got == {n: (0, 0, 0) for n in range(1, 13)} | {1: (2, 1, 1), 2: (1, 1, 0), 12: (2, 1, 0)}
 
 
 MARKET = ("ticker string, event_ticker string, status string, result string, settlement_ts timestamp, "

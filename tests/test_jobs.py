@@ -74,13 +74,14 @@ def test_whole_cycle(world):
     live = trades_of(spark, root, "live", [tape("A", 1), tape("A", 2, side="no"), tape("L", 1)])
     both = live.unionByName(trades_of(spark, root, "hist", [tape("B", 1), tape("A", 9)], "archive"))
     swept = jobs.sweep_job(store, feed_m, both, later)
-    assert (swept["markets"], swept["aggregated"]) == (3, 3)
+    assert (swept["markets"], swept["aggregated"], swept["missing_events"]) == (5, 5, 1)
+    assert {r.ticker: r.trades for r in store.read("market_taker_stats").collect()} == {"A": 2, "B": 1, "L": 1, "Z": 0, "OLD": 0}
     stats = {r.ticker: r for r in store.read("market_taker_stats").collect()}
     assert (stats["A"].trades, stats["A"].taker_gross_pnl_cents) == (2, D(120) - D(120))
     assert (stats["B"].trades, stats["B"].taker_gross_pnl_cents) == (1, D(-80))
     store.set_cursor("settled_sweep", NOW - timedelta(hours=6), later)  # a replay of the same range
     again = jobs.sweep_job(store, feed_m, both, later + timedelta(minutes=5))
-    assert (again["markets"], again["aggregated"]) == (3, 0)
+    assert (again["markets"], again["aggregated"]) == (4, 0)
     assert [r[0] for r in store.read("markets_terminal").select("ingested_at").distinct().collect()] == [later]
 
     # The missing event arrives and the market is linked.
@@ -96,7 +97,7 @@ def test_whole_cycle(world):
 
     as_of = later + timedelta(hours=1)
     ranked = store.screen(as_of, Thresholds(n_settled=2)).collect()
-    assert [(r.series_ticker, r.open_markets, r.n_settled) for r in ranked] == [("WX", 2, 3)]
+    assert [(r.series_ticker, r.open_markets, r.n_settled) for r in ranked] == [("WX", 2, 5)]
     assert store.screen(as_of).count() == 0
     funnel = store.funnel(as_of, Thresholds(n_settled=2)).first()
     assert (funnel.series_total, funnel.classified, funnel.scrapable, funnel.passes_all) == (2, 2, 1, 1)
@@ -114,11 +115,12 @@ def test_backfill_scopes_both_halves(world):
     recent = landing.read_markets(landing.pages(spark, land(root / "recent", "markets", [
         settled("A", "E1", 24 * 30, volume="7"), settled("B", "E2", 24), settled("C", "E1", 24, volume="0")]), "markets"))
     trades = trades_of(spark, root, "t4", [tape("A", 1), tape("A", 2), tape("B", 1)])
-    notes = jobs.backfill_job(store, archive, recent, trades, NOW, exclude_categories=["sports"], page_size=1, page_cap=2)
+    notes = jobs.backfill_job(store, archive, recent, trades, NOW, exclude_categories=["sports"], minimum_volume=1,
+                               page_size=1, page_cap=2)
     assert notes == {"aggregated": 1, "truncated": 1, "repaired": 0}
     rows = {r.ticker: r.volume for r in store.read("markets_terminal").collect()}
     assert rows == {"A": 7, "B": 5, "C": 0}
-    again = jobs.backfill_job(store, archive, recent, trades, NOW, series=["SP"])
+    again = jobs.backfill_job(store, archive, recent, trades, NOW, series=["SP"], minimum_volume=1)
     assert again["aggregated"] == 1 and store.read("market_taker_stats").count() == 2
 
 
@@ -131,7 +133,7 @@ def test_command_line(world):
     pages = land(root / "m5", "markets", [settled("A", "E1", 3)])
     tapes = land(root / "t5", "trades", [tape("A", 1), tape("A", 1), tape("A", 2)])
     for _ in range(2):
-        assert run(spark, [*base, "trades", "--landed", tapes, "--batch", "7"]) == {"trades": 2}
+        assert run(spark, [*base, "trades", "--landed", tapes, "--batch", "7"]) == {"trades": 2, "without_id": 0, "without_market": 0}
     assert run(spark, [*base, "sweep", "--markets", pages])["aggregated"] == 1
     assert jobs.Store(spark, base[1]).read("market_taker_stats").first().trades == 2
     assert run(spark, [*base, "classify"]).count() == 1
@@ -141,14 +143,47 @@ def test_command_line(world):
     assert run(spark, [*base, "prune"]) == {"removed": 0}
 
 
-def test_long_worklists_are_joined_after_the_fold(world, monkeypatch):
+def test_whole_tapes_unless_a_cap_is_asked_for(world):
     spark, root, _, opened, _ = world
-    monkeypatch.setattr(jobs, "BROADCAST_KEYS", 0)
     store = jobs.Store(spark, str(root / "store6"))
     markets = landing.read_markets(landing.pages(spark, land(root / "m6", "markets", [settled("A", "E1", 3)]), "markets"))
+    many = spark.range(60_000).selectExpr("concat('t', id) AS trade_id", "'A' AS ticker", "1.00BD AS count_fp",
+                                          "0.4BD AS yes_price_dollars", "CAST(NULL AS decimal(10,6)) AS no_price_dollars",
+                                          "'yes' AS taker_side", "CAST(NULL AS string) AS taker_outcome_side",
+                                          "false AS is_block_trade", "timestamp'2026-08-08 10:00:00' AS created_time",
+                                          "'live' AS origin")
+    assert jobs.sweep_job(store, markets, many, NOW)["truncated"] == 0
+    assert [(r.ticker, r.trades) for r in store.read("market_taker_stats").collect()] == [("A", 60_000)]
+    capped = jobs.Store(spark, str(root / "store7"))
     trades = trades_of(spark, root, "t6", [tape("A", i) for i in range(7)] + [tape("B", 1)])
-    assert jobs.sweep_job(store, markets, trades, NOW, page_size=2, page_cap=2)["truncated"] == 1
-    assert [(r.ticker, r.trades) for r in store.read("market_taker_stats").collect()] == [("A", 4)]
+    assert jobs.sweep_job(capped, markets, trades, NOW, page_size=2, page_cap=2)["truncated"] == 1
+    assert [(r.ticker, r.trades) for r in capped.read("market_taker_stats").collect()] == [("A", 4)]
+
+
+def test_trades_count_once_across_batches(world):
+    spark, root, *_ = world
+    store = jobs.Store(spark, str(root / "store8"))
+    a, b, c = (tape("A", i) for i in range(3))
+    nameless = {**tape("A", 5), "trade_id": None}
+    assert jobs.trades_job(store, land(root / "b1", "trades", [a, b, nameless, nameless]), 1)["without_id"] == 2
+    assert jobs.trades_job(store, land(root / "b2", "trades", [b, c]), 2)["trades"] == 1
+    assert jobs.trades_job(store, land(root / "b2", "trades", [b, c]), 2)["trades"] == 1
+    assert store.trades.read().count() == 5
+
+
+@pytest.mark.parametrize("hours_ago, repaired", [(3, 1), (0.5, 0)])
+def test_late_links_are_scored_again(world, hours_ago, repaired):
+    """The market lies outside the next sweep's range, or is swept again."""
+    spark, root, _, opened, _ = world
+    store = jobs.Store(spark, str(root / f"store9-{repaired}"))
+    jobs.snapshot_job(store, feed(root / f"land9-{repaired}", opened), NOW)
+    markets = landing.read_markets(landing.pages(spark, land(root / f"m9-{repaired}", "markets", [settled("L", "E9", hours_ago)]), "markets"))
+    trades = trades_of(spark, root, f"t9-{repaired}", [tape("L", 1)])
+    assert jobs.sweep_job(store, markets, trades, NOW)["missing_events"] == 1
+    assert store.read("market_taker_stats").first().taker_fee_est_cents > 0
+    jobs.snapshot_job(store, feed(root / f"land9b-{repaired}", opened, [{"event_ticker": "E9", "series_ticker": "SP"}]), NOW + timedelta(hours=1))
+    assert jobs.sweep_job(store, markets, trades, NOW + timedelta(hours=1))["repaired"] == repaired
+    assert store.read("market_taker_stats").first().taker_fee_est_cents == 0
 
 
 def test_shuffles_grow_with_the_input(spark, tmp_path):

@@ -100,4 +100,4 @@ def test_links_and_repair(spark):
     missing = linkage.missing_events(markets, events)
     assert [r.event_ticker for r in missing.collect()] == ["EX"]
     many = spark.range(20).selectExpr("lpad(id, 3, '0') AS event_ticker")
-    assert [r.event_ticker for r in linkage.missing_events(many, events, cap=3).collect()] == ["000", "001", "002"]
+    assert [r.event_ticker for r in linkage.missing_events(many, events).collect()] == [f"{i:03d}" for i in range(20)]
