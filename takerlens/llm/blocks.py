@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,9 +108,9 @@ def answered_apart(docs: DataFrame, read: Callable, answer: Callable) -> DataFra
     return answered(cut(docs, read, payloads=False), answer).unionByName(payloads(docs, read))
 
 
-def payloads(docs: DataFrame, read: Callable) -> DataFrame:
+def payloads(docs: DataFrame, read: Callable, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The payloads alone, as rows of `ANSWERED`."""
-    return cut(docs, read, vocabularies=False).select(
+    return cut(docs, read, block_bytes, vocabularies=False).select(
         "block", F.col("chunk").alias("payload"), *(F.lit(None).cast("binary").alias(x) for x in ("idx", "size", "flat")))
 
 
@@ -169,16 +170,27 @@ def _whole_runs(table: pa.Table) -> tuple[pa.Table, pa.Table]:
 
 
 def _by_block(block: np.ndarray, idx: np.ndarray, of: np.ndarray, size: np.ndarray, flat: np.ndarray | None):
-    order = np.argsort(block, kind="stable")
+    order = np.lexsort((idx, block))  # steps between indices are small numbers
     bounds = np.flatnonzero(np.diff(block[order], prepend=-1, append=-1))
     size = np.asarray(size, np.int64)
     starts = np.cumsum(size) - size
     for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
         rows = order[lo:hi]
-        values = b"" if flat is None else ragged(flat, starts, size, of[rows]).astype(np.int32).tobytes()
+        values = np.empty(0, np.int32) if flat is None else ragged(flat, starts, size, of[rows])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(block[rows[:1]]), pa.nulls(1, pa.binary()), pa.array([idx[rows].tobytes()], pa.binary()),
-             pa.array([size[of[rows]].tobytes()], pa.binary()), pa.array([values], pa.binary())], schema=_ANSWERED)
+            [pa.array(block[rows[:1]]), pa.nulls(1, pa.binary()),
+             *(pa.array([shrunk(x)], pa.binary()) for x in (np.diff(idx[rows], prepend=0), size[of[rows]], values))],
+            schema=_ANSWERED)
+
+
+def shrunk(values: np.ndarray) -> bytes:
+    """Integers byte by byte side by side, compressed."""
+    return zstandard.compress(np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def grown(data: bytes) -> np.ndarray:
+    flat = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(flat.T).view("<i8").ravel()
 
 
 def finished(rows: DataFrame, finish: Callable, schema: str) -> DataFrame:
@@ -197,9 +209,9 @@ def opened(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
         if payload.is_valid:
             data = unpacked(payload.as_buffer())
         elif i.is_valid:
-            idx.append(np.frombuffer(i.as_buffer(), np.int32))
-            size.append(np.frombuffer(s.as_buffer(), np.int64))
-            flat.append(np.frombuffer(f.as_buffer(), np.int32))
+            idx.append(np.cumsum(grown(i.as_py())))
+            size.append(grown(s.as_py()))
+            flat.append(grown(f.as_py()).astype(np.int32))
     if not idx:
         return data, np.empty(0, np.int64), np.empty(0, np.int32)
     size, flat = np.concatenate(size), np.concatenate(flat)

@@ -18,6 +18,7 @@ from takerlens.llm.staging import documents
 from takerlens.llm.wordpieces import public_path
 
 _MARK = "▁"
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _CHUNK = re.compile(rf"{_MARK}+[^{_MARK}\n]*|[^{_MARK}\n]+|\n")
 
 
@@ -37,10 +38,29 @@ def chunks_of(text: str) -> list[str]:
     return _CHUNK.findall(_MARK + text.replace(" ", _MARK)) if text else []
 
 
-def _positions(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, list[str], None]:
-    chunks = Vocabulary()
-    index = [chunks.indices(chunks_of(text.decode())) for text in texts]
-    return pa.table({"doc_id": ids, **numbers(index)}), list(chunks), None
+@lru_cache(maxsize=4)
+def closing(path: str) -> re.Pattern:
+    """Chunks of letters and then marks that no piece has after a letter: these are two chunks, which repeat more often."""
+    library = processor(path)
+    pieces = [library.id_to_piece(i) for i in range(library.vocab_size()) if not library.is_byte(i)]
+    apart = [m for m in ".,;:!?" if not any(re.search(f"[{_LETTERS}]{re.escape(m)}", p) for p in pieces)]
+    return re.compile(f"({_MARK}*[{_LETTERS}]+)([{''.join(apart)}]+)" if apart else "(?!)")
+
+
+def _reader(path: str):
+    def positions(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, list[str], None]:
+        whole, parts = Vocabulary(), Vocabulary()
+        index = [whole.indices(chunks_of(text.decode())) for text in texts]
+        pairs = np.full((len(whole), 2), -1, np.int32)
+        two = closing(path)
+        for i, chunk in enumerate(whole):
+            both = two.fullmatch(chunk)
+            for k, part in enumerate(both.groups() if both else (chunk,)):
+                pairs[i, k] = parts[part]
+        index = [row[row >= 0] for row in (pairs[i].ravel() for i in index)]
+        return pa.table({"doc_id": ids, **numbers(index)}), list(parts), None
+
+    return positions
 
 
 def _segmenter(path: str):
@@ -72,7 +92,7 @@ def encode_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def _encoded(docs: DataFrame, path: str, finish, columns: str) -> DataFrame:
-    return finished(answered_apart(docs, _positions, _segmenter(path)), finish, f"doc_id {id_type(docs)}, {columns}")
+    return finished(answered_apart(docs, _reader(path), _segmenter(path)), finish, f"doc_id {id_type(docs)}, {columns}")
 
 
 def _ids_rows(data: pa.Table, size: np.ndarray, flat: np.ndarray) -> pa.Table:
