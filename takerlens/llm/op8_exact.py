@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from takerlens.llm.staging import shared_dir, staged, with_package
@@ -21,6 +21,8 @@ _STATE = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
+    # Without this every state partition takes megabytes of disk ahead of its needs.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
@@ -109,8 +111,8 @@ def _split(rows: DataFrame, known: DataFrame) -> DataFrame:
     hits = known.where("size > 1").select("digest")
     texts = rows.join(hits, "digest", "left_semi").groupBy("digest", "text").agg(F.max("best").alias("best"),
                                                                               F.count("*").alias("size"))
-    several = texts.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    return texts.join(several, "digest", "left_semi")
+    n = F.count("*").over(Window.partitionBy("digest"))
+    return texts.withColumn("n", n).where("n > 1").drop("n")
 
 
 def _result(rows: DataFrame) -> DataFrame:
