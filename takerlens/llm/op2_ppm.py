@@ -27,6 +27,7 @@ from takerlens.llm.staging import documents, staged
 ORDER = 5
 END = b"\n"
 SYMBOLS = 256
+BLOCK_BYTES = 14 << 20  # a block comes back with its grams, which are as many again as its tokens
 SCORED = "n_tokens long, n_known long, logs double, score double"
 
 
@@ -86,7 +87,7 @@ def _grams(docs: DataFrame, order: int) -> DataFrame:
         weight = np.bincount(which, count * (found & 1), minlength=len(distinct)).astype(np.int64)
         return pa.table({"doc_id": ids}), list(map(_spelled, distinct.tolist())), weight.tolist()
 
-    rows = cut(docs, read, payloads=False)
+    rows = cut(docs, read, BLOCK_BYTES, payloads=False)
     return rows.select("block", F.conv(F.hex("chunk"), 16, 10).cast("long").alias("gram"), "weight")
 
 
@@ -158,7 +159,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     repeated rows count each time; NULL ids are held out; without training texts every byte is one of 256. `docs` must
     be a stored table; other columns are ignored.
     """
-    tokens = staged(answered(cut(docs, _tokens, payloads=False), lambda chunks, weights: (weights, None), totals=True), "tokens")
+    tokens = staged(answered(cut(docs, _tokens, BLOCK_BYTES, payloads=False), lambda chunks, weights: (weights, None), totals=True), "tokens")
     distinct = train = 0
     for row in tokens.where(F.col("block") == TOTALS).select("size").toLocalIterator():
         part = np.frombuffer(row[0], np.int64)
@@ -169,13 +170,13 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
     def finish(table: pa.Table) -> pa.Table:
         values = table.column("gram").is_valid()
-        data, counts, _ = opened(table.filter(pa.compute.invert(values)))
-        return _summed(data, counts, table.filter(values), order)
+        data, counts, _ = opened(table.drop_columns(["gram", "logp"]).filter(pa.compute.invert(values)))
+        return _summed(data, counts, table.select(["gram", "logp"]).filter(values), order)
 
     empty = [F.lit(None).cast(t).alias(c) for c, t in (("payload", "binary"), ("idx", "binary"), ("size", "binary"),
                                                        ("flat", "binary"))]
     logs = found.select("block", "gram").join(known, "gram").select("block", *empty, "gram", "logp")
-    rest = tokens.where(F.col("block") != TOTALS).unionByName(payloads(docs, _texts))
+    rest = tokens.where(F.col("block") != TOTALS).unionByName(payloads(docs, _texts, BLOCK_BYTES))
     rows = rest.withColumn("gram", F.lit(None).cast("long")).withColumn("logp", F.lit(None).cast("double")).unionByName(logs)
     scored = rows.groupBy("block").applyInArrow(finish, f"doc_id {id_type(docs)}, held_out boolean, {SCORED}")
     each = math.log10(train + 0.1 * (distinct + 1))
