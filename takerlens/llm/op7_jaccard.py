@@ -140,26 +140,45 @@ def buckets(texts: DataFrame) -> DataFrame:
     return texts.where("n > 0").select("set", "n", "values").mapInArrow(rows, "bucket long, set binary")
 
 
+class Groups:
+    """Disjoint sets of 0 .. n - 1; the root of a set is its smallest member."""
+
+    def __init__(self, n: int):
+        self._parent = list(range(n))
+
+    def root(self, i: int) -> int:
+        while self._parent[i] != i:
+            self._parent[i] = i = self._parent[self._parent[i]]
+        return i
+
+    def link(self, i: int, j: int) -> None:
+        x, y = self.root(i), self.root(j)
+        self._parent[max(x, y)] = min(x, y)
+
+
 _REACH = least_matches(0.5, 1e-4)
 
 
 def _gathered(table: pa.Table) -> pa.Table:
-    """Stars (a, b) of a bucket: texts and a pivot that reaches them."""
+    """Stars (a, b) of a bucket: each text and the first of those that pivots join it to, so one row a text."""
     sets = table.column("set").to_pylist()
     values = np.frombuffer(b"".join(table.column("values").to_pylist()), np.uint32).reshape(len(sets), -1)
     left = np.array(sorted(range(len(sets)), key=sets.__getitem__))
     done = np.zeros(len(sets), bool)
-    a, b = [], []
+    join = Groups(len(sets))
     for pivot in left.tolist():
         if done[pivot]:
             continue
         near, matches = survivors(values[pivot], values, _REACH)
         done[near[matches >= THRESHOLD * values.shape[1]]] = True
         done[pivot] = True
-        others = near[near != pivot].tolist()
-        a += [sets[i] for i in others]
-        b += [sets[pivot]] * len(others)
-    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        for i in near.tolist():
+            join.link(pivot, i)
+    first = {}
+    for i in left.tolist():
+        first.setdefault(join.root(i), i)
+    pairs = [(sets[i], sets[first[join.root(i)]]) for i in range(len(sets)) if first[join.root(i)] != i]
+    return pa.table({"a": pa.array([a for a, _ in pairs], pa.binary()), "b": pa.array([b for _, b in pairs], pa.binary())})
 
 
 def linked(sets: list[np.ndarray], values: np.ndarray, least: np.ndarray, split: int) -> Iterator[tuple[int, int]]:
@@ -213,31 +232,23 @@ def _verified(table: pa.Table) -> pa.Table:
     values = np.array([signature(s) for s in sets])
     split = sum(first[k][0] == 0 for k in order)
     links = np.zeros(len(order), np.int64)
-    parent = list(range(len(order)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
+    join = Groups(len(order))
     if split:
         for i, j in linked(sets, values, least_matches(THRESHOLD), split if split < len(order) else 0):
             links[i] += 1
             links[j] += 1
-            x, y = root(i), root(j)
-            parent[max(x, y)] = min(x, y)
-    return pa.table({"a": pa.array(order, pa.binary()), "b": pa.array([order[root(i)] for i in range(len(order))], pa.binary()),
+            join.link(i, j)
+    return pa.table({"a": pa.array(order, pa.binary()), "b": pa.array([order[join.root(i)] for i in range(len(order))], pa.binary()),
                      "links": pa.array(links)})
 
 
 def join(docs: DataFrame) -> DataFrame:
-    """row, doc_id, class_id, n_links, n_copies for each row of `docs` (doc_id, text).
+    """row, doc_id, class, class_id, n_links, n_copies for each row of `docs` (doc_id, text).
 
     Words lie between ASCII white space; texts under five words have one shingle, and all rows without words are copies of
     each other. Documents are linked when their sets' similarity is 0.8 or more; `n_links` counts the other texts a
     document is linked to, `n_copies` the rows of its own text. A class is a component of links; its id is its smallest
-    doc_id (NULL only if all are). Repeated rows are copies; NULL ids take part; other columns are ignored; an empty table
+    doc_id (NULL only if all are), `class` tells classes apart in any case. Repeated rows are copies; NULL ids take part; other columns are ignored; an empty table
     gives no rows. `docs` must be a stored table: `row` numbers its rows by place.
     """
     rows = staged(sketched(docs), "sketches")
@@ -256,7 +267,7 @@ def join(docs: DataFrame) -> DataFrame:
     class_id = named.groupBy("root").agg(F.min("low").alias("class_id"))
     links = verified.groupBy(F.col("a").alias("set")).agg(F.sum("links").alias("n_links"))
     of_text = named.join(class_id, "root").join(links, "set", "left").select(
-        "set", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
+        "set", F.col("root").alias("class"), "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
     return rows.select("row", "doc_id", "set").join(of_text, "set").drop("set")
 
 
@@ -275,7 +286,7 @@ def _verify(docs: DataFrame, texts: DataFrame, groups: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, n_links, n_copies; see `join`."""
-    return join(docs).drop("row")
+    return join(docs).drop("row", "class")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -283,8 +294,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     A class whose ids are all NULL keeps its first row.
     """
-    found = join(docs)
-    first = found.groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("row")).alias("alone")).agg(
+    first = join(docs).groupBy("class").agg(
         F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("_row")).select("_row")
     return (docs.withColumn("_row", F.monotonically_increasing_id()).join(first, "_row", "left_semi").select(*docs.columns))
 
