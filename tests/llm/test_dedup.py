@@ -40,6 +40,16 @@ def test_copies_stay_whole_and_unlike_lines_of_a_leaf_stay(stored):
     assert sorted((r.doc_id, r.text) for r in op5_templates.drop_templates(stored(rows)).collect()) == sorted(rows)
 
 
+def test_documents_made_of_boilerplate_lose_it_and_near_copies_do_not(stored):
+    shared = [body(i, 12) for i in range(20, 23)]
+    rows = [(i, "\n".join([body(i, 60), shared[i]])) for i in range(3)]
+    rows += [(7, "\n".join([*shared, "but this is new"]))]
+    copy = "\n".join(body(i) for i in range(10, 16))
+    rows += [(8, copy), (9, copy + "\n" + shared[0])]
+    got = {r.doc_id: r.text for r in op5_templates.drop_templates(stored(rows)).collect()}
+    assert got == {**dict(rows), 7: "but this is new", 9: copy}
+
+
 def slow_lines(rows):
     """Templates gathered leaf by leaf in memory."""
     leaves = {}
