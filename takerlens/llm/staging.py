@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,14 +14,15 @@ _LEFT: list[tuple[SparkSession, str]] = []
 
 
 @atexit.register
-def _clear() -> None:
-    for spark, path in _LEFT:
+def _clear(since: int = 0, until: int | None = None) -> None:
+    for spark, path in _LEFT[since:until]:
         try:
             jvm = spark._jvm
             target = jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
         except Exception:  # the session has ended; the folder is the cluster's to clear
             pass
+    del _LEFT[since:until]
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -37,6 +39,14 @@ def staged(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def staged_alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """`make()` staged; what it staged itself on the way is deleted."""
+    since = len(_LEFT)
+    out = staged(make(), name)
+    _clear(since, -1)
+    return out
+
+
 def with_package(spark: SparkSession) -> SparkSession:
     """Lets Python workers on this machine import the package; on a cluster `--py-files` brings it."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

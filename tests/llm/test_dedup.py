@@ -50,6 +50,21 @@ def test_documents_made_of_boilerplate_lose_it_and_near_copies_do_not(stored):
     assert got == {**dict(rows), 7: "but this is new", 9: copy}
 
 
+def test_a_leaf_holds_several_templates(stored):
+    kinds = ["posted in the {} section by our own staff writers", "posted in the {} forum where all members may answer",
+             "posted in the {} list which nobody reads any more"]
+    assert len({(len(k.split()), *k.split()[:3]) for k in kinds}) == 1
+    fields = ["red", "green", "blue", "grey"]
+    rows = [(10 * k + i, f"{body(k)}\n{kind.format(f)}") for k, kind in enumerate(kinds) for i, f in enumerate(fields)]
+    rows += [(100 + i, f"{body(4)}x\nposted in the {body(i, 6)}") for i in range(2)]
+    rows = [(i, f"{i:03d} " + text.replace("\n", f" {chr(97 + i % 10)}z\n", 1)) for i, text in rows]
+    unlike = [(i, " ".join(["posted in the", *(f"q{chr(97 + i)}{chr(97 + j)}" for j in range(6))])) for i in range(9)]
+    rows += [(200 + i, f"{body(5 + i, 50)}\n{line}") for i, line in unlike]
+    got = {r.doc_id: r.text for r in op5_templates.drop_templates(stored(rows)).collect()}
+    lost = {i for i, text in rows if text.split("\n")[-1] not in got[i].split("\n")}
+    assert lost == {10 * k + i for k in range(3) for i in range(1, 4)}
+
+
 def slow_lines(rows):
     """Templates gathered leaf by leaf in memory."""
     leaves = {}
