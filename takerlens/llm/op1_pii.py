@@ -142,6 +142,8 @@ _WORD = r"(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)"
 _GAP = r"[ \t]{0,2}[-,.]?[ \t]{0,2}"
 # Seven in a row are no prose.
 _SPELLED = re.compile(rf"(?i)(?<![^\W_]){_WORD}(?:{_GAP}{_WORD})+(?![^\W_])")
+# Any number of them; a full stop between them stays, it may part an address.
+_SPELLED_ANY = re.compile(rf"(?i)(?<![^\W_]){_WORD}(?:[ \t]{{0,2}}[-,]?[ \t]{{0,2}}{_WORD})*(?![^\W_])")
 _ONE_SPELLED = re.compile(rf"(?i){_WORD}")
 _PLUS = re.compile(r"(?i)(?<![^\W_])plus[ \t]{1,2}(?=[0-9])")
 _AT = re.compile(r"(?i)[ \t]{0,2}(?:\([ \t]?(?:at|@)[ \t]?\)|\[[ \t]?(?:at|@)[ \t]?\]|\{[ \t]?at[ \t]?\}|<at>)[ \t]{0,2}"
@@ -149,6 +151,11 @@ _AT = re.compile(r"(?i)[ \t]{0,2}(?:\([ \t]?(?:at|@)[ \t]?\)|\[[ \t]?(?:at|@)[ \
                  r"|(?<=[A-Za-z0-9])[ \t]{1,2}at[ \t]{1,2}(?=[A-Za-z0-9-]{1,63}[ \t]{0,2}(?:[\[({<][ \t]?(?:dot|\.)|dot[ \t]))")
 _DOT = re.compile(r"(?i)(?<=[A-Za-z0-9])[ \t]{0,2}(?:\([ \t]?(?:dot|\.)[ \t]?\)|\[[ \t]?(?:dot|\.)[ \t]?\]|\{[ \t]?(?:dot|\.)[ \t]?\}|<dot>)[ \t]{0,2}(?=[A-Za-z0-9])"
                   r"|(?<=[A-Za-z0-9])[ \t]{1,2}dot[ \t]{1,2}(?=[A-Za-z0-9])")
+_BARE_AT = re.compile(r"(?i)(?<=[A-Za-z0-9])[ \t]{1,2}at[ \t]{1,2}(?=[A-Za-z0-9])")
+_HOST = re.compile(r"(?i)[A-Za-z0-9-]{1,63}(?:(?:\.|[ \t]{1,2}dot[ \t]{1,2}|[ \t]{0,2}(?:\([ \t]?(?:dot|\.)[ \t]?\)|\[[ \t]?(?:dot|\.)[ \t]?\]"
+                   r"|\{[ \t]?(?:dot|\.)[ \t]?\}|<dot>)[ \t]{0,2})[A-Za-z0-9-]{1,63}){1,20}")
+# No plain word: names joined by a sign, or a name with a number.
+_NAME = re.compile(r"(?<![A-Za-z0-9._%+-])(?:[A-Za-z0-9-]*[A-Za-z][A-Za-z0-9-]*[._%+][A-Za-z0-9._%+-]*|[A-Za-z]{2,}[0-9]+)$")
 
 
 def _unhide(text: str) -> Iterator[tuple[int, int, str]]:
@@ -181,6 +188,11 @@ def _figures(text: str) -> Iterator[tuple[int, int, str]]:
                 yield *m.span(), "".join(_WORDS[w.lower()] for w in words)
 
 
+def _all_figures(text: str) -> Iterator[tuple[int, int, str]]:
+    for m in _SPELLED_ANY.finditer(text):
+        yield *m.span(), "".join(_WORDS[w.lower()] for w in _ONE_SPELLED.findall(m[0]))
+
+
 def _signs(text: str) -> Iterator[tuple[int, int, str]]:
     if re.search(r"plus[ \t]{1,2}[0-9]", text.lower()):
         for m in _PLUS.finditer(text):
@@ -189,9 +201,16 @@ def _signs(text: str) -> Iterator[tuple[int, int, str]]:
 
 def _ats(text: str) -> Iterator[tuple[int, int, str]]:
     low = text.lower()
+    found = set()
     if any(x in low for x in _DISGUISED_AT):
-        for m in _AT.finditer(text):
-            yield *m.span(), "@"
+        found.update(m.span() for m in _AT.finditer(text))
+    for m in _BARE_AT.finditer(text):
+        host = _HOST.match(text, m.end())
+        # A plain host needs a local part that is no plain word.
+        if host and (re.search(r"[^A-Za-z0-9.-]", host[0]) or _NAME.search(text[max(0, m.start() - 65):m.start()])):
+            found.add(m.span())
+    for lo, hi in sorted(found):
+        yield lo, hi, "@"
 
 
 def _dots(text: str) -> Iterator[tuple[int, int, str]]:
@@ -202,21 +221,34 @@ def _dots(text: str) -> Iterator[tuple[int, int, str]]:
 
 
 CHAIN: tuple[Callable, ...] = (_unhide, _look_alikes, _figures, _signs, _ats, _dots)
+# Spelled digits anywhere, also beside figures: what this shows counts where the first chain shows nothing.
+WIDER: tuple[Callable, ...] = (_unhide, _look_alikes, _all_figures, _signs, _ats, _dots)
+
+
 def added_spans(text: str, plain: list[Span]) -> list[Span]:
     """Identifiers that only the rewritten text shows, at their place in `text`, clear of the plain ones of their kind."""
-    tape = Tape(text)
-    for step in CHAIN:
-        tape = tape.rewrite(step(tape.text))
-    if tape.text == text:
-        return []
     out: list[Span] = []
-    taken = {kind: [s[1:] for s in plain if s[0] == kind] for kind in KINDS}
+    seen = {text}
+    for chain in (CHAIN, WIDER):
+        tape = Tape(text)
+        for step in chain:
+            tape = tape.rewrite(step(tape.text))
+        if tape.text not in seen:
+            seen.add(tape.text)
+            out = _ordered(out + _shown(text, tape, [*plain, *out]))
+    return out
+
+
+def _shown(text: str, tape: Tape, known: list[Span]) -> list[Span]:
+    """Identifiers of a tape that are no plain ones and clear of the known ones of their kind."""
+    out: list[Span] = []
+    taken = {kind: sorted(s[1:] for s in known if s[0] == kind) for kind in KINDS}
     starts = {kind: [a for a, _ in spans] for kind, spans in taken.items()}
     for kind, lo, hi in plain_spans(tape.text):
         start, end = tape.source(lo, hi)
         if kind == "email" and not _TOP.search(tape.text, lo, hi):
             continue
-        k = bisect_left(starts[kind], end) - 1  # the last plain one that starts before this one ends
+        k = bisect_left(starts[kind], end) - 1  # the last known one that starts before this one ends
         if (k < 0 or taken[kind][k][1] <= start) and text[start:end] != tape.text[lo:hi]:
             out.append((kind, start, end))
     return out

@@ -44,6 +44,25 @@ def test_disguises_map_to_their_source():
         assert op1_pii.added_spans(clean, op1_pii.plain_spans(clean)) == [], clean
 
 
+def test_short_runs_of_spelled_digits_and_bare_at():
+    cases = {
+        "host one nine two dot one six eight dot zero dot one up": ("ip", "one nine two dot one six eight dot zero dot one"),
+        "server 10.0.0.one": ("ip", "10.0.0.one"),
+        "call +1 four one five 555 0132 now": ("phone", "+1 four one five 555 0132"),
+        "plus one (four one five) five five five zero one three two":
+            ("phone", "plus one (four one five) five five five zero one three two"),
+        "pay 4111 1111 1111 one one one one": ("card", "4111 1111 1111 one one one one"),
+        "ask jane.doe at example.com today": ("email", "jane.doe at example.com"),
+        "ask jane at mail.example dot com": ("email", "jane at mail.example dot com"),
+        "ask jd42 at mail.example.com": ("email", "jd42 at mail.example.com"),
+    }
+    for text, (kind, source) in cases.items():
+        assert [(k, text[a:b]) for k, a, b in op1_pii.added_spans(text, op1_pii.plain_spans(text))] == [(kind, source)], text
+    for clean in ("one of two, three at home", "one day at example.com", "version one.two or one.two.three", "room one at 10.30",
+                  "call 555 0132 or one of two", "follow-up at example.com"):
+        assert op1_pii.added_spans(clean, op1_pii.plain_spans(clean)) == [], clean
+
+
 def test_every_rewritten_character_has_a_place():
     rng = random.Random(2)
     for source in babble("abcd", 300, 30, 1):
