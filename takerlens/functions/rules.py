@@ -7,6 +7,7 @@ and the number of events seen, so a tag can be audited from its row.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,8 +43,13 @@ CRYPTO = ["cfbenchmarks.com", "coinmarketcap.com", "coingecko.com"]
 RATES = ["federalreserve.gov", "nber.org"]
 RECURRING = ["fifteen_min", "hourly", "daily", "weekly", "monthly", "quarterly", "annual"]
 EVENT_FLOOR = 6
+GROUPS = {"numeric": NUMERIC, "official": OFFICIAL, "market": MARKET, "subjective": SUBJECTIVE,
+          "no_benchmark": NO_BENCHMARK, "crypto": CRYPTO, "rates": RATES}
+LEVELS = ["low", "medium", "high"]
 # ---------------------------------------------------------------------------
 
+# Whether the links of a series hit a group, by its name in GROUPS.
+Hit = Callable[[str], Column]
 _EDGE_SPACE = r"^\s+|\s+$"
 _HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)"
 
@@ -74,15 +80,24 @@ def hits(names: Column, group: list[str]) -> Column:
 
 
 def settlement_source_type(names: Column) -> Column:
-    return (F.when(hits(names, NUMERIC), "scrapable_numeric_feed")
-            .when(hits(names, OFFICIAL), "official_report")
-            .when(hits(names, MARKET), "market_price")
-            .when(hits(names, SUBJECTIVE), "committee_or_subjective")
+    return source_type_of(lambda group: hits(names, GROUPS[group]))
+
+
+def source_type_of(hit: Hit) -> Column:
+    return (F.when(hit("numeric"), "scrapable_numeric_feed")
+            .when(hit("official"), "official_report")
+            .when(hit("market"), "market_price")
+            .when(hit("subjective"), "committee_or_subjective")
             .otherwise("unknown"))
 
 
 def benchmark(names: Column, category: Column) -> Column:
-    """struct(benchmark, benchmark_name): is there a sharp outside price?
+    """struct(benchmark, benchmark_name): is there a sharp outside price?"""
+    return benchmark_of(lambda group: hits(names, GROUPS[group]), category, F.size(names) == 0)
+
+
+def benchmark_of(hit: Hit, category: Column, no_hosts: Column) -> Column:
+    """The same, told which groups the settlement links hit.
 
     Evidence in the settlement links comes before the category, whose label is
     less reliable. With nothing at all to go by the answer is `unknown`.
@@ -92,14 +107,14 @@ def benchmark(names: Column, category: Column) -> Column:
     def answer(kind: str, name: str | None = None) -> Column:
         return F.struct(F.lit(kind).alias("benchmark"), F.lit(name).cast("string").alias("benchmark_name"))
 
-    return (F.when(hits(names, NO_BENCHMARK), answer("none"))
-            .when(hits(names, MARKET), answer("cme_or_rates", "exchange / oracle price feed"))
+    return (F.when(hit("no_benchmark"), answer("none"))
+            .when(hit("market"), answer("cme_or_rates", "exchange / oracle price feed"))
             .when(cat == "Sports", answer("sportsbook", "retail sportsbooks"))
-            .when((cat == "Crypto") | hits(names, CRYPTO), answer("spot_crypto", "spot exchanges"))
+            .when((cat == "Crypto") | hit("crypto"), answer("spot_crypto", "spot exchanges"))
             .when(cat.isin("Financials", "Commodities"), answer("cme_or_rates", "CME / ICE futures"))
             .when(cat.isin("Politics", "Elections"), answer("other_liquid_market", "Polymarket"))
-            .when((cat == "Economics") & hits(names, RATES), answer("cme_or_rates", "fed funds futures"))
-            .when((cat == "") & (F.size(names) == 0), answer("unknown"))
+            .when((cat == "Economics") & hit("rates"), answer("cme_or_rates", "fed funds futures"))
+            .when((cat == "") & no_hosts, answer("unknown"))
             .otherwise(answer("none")))
 
 

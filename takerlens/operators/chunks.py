@@ -73,3 +73,26 @@ def chunk_report(settled: DataFrame, since: datetime | None = None, until: datet
     planned = plan_chunks(settled.sparkSession, since, until, chunk, kind)
     return planned.join(counted, "chunk", "left").select(
         "chunk", "lo", "hi", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("settled", "ingest_eligible", "tape_eligible")])
+
+
+def busy_chunks(settled: DataFrame, since: datetime, until: datetime, chunk: timedelta = CHUNK) -> list[tuple[datetime, datetime]]:
+    """The windows that hold rows, oldest first; rows from before `since` fall in windows that continue backwards.
+
+    Windows are half-open, the one that ends at `until` holds it too. One window number each reaches the driver.
+    """
+    width = int(chunk.total_seconds())
+    if width <= 0:
+        raise ValueError("chunk must be positive")
+    last = max(0, -(-int((until - since).total_seconds()) // width) - 1)
+    kind = dict(settled.dtypes)["settlement_ts"]
+    moved = F.unix_micros(F.col("settlement_ts").cast("timestamp")) - F.unix_micros(_moment(since, kind).cast("timestamp"))
+    number = F.least(F.floor(moved / (width * 1_000_000)), F.lit(last))
+    found = settled.where(F.col("settlement_ts") <= _moment(until, kind)).select(number.alias("k")).distinct().collect()
+    return [(since + k * chunk, min(since + (k + 1) * chunk, until)) for k in sorted(r["k"] for r in found)]
+
+
+def in_chunk(low: datetime, high: datetime, until: datetime, kind: str = "timestamp") -> Column:
+    """Rows of a window: half-open, but closed where it ends the range."""
+    at = F.col("settlement_ts")
+    upper = at <= _moment(high, kind) if high >= until else at < _moment(high, kind)
+    return (at >= _moment(low, kind)) & upper

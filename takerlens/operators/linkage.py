@@ -7,7 +7,7 @@ linked later.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from takerlens.functions.values import present
@@ -28,9 +28,13 @@ def link_series(markets: DataFrame, events: DataFrame) -> DataFrame:
     return bare.join(event_series(events), "event_ticker", "left").select(*bare.columns, "series_ticker")
 
 
+def link_counts() -> list[Column]:
+    """markets, unmapped as aggregates over linked rows."""
+    return [F.count(F.lit(1)).alias("markets"), F.count_if(F.col("series_ticker").isNull()).alias("unmapped")]
+
+
 def link_report(linked: DataFrame) -> DataFrame:
-    return linked.agg(F.count("*").alias("markets"),
-                      F.count_if(F.col("series_ticker").isNull()).alias("unmapped"))
+    return linked.agg(*link_counts())
 
 
 def repair_links(terminal: DataFrame, events: DataFrame) -> DataFrame:

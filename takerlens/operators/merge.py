@@ -123,10 +123,15 @@ def upsert_changed(target: DataFrame, source: DataFrame, keys: Sequence[str], **
     return upsert(target, actions.where(F.col("action") != "unchanged").drop("action"), keys, defaults=defaults)
 
 
-def write_stats(actions: DataFrame) -> DataFrame:
-    """One row: seen, inserted, updated, unchanged."""
+def write_counts() -> list[Column]:
+    """seen, inserted, updated, unchanged as aggregates over `upsert_actions`."""
     def n(name: str) -> Column:
         return F.count_if(F.col("action") == name)
 
-    return actions.agg(F.count("*").alias("seen"), n("insert").alias("inserted"),
-                       n("update").alias("updated"), n("unchanged").alias("unchanged"))
+    return [F.count(F.lit(1)).alias("seen"), n("insert").alias("inserted"), n("update").alias("updated"),
+            n("unchanged").alias("unchanged")]
+
+
+def write_stats(actions: DataFrame) -> DataFrame:
+    """One row: seen, inserted, updated, unchanged."""
+    return actions.agg(*write_counts())

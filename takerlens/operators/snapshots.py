@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from takerlens.functions.values import hours, seconds_between
+from takerlens.operators.asof import asof_join
 from takerlens.operators.filters import not_closed
 from takerlens.operators.merge import last_wins
+from takerlens.session import staged
 
 KEY = ["ticker", "run_ts"]
 
@@ -48,16 +51,23 @@ def prior_state(snapshots: DataFrame, window_hours: float, order: Sequence[str],
     return out.select(*snapshots.columns, *picked)
 
 
+def stored_state(incoming: DataFrame, stored: DataFrame, window_hours: float, columns: Sequence[str],
+                 order: Sequence[str] = (), buckets: int = 1) -> DataFrame:
+    """The as-of lookup against another table: `prior_<column>` of the newest stored run within the window."""
+    return asof_join(incoming, stored, ["ticker"], "run_ts", "run_ts", timedelta(hours=window_hours), columns, order=order,
+                     buckets=buckets)
+
+
 def skip_unchanged(incoming: DataFrame, stored: DataFrame | None, window_hours: float,
-                   order: Sequence[str] = ("run_ts",), compare: Sequence[str] | None = None) -> DataFrame:
+                   order: Sequence[str] = ("run_ts",), compare: Sequence[str] | None = None,
+                   stage: Callable[[DataFrame], DataFrame] = staged) -> DataFrame:
     """The incoming rows worth writing, for one run or a replay of many.
 
     A row is dropped when the newest row written before it, less than
     `window_hours` old, has the same values. The last written value always equals
     the previous row's value, so a market's history splits into stretches of
     equal values: the first row of a stretch is written, later ones once the
-    window since the last written has passed. Only that clock is folded, over
-    the run times of one stretch; one row per run and market bounds them.
+    window since the last written has passed (`due_runs`).
     `stored` rows act as already written. A row for a stored (ticker, run)
     replaces it.
     """
@@ -75,21 +85,45 @@ def skip_unchanged(incoming: DataFrame, stored: DataFrame | None, window_hours:
     new_value = ~F.lag("_state").over(w).eqNullSafe(F.col("_state"))
     stretches = (seq.withColumn("_start", new_value.cast("int"))
                  .withColumn("_stretch", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                 .withColumn("_second", seconds_between(F.col("run_ts"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))))
-    clock = (stretches.groupBy("ticker", "_stretch")
-             .agg(F.array_sort(F.collect_list(F.struct("_second", "run_ts", "_pinned"))).alias("_runs")))
-    window_seconds = F.lit(round(window_hours * 3600)).cast("bigint")
-    # The accumulator is (last written second, run times written).
-    run_type = incoming.schema["run_ts"].dataType.simpleString()
-    empty = F.struct(F.lit(None).cast("bigint").alias("last"),
-                     F.array().cast(f"array<{run_type}>").alias("written"))
-
-    def step(acc: Column, run: Column) -> Column:
-        due = acc["last"].isNull() | (run["_second"] - acc["last"] >= window_seconds)
-        return (F.when(due & ~run["_pinned"], F.struct(run["_second"].alias("last"),
-                                                      F.array_append(acc["written"], run["run_ts"]).alias("written")))
-                .when(run["_pinned"], F.struct(run["_second"].alias("last"), acc["written"].alias("written")))
-                .otherwise(acc))
-
-    written = clock.select("ticker", F.explode(F.aggregate("_runs", empty, step)["written"]).alias("run_ts"))
-    return rows.join(written, KEY, "left_semi")
+                 .select(*KEY, "_stretch", "_pinned"))
+    written = due_runs(stretches, ["ticker", "_stretch"], round(window_hours * 3600), stage)
+    return rows.join(written.select(*KEY), KEY, "left_semi")
+
+
+def due_runs(runs: DataFrame, keys: Sequence[str], window_seconds: int,
+             stage: Callable[[DataFrame], DataFrame] = staged) -> DataFrame:
+    """keys, run_ts of the runs to write in each stretch (`keys`) of `runs` (run_ts, _pinned).
+
+    The first run is due, and then the first one `window_seconds` or more after the last that was due or pinned
+    (written before). So every run points to the next one due after it, and those reachable from the first or a
+    pinned one are wanted. Pointers are doubled: after k rounds of joins all within 2^k steps are found. No stretch is
+    gathered, and the rounds grow with the logarithm of the longest chain, which its time span bounds.
+    """
+    keys = list(keys)
+    if window_seconds <= 0:
+        return runs.where(~F.col("_pinned")).select(*keys, "run_ts")
+    second = seconds_between(F.col("run_ts"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    runs = runs.withColumn("_second", second)
+    stretch = Window.partitionBy(*keys)
+    # Backwards in time, so each frame grows by a row at a time.
+    later = stretch.orderBy(F.desc("_second")).rangeBetween(Window.unboundedPreceding, -window_seconds)
+    after = stretch.orderBy(F.desc("run_ts")).rowsBetween(Window.unboundedPreceding, -1)
+    due, pinned = F.min("run_ts").over(later), F.last(F.when(F.col("_pinned"), F.col("run_ts")), ignorenulls=True).over(after)
+    nodes = stage(runs.select(*keys, "run_ts", "_second", "_pinned", due.alias("_due"), pinned.alias("_reset"))
+                  .withColumn("_first", F.lead("run_ts").over(stretch.orderBy(F.desc("run_ts"))).isNull()))
+    # A pinned run is a start of its own, so no pointer has to lead to it.
+    hop = F.when(F.col("_reset").isNull() | (F.col("_due") < F.col("_reset")), F.col("_due"))
+    found = nodes.where(F.col("_first") | F.col("_pinned")).select(*keys, "run_ts", "_pinned")
+    spans = nodes.groupBy(*keys).agg(F.count("*").alias("n"), (F.max("_second") - F.min("_second")).alias("span"))
+    longest = spans.agg(F.max(F.least(F.col("n"), F.floor(F.col("span") / window_seconds) + 1))).first()[0] or 1
+    rounds = (longest - 1).bit_length()
+    if not rounds:
+        return found.where(~F.col("_pinned")).drop("_pinned")
+    jump = nodes.select(*keys, "run_ts", hop.alias("_to")).where("_to IS NOT NULL")
+    for k in range(rounds):
+        jump = stage(jump)
+        reached = found.join(jump, [*keys, "run_ts"]).select(*keys, F.col("_to").alias("run_ts"), F.lit(False).alias("_pinned"))
+        found = stage(found.unionByName(reached).distinct())
+        onward = jump.select(*keys, F.col("run_ts").alias("_to"), F.col("_to").alias("_further"))
+        jump = jump.join(onward, [*keys, "_to"]).select(*keys, "run_ts", F.col("_further").alias("_to"))
+    return found.where(~F.col("_pinned")).drop("_pinned")

@@ -10,17 +10,19 @@ the join with markets then runs on one row per tape.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from takerlens.functions import trades as fill
 from takerlens.operators.filters import is_binary
+from takerlens.operators.radix import newest_rows
+from takerlens.session import staged
 
 Stage = Callable[[DataFrame], DataFrame]
 
 PAGE_SIZE = 1000
-ROWS_PER_SALT = 1_000_000
 
 # The mergeable sums of a tape, all 64-bit: sizes in hundredths of a contract,
 # prices in millionths of a dollar, so nothing is rounded and the fold stays in
@@ -90,19 +92,17 @@ def capped_sums(trades: DataFrame, keys: Sequence[str], page_size: int = PAGE_SI
                 tie_break: Sequence[str] = (), bucket: str = "hour", stage: Stage | None = None) -> DataFrame:
     """Sums over the newest `page_size * page_cap` screen trades of every tape.
 
-    No tape is sorted as a whole. Sums per (tape, hour) show, added up newest
-    first, which hours lie inside the cap and the one hour where it is reached;
-    only that hour's trades are ranked, in salted groups sized by its count that
-    each keep no more than the room left.
+    No tape is sorted. Sums per (tape, hour) show, added up newest first, which
+    hours lie inside the cap and the one hour where it is reached; in that hour
+    the newest trades are selected digit by digit of their time and tie-break
+    (`radix.newest_rows`), so a million trades of one second are no group of one task.
 
-    `stage` (a job's "write it to the shared folder and read it back") makes the
-    hourly sums a table and the edge hours one of known size; without it both
-    stay parts of one plan.
+    `stage` (write it to the shared folder and read it back) makes the hourly sums
+    a table, so that they are computed once, and each round of the selection.
     """
     keys, cap = list(keys), page_size * page_cap
-    stage = stage or (lambda df: df)
-    # Keyless trades belong to no tape. Saying so here, and not leaving it to the
-    # later joins, also keeps both uses of the hourly sums below identical.
+    stage = stage or staged
+    # Keyless trades belong to no tape.
     keyed = trades.where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
     hour = F.coalesce(F.date_trunc(bucket, F.col("created_time")).cast("timestamp"), F.lit("1900-01-01").cast("timestamp"))
     hourly = keyed.withColumn("_hour", hour)
@@ -112,21 +112,13 @@ def capped_sums(trades: DataFrame, keys: Sequence[str], page_size: int = PAGE_SI
     # Hours beyond the cap keep their block count: block trades take no page.
     whole = placed.select(*keys, *[
         F.expr(c if c == "block_trades" else f"CASE WHEN _through <= {cap} THEN {c} ELSE 0 END AS {c}") for c in SUMS])
-    # `trades` is never negative, so the last condition always holds; it makes both
-    # uses of the hourly sums read the same columns, and Spark computes them once.
     before = F.col("_through") - F.col("trades")
-    edge = stage(placed.where((before < cap) & (F.col("_through") > cap) & (F.greatest(*SUMS) >= 0)).select(
-        *keys, "_hour", (F.lit(cap) - before).alias("_room"),
-        F.ceil(F.col("trades") / ROWS_PER_SALT).alias("_salts")))
+    edge = placed.where((before < cap) & (F.col("_through") > cap)).select(
+        *keys, "_hour", (F.lit(cap) - before).alias("_room"))
     screen = hourly.where(~F.coalesce(F.col("is_block_trade"), F.lit(False)))
-    order = [F.col("created_time").desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in tie_break]]
-    salted = screen.join(edge, [*keys, "_hour"]).withColumn(
-        "_salt", F.pmod(F.xxhash64("created_time", *tie_break, "count_fp"), F.col("_salts")))
-    near = salted.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order))) \
-                 .where(F.col("_rn") <= F.col("_room"))
-    last = near.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))) \
-               .where(F.col("_rn") <= F.col("_room"))
-    return merge_sums(whole.unionByName(tape_sums(last.select(*trades.columns), keys)), keys)
+    near = screen.join(edge, [*keys, "_hour"]).select(*trades.columns, "_room")
+    newest = newest_rows(near, keys, "_room", ["created_time", *tie_break], lambda rows: tape_sums(rows, keys), stage)
+    return merge_sums(reduce(DataFrame.unionByName, [whole, *newest]), keys)
 
 
 def prefer_live(sums: DataFrame, key: str = "ticker", origin: str = "origin", live: str = "live") -> DataFrame:
