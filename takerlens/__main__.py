@@ -44,13 +44,18 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--landed", required=True)
     p.add_argument("--batch", type=int, required=True)
     p.add_argument("--origin", choices=["live", "archive"], default="live")
-    p = sub.add_parser("sweep", help="settled markets since the cursor and their tapes")
-    p.add_argument("--markets", required=True)
+    p = sub.add_parser("settled", help="keep landed market payloads as Parquet by settlement day")
+    p.add_argument("--landed", required=True)
+    p.add_argument("--batch", type=int, required=True)
+    p = sub.add_parser("sweep", help="settled markets since the cursor and their tapes, window by window")
+    p.add_argument("--markets", help="landed pages (default: those kept by `settled`)")
     p.add_argument("--trades", help="landed pages (default: the store's trades)")
     p.add_argument("--archived-trades")
     p.add_argument("--minimum-volume", type=float, default=0)
     p.add_argument("--page-cap", type=int, default=None, help="newest pages of a tape (default: whole tapes)")
     p.add_argument("--lookback-days", type=float, help="how far a first sweep looks back (default: all landed markets)")
+    p.add_argument("--chunk-hours", type=float, default=12, help="settlement time in one commit")
+    p.add_argument("--stop-after", type=int, help="end after so many windows; the next sweep goes on from there")
     p = sub.add_parser("backfill", help="archive and recent markets, then the pending tapes in scope")
     p.add_argument("--archive")
     p.add_argument("--markets", required=True)
@@ -90,10 +95,13 @@ def run(spark: SparkSession, argv: list[str]) -> dict | DataFrame:
         return jobs.snapshot_job(store, a.landed.rstrip("/"), now, a.refresh_hours)
     if a.job == "trades":
         return jobs.trades_job(store, a.landed, a.batch, a.origin)
+    if a.job == "settled":
+        return jobs.settled_job(store, a.landed, a.batch)
     if a.job == "sweep":
-        return jobs.sweep_job(store, _markets(spark, a.markets), _trades(spark, a.trades, a.archived_trades), now,
-                              a.minimum_volume, page_cap=a.page_cap,
-                              lookback=None if a.lookback_days is None else timedelta(days=a.lookback_days))
+        return jobs.sweep_job(store, _markets(spark, a.markets) if a.markets else None,
+                              _trades(spark, a.trades, a.archived_trades), now, a.minimum_volume, page_cap=a.page_cap,
+                              lookback=None if a.lookback_days is None else timedelta(days=a.lookback_days),
+                              chunk=timedelta(hours=a.chunk_hours), stop_after=a.stop_after)
     if a.job == "backfill":
         return jobs.backfill_job(store, _archive(spark, a.archive) if a.archive else None, _markets(spark, a.markets),
                                  _trades(spark, a.trades, a.archived_trades), now, a.days, words(a.series), a.from_screen,

@@ -7,6 +7,8 @@ production defaults.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,12 +16,12 @@ from pyspark.sql import types as T
 
 from takerlens.functions import rules
 from takerlens.functions.values import hours
-from takerlens.operators import chunks, filters, ingest, linkage, merge, retention, snapshots, tape, worklist
-from takerlens.plans import activity, bleed, classify, health, quality, screen
+from takerlens.operators import chunks, domains, filters, ingest, linkage, merge, retention, snapshots, tape, worklist
+from takerlens.plans import activity, bleed, classify, health, jobs, quality, screen
 from takerlens.session import scratch_dir
 from takerlens.sources import landing
 from takerlens.sources.projection import TRADE_ORDER, Tables
-from takerlens.sources.tables import BatchLog, SnapshotTable
+from takerlens.sources.tables import BatchLog, DatedTable, KeyedTable, SnapshotTable
 from takerlens.streaming import flows
 
 LIMITS = screen.Thresholds(volume_low=50, volume_high=1000, breadth=0.34, n_settled=20)
@@ -111,7 +113,7 @@ def tape_page_cap(t: Tables) -> DataFrame:
 
 @query
 def tape_fallback(t: Tables) -> DataFrame:
-    stats = tape.taker_stats(t.terminal(), t.trades(), t.series(), tie_break=TRADE_ORDER, fallback=True, **PAGES)
+    stats = tape.taker_stats(t.terminal(), t.trades(), t.series(), fallback=True)
     return stats.select("ticker", "trades", "contracts", "taker_gross_pnl_cents", "block_trades_skipped",
                         "pages_read", "truncated")
 
@@ -198,6 +200,33 @@ def page_host_match(t: Tables) -> DataFrame:
                                  rules.in_group(name, ["example.com", "example.net"]).alias("is_com_or_net"))
 
 
+def _page_domains(t: Tables) -> DataFrame:
+    """A dimension of domains taken from the pages: sites by their top domains, and single hosts."""
+    name = rules.host(F.col("url"))
+    pages = t.raw("pages").select("page_id", name.alias("domain"))
+    tops = pages.select(F.substring_index("domain", ".", -2).alias("domain")).distinct().select(
+        F.when(F.col("domain") == "example.org", "numeric").when(F.col("domain") == "example.net", "official").otherwise("market").alias("label"),
+        "domain")
+    single = pages.groupBy("domain").agg(F.min("page_id").alias("first"))
+    return tops.unionByName(single.where("first % 3 = 0").select(F.lit("no_benchmark").alias("label"), "domain")) \
+               .unionByName(single.where("first % 5 < 2").select(F.when(F.col("first") % 5 == 0, "low").otherwise("high").alias("label"), "domain"))
+
+
+@query
+def page_domain_labels(t: Tables) -> DataFrame:
+    """Hosts against a table of domains, as a join."""
+    hosts = t.raw("pages").select(rules.host(F.col("url")).alias("host"))
+    return domains.labels_of(hosts, _page_domains(t))
+
+
+@query
+def classify_many_links(t: Tables) -> DataFrame:
+    """Series that settle by many pages each: every nation's share of the pages."""
+    links = t.raw("pages").select(F.concat(F.lit("S"), F.col("page_id") % 30).alias("series_ticker"), rules.host(F.col("url")).alias("host")).distinct()
+    series = classify.with_event_counts(t.series(), t.events())
+    return domains.classify_links(series, links, _page_domains(t))
+
+
 # --- screen and diagnostics -------------------------------------------------
 
 @query
@@ -349,6 +378,28 @@ def snapshot_prior_state(t: Tables) -> DataFrame:
                     .select("ticker", "run_ts", "status", "prior_run_ts", "prior_status")
 
 
+@query
+def asof_stored_state(t: Tables) -> DataFrame:
+    """Every second state against the others as the stored table: the newest one within 12 h before it."""
+    states = t.states()
+    incoming, stored = states.where("arrival % 2 = 1"), states.where("arrival % 2 = 0")
+    return snapshots.stored_state(incoming, stored, 12, ["arrival", "status"], ["arrival"], buckets=4).select(
+        "ticker", "run_ts", "arrival", "status", "prior_run_ts", "prior_arrival", "prior_status")
+
+
+@query
+def retention_delete(t: Tables) -> DataFrame:
+    """Daily runs kept as folders, those older than ten days deleted: what is left."""
+    rows = merge.last_wins(t.states("day").select("ticker", "run_ts", "arrival", "status"), ["ticker", "run_ts"], ["arrival"])
+    base = scratch_dir(t.spark, "retention")
+    table = SnapshotTable(t.spark, f"{base}/table", "ticker bigint, run_ts timestamp_ntz, arrival bigint, status string")
+    table.append(rows, f"{base}/staging")
+    last = table.read().agg(F.max("run_ts")).first()[0]
+    if last is not None:
+        table.prune(last - timedelta(days=10))
+    return table.read().select("ticker", "run_ts", "arrival", "status")
+
+
 @query
 def retention_prune(t: Tables) -> DataFrame:
     snaps = t.snapshots()
@@ -406,6 +457,92 @@ def sweep_chunk_report(t: Tables) -> DataFrame:
     return chunks.chunk_report(t.terminal(volume=True), ingest_minimum=1, tape_minimum=100)
 
 
+def _text(rows: DataFrame, *names: str) -> DataFrame:
+    return rows.withColumns({c: F.col(c).cast("string") for c in names})
+
+
+def _store(t: Tables) -> jobs.Store:
+    """A store that knows the series and events."""
+    store = jobs.Store(t.spark, scratch_dir(t.spark, "store"))
+    store.tables["series"].upsert(t.series())
+    store.tables["events"].upsert(_text(t.events(), "event_ticker"))
+    return store
+
+
+def _feed(t: Tables) -> DataFrame:
+    """Settled markets as they land."""
+    at = {c: F.col(c).cast("timestamp") for c in ("settlement_ts", "close_time")}
+    return _text(t.markets(volume=True), "ticker", "event_ticker").withColumns(at).withColumn("arrival", F.lit(0))
+
+
+def _live(t: Tables) -> DataFrame:
+    return _text(t.trades(), "ticker").withColumn("origin", F.lit("live"))
+
+
+SWEPT = datetime(2001, 1, 1)
+
+
+def _stopped_and_resumed(t: Tables) -> jobs.Store:
+    """Two-year windows; a first run ends after two of them, a second one goes on."""
+    store, years = _store(t), timedelta(days=730)
+    for windows in (2, None):
+        jobs.sweep_job(store, _feed(t), _live(t), SWEPT, chunk=years, overlap=timedelta(0), stop_after=windows)
+    return store
+
+
+@query
+def sweep_resumed(t: Tables) -> DataFrame:
+    """What a sweep that stopped between windows leaves: every market once, every tape folded."""
+    store = _stopped_and_resumed(t)
+    stats = store.read("market_taker_stats").select("ticker", "trades", "contracts", "taker_gross_pnl_cents", "taker_fee_est_cents")
+    return store.read("markets_terminal").select("ticker", "series_ticker", "settlement_ts").join(stats, "ticker", "left")
+
+
+@query
+def sweep_commits(t: Tables) -> DataFrame:
+    """The windows committed by both runs, each once, with the markets of each."""
+    return _stopped_and_resumed(t).sweep_windows.read().select("lo", "hi", "markets", "aggregated")
+
+
+@query
+def sweep_late_markets(t: Tables) -> DataFrame:
+    """Markets that land in two batches, the second one out of order, swept by landed files: each is swept once."""
+    store = _store(t)
+    feed = _feed(t).withColumn("arrival", F.struct(F.lit("f").alias("file_path"), F.lit(0).cast("bigint").alias("file_block_start"),
+                                                   F.lit(0).cast("bigint").alias("line"), F.lit(0).alias("pos")))
+    feed = feed.withColumn("settled_day", store.tables["markets_terminal"].day_of(F.col("settlement_ts")))
+    feed = feed.select(*[F.col(f.name) if f.name in feed.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in T.StructType.fromDDL(jobs.SETTLED).fields])
+    late, counts = F.col("ticker").cast("bigint") % 5 == 0, []
+    for batch, rows in enumerate((feed.where(~late), feed.where(late))):
+        store.settled.write(rows.hint("rebalance", "settled_day"), batch)
+        swept = jobs.sweep_landed(store, f"{store.path}/landed", SWEPT, _live(t), chunk=timedelta(days=3650))
+        counts.append(F.lit(swept["markets"]).cast("bigint"))
+    return store.read("markets_terminal").select(
+        F.count("*").alias("markets"), F.count_distinct("ticker").alias("tickers"), counts[0].alias("first"), counts[1].alias("second"),
+        F.sum("volume").alias("volume"))
+
+
+@query
+def settled_days(t: Tables) -> DataFrame:
+    """Markets kept by settlement day: those that settled on the days of a worklist, read from these days' folders alone."""
+    schema = "ticker bigint, series_ticker string, settlement_ts timestamp_ntz, volume decimal(18,2)"
+    table = DatedTable(t.spark, scratch_dir(t.spark, "settled_days"), schema, ["ticker"])
+    table.upsert(t.terminal(volume=True).select("ticker", "series_ticker", "settlement_ts", "volume"))
+    busy = table.read().withColumn("settled_day", table.day_of(F.col("settlement_ts"))).groupBy("settled_day").agg(F.sum("volume").alias("traded"))
+    return table.on_days(busy.where("traded >= 300")).select("ticker", "series_ticker", "settlement_ts")
+
+
+@query
+def keyed_sink(t: Tables) -> DataFrame:
+    """The keyed table itself after two upserts."""
+    table = KeyedTable(t.spark, scratch_dir(t.spark, "keyed"), "ticker bigint, status string, result string, volume decimal(18,2), "
+                       "first_seen timestamp_ntz", ["ticker"], parts=8)
+    table.upsert(_earlier(t))
+    table.upsert(_later(t), defaults={"first_seen": _moment("2002-01-01")})
+    return table.read()
+
+
 # --- quality ----------------------------------------------------------------
 
 @query
@@ -486,6 +623,37 @@ def stream_taker_stats(t: Tables) -> DataFrame:
         "ticker", "trades", "contracts", "taker_gross_pnl_cents", "taker_fee_est_cents", "block_trades_skipped")
 
 
+@query
+def stream_running_tapes(t: Tables) -> DataFrame:
+    """Tapes folded with kept state over several triggers and a restart; the log is one row a tape at the end."""
+    base = scratch_dir(t.spark, "running")
+    rows, folder = t.trades(), f"{base}/in"
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    log = BatchLog(t.spark, f"{base}/log", flows.sums_schema())
+    for k in range(2):
+        # A tape's trades are spread over both runs and all files.
+        rows.where(F.col("trade_no") % 2 == k).repartition(2).write.mode("append").parquet(folder)
+        stream = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        flows.total_tapes(stream, log, f"{base}/checkpoint", compact_every=2)
+    sums = log.read().drop("batch_id")
+    return tape.exact(sums).select("ticker", "trades", "contracts", "yes_notional", "no_notional", "block_trades")
+
+
+@query
+def stream_chunk_counts(t: Tables) -> DataFrame:
+    """Windows of 30 days recounted as markets land, newest first, so that most land late."""
+    base = scratch_dir(t.spark, "chunks")
+    rows = t.terminal(volume=True).select("ticker", "settlement_ts", "volume")
+    schema = "ticker bigint, settlement_ts timestamp_ntz, volume decimal(18,2)"
+    log = BatchLog(t.spark, f"{base}/log", f"{schema}, chunk bigint", ["chunk"])
+    counts = BatchLog(t.spark, f"{base}/counts", "chunk bigint, settled bigint, ingest_eligible bigint, tape_eligible bigint")
+    for later in (True, False):
+        rows.where((F.col("ticker") % 2 == 0) == later).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        stream = t.spark.readStream.schema(schema).parquet(f"{base}/in")
+        flows.chunk_counts(stream, log, counts, f"{base}/checkpoint", datetime(1992, 1, 1), timedelta(days=30), 1, 100)
+    return counts.latest(["chunk"]).drop("batch_id")
+
+
 @query
 def stream_settled_ingest(t: Tables) -> DataFrame:
     base = scratch_dir(t.spark, "settled")
@@ -564,6 +732,46 @@ def json_ingest_snapshots(t: Tables) -> DataFrame:
                        "price_level_structure")
 
 
+@query
+def json_nested_markets(t: Tables) -> DataFrame:
+    """Events that carry their markets, and the tick sizes of these."""
+    path = scratch_dir(t.spark, "pages") + "/nested"
+    cents = (F.col("ticker") % 9 + 1).cast("decimal(6,0)") * F.lit(Decimal("0.01"))
+    tick = F.struct(F.lit("0").alias("start"), F.lit("1").alias("end"), cents.cast("string").alias("step"))
+    item = F.struct(F.concat(F.lit("M"), "ticker").alias("ticker"), F.col("event_ticker").cast("string").alias("event_ticker"), "status", "result",
+                    F.array(tick).alias("price_ranges"))
+    wire = t.markets().groupBy("event_ticker").agg(F.collect_list(item).alias("markets"))
+    _land(_text(wire, "event_ticker"), "events", "event_ticker", path)
+    raw = landing.nested_markets(landing.pages(t.spark, path, "events"))
+    ticks = landing.price_ranges(raw)
+    return landing.read_markets(raw).select("ticker", "event_ticker", "status", "result").join(ticks, "ticker")
+
+
+@query
+def json_lenient_trades(t: Tables) -> DataFrame:
+    """Trades of which some carry a malformed number: these lie apart with a reason, the others are folded."""
+    path = scratch_dir(t.spark, "pages") + "/lenient"
+    rows = t.trades()
+    odd = F.when(F.col("supp_no") % 11 == 0, F.concat(F.col("count_fp").cast("string"), F.lit("x"))).otherwise(F.col("count_fp").cast("string"))
+    price = F.when(F.col("part_no") % 13 == 0, F.lit("free")).otherwise(F.col("yes_price_dollars").cast("string"))
+    wire = rows.select(F.concat_ws("-", "ticker", *TRADE_ORDER).alias("trade_id"), F.col("ticker").cast("string").alias("ticker"),
+                       odd.alias("count_fp"), price.alias("yes_price_dollars"), F.col("no_price_dollars").cast("string").alias("no_price_dollars"),
+                       "taker_side", "is_block_trade")
+    _land(wire, "trades", "trade_id", path)
+    good, apart = landing.read_trades_apart(landing.pages(t.spark, path, "trades"))
+    counted = apart.groupBy("reason").agg(F.count("*").alias("n"))
+    folded = good.select(F.lit("read").alias("reason"), F.lit(1).alias("one")).groupBy("reason").agg(F.count("one").alias("n"))
+    return counted.unionByName(folded)
+
+
+@query
+def outcome_side(t: Tables) -> DataFrame:
+    """Trades that name the outcome in the newer field where the older one is missing."""
+    rows = t.trades().withColumn("taker_outcome_side", F.when(F.col("trade_no") % 2 == 0, F.col("taker_side")))
+    rows = rows.withColumn("taker_side", F.when(F.col("trade_no") % 2 == 1, F.col("taker_side")))
+    return tape.exact(tape.tape_sums(rows, ["ticker"], use_outcome_side=True)).select("ticker", "trades", "yes_contracts", "no_contracts", "bad_side")
+
+
 @query
 def json_ingest_trades(t: Tables) -> DataFrame:
     """The tape written as payload pages, read back and folded."""

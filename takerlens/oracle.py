@@ -235,16 +235,13 @@ def statements() -> dict[str, str]:
         , live AS (SELECT DISTINCT ticker FROM fills WHERE origin = 'live' AND NOT block),
         chosen AS (SELECT f.* FROM fills f LEFT JOIN live l USING (ticker)
                    WHERE (origin = 'live' AND l.ticker IS NOT NULL) OR (origin = 'archive' AND l.ticker IS NULL)),
-        ranked AS (SELECT *, (row_number() OVER (PARTITION BY ticker ORDER BY created DESC, trade_no DESC, part_no DESC,
-                   supp_no DESC, yes_cents DESC, side DESC, n DESC) - 1) // 2 AS page FROM chosen WHERE NOT block),
-        kept AS (SELECT ticker, count(*) AS trades, sum(n) AS contracts, sum(pnl) AS pnl, max(page) + 1 AS pages
-                 FROM ranked WHERE page < 3 GROUP BY 1),
-        blocks AS (SELECT ticker, count(*) AS n FROM chosen WHERE block GROUP BY 1)
+        kept AS (SELECT ticker, count(*) FILTER (NOT block) AS trades, sum(n) FILTER (NOT block) AS contracts,
+                        sum(pnl) FILTER (NOT block) AS pnl, count(*) FILTER (block) AS blocks FROM chosen GROUP BY 1)
         SELECT m.ticker, coalesce(trades, 0) AS trades, {_six('coalesce(contracts, 0)', 'contracts')},
                {_six("CASE WHEN m.result IN ('yes', 'no') THEN coalesce(pnl, 0) END", 'taker_gross_pnl_cents')},
-               coalesce(b.n, 0) AS block_trades_skipped, CAST(coalesce(pages, 0) AS BIGINT) AS pages_read,
-               coalesce(pages, 0) >= 3 AS truncated
-        FROM px_terminal m LEFT JOIN kept USING (ticker) LEFT JOIN blocks b USING (ticker)""")
+               coalesce(blocks, 0) AS block_trades_skipped, CAST(ceil(coalesce(trades, 0) / 1000) AS BIGINT) AS pages_read,
+               false AS truncated
+        FROM px_terminal m LEFT JOIN kept USING (ticker)""")
     sql["bleed_exclusions"] = _with("whole", """
         SELECT series_ticker, count(*) FILTER (result NOT IN ('yes', 'no')) AS n_non_binary_result,
                CAST(0 AS BIGINT) AS n_truncated, count(*) FILTER (result IS NULL) AS n_null_result
@@ -397,6 +394,19 @@ def statements() -> dict[str, str]:
         SELECT s.ticker, {_ts('s.run_ts', 'run_ts')}, s.status, {_ts('p.run_ts', 'prior_run_ts')}, p.status AS prior_status
         FROM states s ASOF LEFT JOIN states q ON q.ticker = s.ticker AND q.run_ts < s.run_ts
         LEFT JOIN states p ON p.ticker = q.ticker AND p.run_ts = q.run_ts AND q.run_ts > s.run_ts - INTERVAL 12 HOUR""")
+    sql["asof_stored_state"] = _with("px_snapshots", f"""
+        , st AS (SELECT ticker, date_trunc('hour', run_ts) AS run_ts, arrival, status FROM px_snapshots),
+        stored AS (SELECT ticker, run_ts, max(arrival) AS arrival, max_by(status, arrival) AS status FROM st WHERE arrival % 2 = 0 GROUP BY 1, 2),
+        found AS (SELECT l.*, (SELECT max(r.run_ts) FROM stored r WHERE r.ticker = l.ticker AND r.run_ts < l.run_ts
+                               AND r.run_ts > l.run_ts - INTERVAL 12 HOUR) AS at_run FROM st l WHERE arrival % 2 = 1)
+        SELECT f.ticker, {_ts('f.run_ts', 'run_ts')}, f.arrival, f.status, {_ts('s.run_ts', 'prior_run_ts')}, s.arrival AS prior_arrival,
+               s.status AS prior_status
+        FROM found f LEFT JOIN stored s ON s.ticker = f.ticker AND s.run_ts = f.at_run""")
+    sql["retention_delete"] = _with("px_snapshots", f"""
+        , st AS (SELECT ticker, date_trunc('day', run_ts) AS run_ts, max(arrival) AS arrival, max_by(status, arrival) AS status
+                 FROM px_snapshots GROUP BY 1, 2)
+        SELECT ticker, {_ts('run_ts')}, arrival, status FROM st
+        WHERE run_ts >= (SELECT max(run_ts) FROM st) - INTERVAL 10 DAY""")
     sql["retention_prune"] = _with("px_snapshots", """
         SELECT count(*) AS before, count(*) FILTER (run_ts < m - INTERVAL 10 DAY) AS removed,
                count(*) FILTER (run_ts >= m - INTERVAL 10 DAY) AS kept
@@ -427,6 +437,54 @@ def statements() -> dict[str, str]:
                count(*) FILTER (t.ticker IS NOT NULL AND coalesce(volume, 0) >= 100) AS tape_eligible
         FROM w LEFT JOIN px_terminal t ON settlement_ts >= w.lo AND (settlement_ts < w.hi OR (final AND settlement_ts <= w.hi))
         GROUP BY chunk, w.lo, w.hi""")
+    sql["sweep_resumed"] = _with("whole px_terminal", f"""
+        SELECT CAST(w.ticker AS VARCHAR) AS ticker, w.series_ticker, {_ts('m.settlement_ts', 'settlement_ts')}, trades, {_six('contracts', 'contracts')},
+               {_six('pnl', 'taker_gross_pnl_cents')}, {_six('CAST(fee_e4 AS DOUBLE) / 10000', 'taker_fee_est_cents')}
+        FROM whole w JOIN px_terminal m ON m.ticker = w.ticker WHERE m.settlement_ts IS NOT NULL""")
+    sql["sweep_commits"] = _with("px_terminal", f"""
+        , first AS (SELECT min(settlement_ts) AS t FROM px_terminal),
+        one AS (SELECT t + k * INTERVAL 730 DAY AS lo, t + (k + 1) * INTERVAL 730 DAY AS hi FROM first, range(2) AS r(k)),
+        two AS (SELECT max(hi) + k * INTERVAL 730 DAY AS lo, least(max(hi) + (k + 1) * INTERVAL 730 DAY, TIMESTAMP '2001-01-01') AS hi
+                FROM one, range(10) AS r(k) GROUP BY k),
+        w AS (SELECT * FROM one UNION ALL SELECT * FROM two WHERE lo < TIMESTAMP '2001-01-01')
+        SELECT {_ts('lo')}, {_ts('hi')}, count(*) AS markets, count(*) AS aggregated
+        FROM w JOIN px_terminal ON settlement_ts >= lo AND settlement_ts < hi GROUP BY lo, hi""")
+    sql["sweep_late_markets"] = _with("px_terminal", f"""
+        SELECT count(*) AS markets, count(*) AS tickers, count(*) FILTER (ticker % 5 <> 0) AS first, count(*) FILTER (ticker % 5 = 0) AS second,
+               {_six('sum(volume)', 'volume')} FROM px_terminal WHERE settlement_ts IS NOT NULL""")
+    sql["settled_days"] = _with("px_terminal", f"""
+        SELECT ticker, series_ticker, {_ts('settlement_ts')} FROM px_terminal
+        WHERE coalesce(CAST(settlement_ts AS DATE), DATE '1500-01-01') IN (
+          SELECT coalesce(CAST(settlement_ts AS DATE), DATE '1500-01-01') FROM px_terminal GROUP BY 1 HAVING sum(volume) >= 300)""")
+    sql["keyed_sink"] = sql["upsert_merge"]
+    page_domains = """
+        WITH h AS (SELECT page_id, replace(lower(regexp_extract(url, '//([^/?#]*)', 1)), 'www.', '') AS host FROM pages),
+        single AS (SELECT host AS domain, min(page_id) AS first FROM h GROUP BY 1),
+        dims AS (SELECT DISTINCT CASE WHEN host LIKE '%example.org' THEN 'numeric' WHEN host LIKE '%example.net' THEN 'official' ELSE 'market' END AS label,
+                        regexp_extract(host, '[^.]*[.][^.]*$') AS domain FROM h
+                 UNION ALL SELECT 'no_benchmark', domain FROM single WHERE first % 3 = 0
+                 UNION ALL SELECT CASE WHEN first % 5 = 0 THEN 'low' ELSE 'high' END, domain FROM single WHERE first % 5 < 2),
+        found AS (SELECT host, label FROM (SELECT DISTINCT host FROM h) JOIN dims ON host = domain OR ends_with(host, '.' || domain))"""
+    sql["page_domain_labels"] = page_domains + """
+        SELECT host, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM found GROUP BY 1"""
+    hit = "coalesce(bool_or(f.label = '{0}'), false)"
+    more = _with("n_ev", "")[len("WITH "):]
+    sql["classify_many_links"] = page_domains + f""", {more.strip()},
+        level AS (SELECT host, min(CASE label WHEN 'low' THEN 1 WHEN 'high' THEN 2 END) AS level FROM found GROUP BY 1),
+        links AS (SELECT DISTINCT 'S' || page_id % 30 AS series_ticker, host FROM h),
+        hits AS (SELECT l.series_ticker, count(DISTINCT l.host) AS n_hosts, {hit.format('numeric')} AS num, {hit.format('official')} AS off,
+                        {hit.format('market')} AS mar, {hit.format('no_benchmark')} AS nob,
+                        min_by(v.level, l.host) FILTER (v.level IS NOT NULL) AS level
+                 FROM links l LEFT JOIN found f USING (host) LEFT JOIN level v USING (host) GROUP BY 1)
+        SELECT s.series_ticker, coalesce(n_hosts, 0) AS n_hosts,
+               CASE WHEN num THEN 'scrapable_numeric_feed' WHEN off THEN 'official_report' WHEN mar THEN 'market_price' ELSE 'unknown' END AS settlement_source_type,
+               CASE WHEN nob THEN 'none' WHEN mar THEN 'cme_or_rates' WHEN category = 'Sports' THEN 'sportsbook'
+                    WHEN category = 'Crypto' THEN 'spot_crypto' ELSE 'none' END AS benchmark,
+               CASE WHEN nob THEN NULL WHEN mar THEN 'exchange / oracle price feed' WHEN category = 'Sports' THEN 'retail sportsbooks'
+                    WHEN category = 'Crypto' THEN 'spot exchanges' END AS benchmark_name,
+               CASE WHEN frequency = 'one_off' THEN 'one_off' WHEN frequency <> 'custom' OR n_events >= 6 THEN 'recurring' ELSE 'unknown' END AS recurrence,
+               CASE level WHEN 1 THEN 'low' WHEN 2 THEN 'high' ELSE 'unknown' END AS scrape_difficulty
+        FROM px_series s JOIN n_ev USING (series_ticker) LEFT JOIN hits USING (series_ticker)"""
     checks = [
         ("series_key", "px_series", "series_ticker IS NULL OR series_ticker = ''"),
         ("series_frequency", "px_series", "frequency IS NULL OR frequency = ''"),
@@ -478,6 +536,24 @@ def statements() -> dict[str, str]:
     sql["stream_taker_stats"] = _with("whole", f"""
         SELECT ticker, trades, {_six('contracts', 'contracts')}, {_six('pnl', 'taker_gross_pnl_cents')},
                {_six('CAST(fee_e4 AS DOUBLE) / 10000', 'taker_fee_est_cents')}, blocks AS block_trades_skipped FROM whole""")
+    tapes = f"""count(*) FILTER (NOT block) AS trades, {_six('coalesce(sum(n) FILTER (NOT block), 0)', 'contracts')},
+               {_six("coalesce(sum(n * yes_cents) FILTER (NOT block AND side = 'yes'), 0) / 100", 'yes_notional')},
+               {_six("coalesce(sum(n * (100 - yes_cents)) FILTER (NOT block AND side = 'no'), 0) / 100", 'no_notional')},
+               count(*) FILTER (block) AS block_trades"""
+    sql["stream_running_tapes"] = _with("px_trades", f"SELECT ticker, {tapes} FROM px_trades GROUP BY 1")
+    sql["outcome_side"] = _with("px_trades", f"""
+        SELECT ticker, count(*) FILTER (NOT block) AS trades, {_six("coalesce(sum(n) FILTER (NOT block AND side = 'yes'), 0)", 'yes_contracts')},
+               {_six("coalesce(sum(n) FILTER (NOT block AND side = 'no'), 0)", 'no_contracts')}, CAST(0 AS BIGINT) AS bad_side FROM px_trades GROUP BY 1""")
+    sql["stream_chunk_counts"] = _with("px_terminal", """
+        SELECT datediff('day', DATE '1992-01-01', CAST(settlement_ts AS DATE)) // 30 + 1 AS chunk, count(*) AS settled,
+               count(*) FILTER (coalesce(volume, 0) >= 1) AS ingest_eligible, count(*) FILTER (coalesce(volume, 0) >= 100) AS tape_eligible
+        FROM px_terminal WHERE settlement_ts IS NOT NULL GROUP BY 1""")
+    sql["json_nested_markets"] = _with("px_markets", """
+        SELECT 'M' || ticker AS ticker, CAST(event_ticker AS VARCHAR) AS event_ticker, status, result, CAST(0 AS DOUBLE) AS "start",
+               CAST(1 AS DOUBLE) AS "end", round((ticker % 9 + 1) / 100, 6) AS step FROM px_markets""")
+    sql["json_lenient_trades"] = _with("px_trades", """
+        SELECT reason, count(*) AS n FROM (SELECT CASE WHEN supp_no % 11 = 0 THEN 'count_fp' WHEN part_no % 13 = 0 THEN 'yes_price_dollars'
+                                                       ELSE 'read' END AS reason FROM px_trades) GROUP BY 1""")
     sql["stream_settled_ingest"] = _with("px_terminal", """
         SELECT ticker, event_ticker, series_ticker, status, result FROM px_terminal""")
     sql["json_ingest_series"] = _with("px_series", f"""

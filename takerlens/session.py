@@ -53,6 +53,13 @@ def scratch_dir(spark: SparkSession, prefix: str) -> str:
     return f"{base.rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
 
 
+def staged(rows: DataFrame) -> DataFrame:
+    """Rows written to the shared scratch folder: computed once, however often they are read."""
+    path = scratch_dir(rows.sparkSession, "staged")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def size_shuffles(spark: SparkSession, *inputs: DataFrame, partition_bytes: int = 128 << 20, most: int = 100_000) -> int:
     """Raise `spark.sql.shuffle.partitions` so that shuffling the inputs makes partitions of bounded size.
 

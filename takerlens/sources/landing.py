@@ -117,3 +117,29 @@ def read_trades(raw: DataFrame, origin: str = "live", strict: bool = True) -> Da
         dec(F.col("p.no_price_dollars"), PRICE, strict).alias("no_price_dollars"),
         "p.taker_side", "p.taker_outcome_side", "p.is_block_trade",
         ts(F.col("p.created_time")).alias("created_time"), F.lit(origin).alias("origin"), "arrival")
+
+
+def apart(raw: DataFrame, schema: str, numbers: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Readable items, and those set aside as reason, raw, arrival: their table is a quarantine that can be mended and landed again.
+
+    `numbers` are the text fields that must hold a number if anything, with their types. The reason names the first
+    field that does not, or `shape` where the item does not fit the schema.
+    """
+    parsed = raw.withColumn("p", F.from_json("raw", f"{schema}, _broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}))
+    reason = F.when(F.col("p").isNull() | F.col("p._broken").isNotNull(), F.lit("shape"))
+    for name, kind in numbers.items():
+        text = F.nullif(F.col(f"p.{name}"), F.lit(""))
+        reason = reason.when(text.isNotNull() & text.try_cast(kind).isNull(), F.lit(name))
+    told = parsed.withColumn("reason", reason)
+    return (told.where("reason IS NULL").select(*raw.columns), told.where("reason IS NOT NULL").select("reason", "raw", "arrival"))
+
+
+def read_trades_apart(raw: DataFrame, origin: str = "live") -> tuple[DataFrame, DataFrame]:
+    """`read_trades` where one malformed number costs its own row and no other."""
+    good, bad = apart(raw, TRADE, {"count_fp": COUNT, "yes_price_dollars": PRICE, "no_price_dollars": PRICE})
+    return read_trades(good, origin), bad
+
+
+def read_markets_apart(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    good, bad = apart(raw, MARKET, {"volume_fp": COUNT, "open_interest_fp": COUNT})
+    return read_markets(good), bad

@@ -81,6 +81,69 @@ class KeyedTable:
         _delete(self.spark, staging)
 
 
+class DatedTable:
+    """One row per key, as Parquet partitioned by the day of a time column.
+
+    A read of a range opens only its days. An upsert reads and overwrites the days its rows fall on and those their keys lay on
+    before; a scan of the key column alone finds these. Days count from 1970 in UTC, whatever the session's
+    time zone; rows without a time share a folder.
+    """
+
+    UNDATED = -1_000_000
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], moment: str = "settlement_ts",
+                 day: str = "settled_day"):
+        self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, list(keys)
+        self.moment, self.day = moment, day
+
+    def day_of(self, moment: Column) -> Column:
+        return F.coalesce(F.floor(F.unix_seconds(moment.cast("timestamp")) / 86400), F.lit(self.UNDATED)).cast("int")
+
+    def _stored(self) -> DataFrame:
+        if not _children(self.spark, self.path, f"{self.day}="):
+            return self.spark.createDataFrame([], f"{self.schema}, {self.day} int")
+        return self.spark.read.schema(f"{self.schema}, {self.day} int").parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self._stored().drop(self.day)
+
+    def between(self, low, high=None) -> DataFrame:
+        """Rows from `low` to `high`, both included; only the folders of these days are opened."""
+        rows, day = self._stored().where(F.col(self.moment) >= F.lit(low)), F.col(self.day)
+        rows = rows.where(day >= self.day_of(F.lit(low)))
+        if high is not None:
+            rows = rows.where((F.col(self.moment) <= F.lit(high)) & (day <= self.day_of(F.lit(high))))
+        return rows.drop(self.day)
+
+    def on_days(self, days: DataFrame) -> DataFrame:
+        """Rows of the days in `days`. While that side is small and filtered, Spark prunes folders by it at run time."""
+        return self._stored().join(days.select(self.day), self.day, "left_semi").drop(self.day)
+
+    def upsert(self, rows: DataFrame, order: Sequence[str] | None = None, **options) -> None:
+        """Insert or overwrite the rows' keys (see `merge.upsert`); days they do not touch stay as they are.
+
+        `rows` have the time column; a key whose time changed moves to its new day. What reaches the driver are days.
+        """
+        stored = self._stored()
+        if order:
+            rows = last_wins(rows, self.keys, order).drop(*[c for c in order if c not in stored.columns])
+        days = {r[0] for r in rows.select(self.day_of(F.col(self.moment))).distinct().collect()}
+        if not days:
+            return
+        days |= {r[0] for r in stored.join(rows.select(*self.keys), self.keys, "left_semi").select(self.day).distinct().collect()}
+        known = stored.where(F.col(self.day).isin(sorted(days))).drop(self.day)
+        staging = scratch_dir(self.spark, "upsert")
+        merged = upsert(known, rows, self.keys, **options).withColumn(self.day, self.day_of(F.col(self.moment)))
+        merged.write.parquet(staging)
+        new = self.spark.read.schema(merged.schema).parquet(staging)
+        (new.hint("rebalance", self.day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(self.day).parquet(self.path))
+        # A day that all its rows have left is not among those written.
+        for day in days - {r[0] for r in new.select(self.day).distinct().collect()}:
+            _delete(self.spark, f"{self.path}/{self.day}={day}")
+        _delete(self.spark, staging)
+
+
 class BatchLog:
     """Append-only rows below `batch_id=`; a repeated batch overwrites itself."""
 
@@ -94,8 +157,17 @@ class BatchLog:
         _delete(self.spark, place)
         _rename(self.spark, aside, place)
 
+    def _settle(self) -> None:
+        """Finish a write that stopped between its two last steps: whole, but not in its place."""
+        for name in _children(self.spark, self.path, "_writing-"):
+            place = f"batch_id={name.split('-', 1)[1]}"
+            if "_SUCCESS" in _children(self.spark, f"{self.path}/{name}", "_SUCCESS") \
+                    and not _children(self.spark, self.path, place):
+                _rename(self.spark, f"{self.path}/{name}", f"{self.path}/{place}")
+
     def read(self) -> DataFrame:
         """All rows with their `batch_id`."""
+        self._settle()
         if not _children(self.spark, self.path, "batch_id="):
             return self.spark.createDataFrame([], f"{self.schema}, batch_id bigint")
         return self.spark.read.schema(f"{self.schema}, batch_id bigint").parquet(self.path)
@@ -104,6 +176,33 @@ class BatchLog:
         """One row per key: the last by batch, then by `order`."""
         return last_wins(self.read(), keys, ["batch_id", *order])
 
+    def batches(self) -> list[int]:
+        self._settle()
+        return sorted(int(n.split("=")[1]) for n in _children(self.spark, self.path, "batch_id="))
+
+    def compact(self, keys: Sequence[str], until: int, order: Sequence[str] = ()) -> None:
+        """Fold the batches up to `until` into that one: a row per key, the last.
+
+        The folded batch is in place before the older ones go. They lose against it meanwhile, so a
+        reader of `latest` sees the same rows at any moment, and a stopped compaction can run again.
+        """
+        old = [b for b in self.batches() if b <= until]
+        if len(old) < 2:
+            return
+        upto = self.read().where(F.col("batch_id") <= F.lit(until))
+        self.write(last_wins(upto, keys, ["batch_id", *order]).drop("batch_id"), old[-1])
+        for batch in old[:-1]:
+            _delete(self.spark, f"{self.path}/batch_id={batch}")
+
+    def partitions(self) -> list[dict[str, str]]:
+        """The folders of the log by their columns, from the listing alone."""
+        if not self.batches():
+            return []
+        glob = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, "batch_id=*", *(f"{c}=*" for c in self.partition_by)]))
+        found = glob.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(glob)
+        depth = 1 + len(self.partition_by)
+        return [dict(x.split("=", 1) for x in str(s.getPath()).split("/")[-depth:]) for s in found]
+
 
 class SnapshotTable:
     """Snapshots partitioned by run, so a window read or a prune touches whole folders.

@@ -166,23 +166,27 @@ def test_trades_count_once_across_batches(world):
     a, b, c = (tape("A", i) for i in range(3))
     nameless = {**tape("A", 5), "trade_id": None}
     assert jobs.trades_job(store, land(root / "b1", "trades", [a, b, nameless, nameless]), 1)["without_id"] == 2
-    assert jobs.trades_job(store, land(root / "b2", "trades", [b, c]), 2)["trades"] == 1
-    assert jobs.trades_job(store, land(root / "b2", "trades", [b, c]), 2)["trades"] == 1
-    assert store.trades.read().count() == 5
+    assert jobs.trades_job(store, land(root / "b2", "trades", [b, c]), 2)["trades"] == 2
+    assert jobs.trades_job(store, land(root / "b2", "trades", [b, c]), 2)["trades"] == 2
+    assert (store.trades.read().count(), store.tape().count()) == (6, 5)
+    # Batch 1 lands again without b: batch 2 still has it.
+    jobs.trades_job(store, land(root / "b1again", "trades", [a, nameless]), 1)
+    assert sorted(str(r.trade_id) for r in store.tape().collect()) == ["A0", "A1", "A2", "None"]
+    assert store.tape(spark.createDataFrame([("B",)], "ticker string")).count() == 0
 
 
-@pytest.mark.parametrize("hours_ago, repaired", [(3, 1), (0.5, 0)])
-def test_late_links_are_scored_again(world, hours_ago, repaired):
+@pytest.mark.parametrize("hours_ago", [3, 0.5])
+def test_late_links_are_scored_again(world, hours_ago):
     """The market lies outside the next sweep's range, or is swept again."""
     spark, root, _, opened, _ = world
-    store = jobs.Store(spark, str(root / f"store9-{repaired}"))
-    jobs.snapshot_job(store, feed(root / f"land9-{repaired}", opened), NOW)
-    markets = landing.read_markets(landing.pages(spark, land(root / f"m9-{repaired}", "markets", [settled("L", "E9", hours_ago)]), "markets"))
-    trades = trades_of(spark, root, f"t9-{repaired}", [tape("L", 1)])
+    store = jobs.Store(spark, str(root / f"store9-{hours_ago}"))
+    jobs.snapshot_job(store, feed(root / f"land9-{hours_ago}", opened), NOW)
+    markets = landing.read_markets(landing.pages(spark, land(root / f"m9-{hours_ago}", "markets", [settled("L", "E9", hours_ago)]), "markets"))
+    trades = trades_of(spark, root, f"t9-{hours_ago}", [tape("L", 1)])
     assert jobs.sweep_job(store, markets, trades, NOW)["missing_events"] == 1
     assert store.read("market_taker_stats").first().taker_fee_est_cents > 0
-    jobs.snapshot_job(store, feed(root / f"land9b-{repaired}", opened, [{"event_ticker": "E9", "series_ticker": "SP"}]), NOW + timedelta(hours=1))
-    assert jobs.sweep_job(store, markets, trades, NOW + timedelta(hours=1))["repaired"] == repaired
+    jobs.snapshot_job(store, feed(root / f"land9b-{hours_ago}", opened, [{"event_ticker": "E9", "series_ticker": "SP"}]), NOW + timedelta(hours=1))
+    assert jobs.sweep_job(store, markets, trades, NOW + timedelta(hours=1))["repaired"] == 1
     assert store.read("market_taker_stats").first().taker_fee_est_cents == 0
 
 

@@ -49,10 +49,10 @@ def test_recurrence(spark, frequency, n_events, expected):
 def test_notes_and_links(spark):
     r = tag(spark, "World", "custom", [" https://b.com/1 ", "", "https://a.com:8080", "https://www.c.com", "https://d.com"], 7)
     assert r.source_urls == ["https://b.com/1", "https://a.com:8080", "https://www.c.com", "https://d.com"]
-    assert r.notes == "unknown/none via a.com:8080,b.com,c.com [recurrence from 7 events]"
+    assert r.notes == "unknown/none via a.com:8080,b.com,c.com,d.com [recurrence from 7 events]"
     assert (r.model, r.reviewed, r.benchmark_name) == ("rules:v3", False, None)
     long = tag(spark, "World", "daily", [f"https://{'x' * 90}{i}.com" for i in range(3)])
-    assert len(long.notes) == 200
+    assert long.notes == "unknown/none via " + ",".join(f"{'x' * 90}{i}.com" for i in range(3))
 
 
 def test_candidates_respect_people_and_versions(spark):

@@ -49,6 +49,42 @@ def test_running_totals_in_update_mode(spark, tmp_path):
     assert [r.trades for r in spark.table("running").orderBy("trades").collect()] == [2, 4]
 
 
+def test_kept_totals_survive_triggers_restarts_and_compaction(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [trade(i, rng.choice("AAAB"), yes=f"0.{rng.randint(10, 99)}", block=rng.random() < .1) for i in range(120)]
+    df = spark.createDataFrame(rows, TRADES)
+    log = BatchLog(spark, str(tmp_path / "log"), flows.sums_schema("ticker string"))
+    for lo in (0, 60):
+        stream = as_stream(spark, df, tmp_path / "in", [rows[lo + i:lo + i + 20] for i in (0, 20, 40)])
+        flows.total_tapes(stream, log, str(tmp_path / "cp"), compact_every=2)
+        assert len(log.batches()) == 1 and log.read().count() == log.read().select("ticker").distinct().count()
+    want = sorted(map(tuple, tape.tape_sums(df, ["ticker"]).collect()))
+    assert sorted(map(tuple, log.read().drop("batch_id").collect())) == want
+    # A compaction that stopped before the older batches were gone, and a write that stopped before its last step.
+    log.write(tape.tape_sums(df.limit(3), ["ticker"]), 1)
+    assert sorted(map(tuple, log.latest(["ticker"]).drop("batch_id").collect())) == want
+    log.compact(["ticker"], log.batches()[-1])
+    assert log.batches() == [5]
+    (tmp_path / "log" / "batch_id=5").rename(tmp_path / "log" / "_writing-5")
+    (tmp_path / "log" / "_writing-5" / "_SUCCESS").touch()
+    assert sorted(map(tuple, log.read().drop("batch_id").collect())) == want
+
+
+def test_windows_are_recounted_however_late(spark, tmp_path):
+    schema = "ticker string, settlement_ts timestamp, volume decimal(18,2)"
+    at = lambda h: T0 + timedelta(hours=h)
+    log = BatchLog(spark, str(tmp_path / "log"), f"{schema}, chunk bigint", ["chunk"])
+    counts = BatchLog(spark, str(tmp_path / "counts"), "chunk bigint, settled bigint, ingest_eligible bigint, tape_eligible bigint")
+    batches = [[("A", at(1), D(5)), ("B", at(40), D(0)), ("U", None, D(1))], [("LATE", at(2), D(500)), ("C", at(-3), D(1))],
+               [("B", at(1), D(7)), ("A", at(1), D(0))]]
+    empty = spark.createDataFrame(batches[0], schema).limit(0)
+    for rows in batches:
+        stream = as_stream(spark, empty, tmp_path / "in", [rows])
+        flows.chunk_counts(stream, log, counts, str(tmp_path / "cp"), T0, timedelta(hours=12), 1, 100)
+    got = {r.chunk: (r.settled, r.ingest_eligible, r.tape_eligible) for r in counts.latest(["chunk"]).collect()}
+    assert got == {1: (3, 2, 1), 4: (0, 0, 0), 0: (1, 1, 0)}
+
+
 def test_settled_markets_last_write_wins(spark, tmp_path):
     schema = "ticker string, status string, result string, volume int, n int"
     rows = [("A", "finalized", "yes", 5, 1), ("B", "active", "", 5, 2), ("A", "finalized", "no", 5, 3), ("C", "settled", "no", 0, 4)]

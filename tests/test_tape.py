@@ -5,7 +5,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from takerlens.operators import tape
+from takerlens.operators import radix, tape
 from takerlens.plans import bleed, quality
 
 TRADES = ("trade_id string, ticker string, yes_price_dollars decimal(10,6), no_price_dollars decimal(10,6), "
@@ -101,10 +101,10 @@ def test_tape_ending_at_the_cap_is_truncated(spark):
     assert (got["A"].truncated, got["A"].pages_read, got["B"].truncated, got["B"].pages_read) == (True, 3, False, 2)
 
 
-@pytest.mark.parametrize("salt_rows", [3, 1_000_000])
-def test_capped_fold_equals_sorting_the_tape(spark, monkeypatch, salt_rows):
-    """One market holds most trades, many in one minute; small salts force several groups."""
-    monkeypatch.setattr(tape, "ROWS_PER_SALT", salt_rows)
+@pytest.mark.parametrize("digits", [1, 4])
+def test_capped_fold_equals_sorting_the_tape(spark, monkeypatch, digits):
+    """One market holds most trades, many in one minute; few characters a round force several rounds."""
+    monkeypatch.setattr(radix, "DIGITS", digits)
     rng = random.Random(5)
     rows = [trade(i, rng.choice(["HOT", "HOT", "HOT", "A", "B"]), yes=f"0.{rng.randint(1, 99):02d}",
                   n=f"{rng.randint(1, 500) / 100:.2f}", side=rng.choice(["yes", "no"]), block=rng.random() < 0.1,
