@@ -463,7 +463,7 @@ def _text(rows: DataFrame, *names: str) -> DataFrame:
 
 def _store(t: Tables) -> jobs.Store:
     """A store that knows the series and events."""
-    store = jobs.Store(t.spark, scratch_dir(t.spark, "store"))
+    store = jobs.Store(t.spark, scratch_dir(t.spark, "store"), days=180)
     store.tables["series"].upsert(t.series())
     store.tables["events"].upsert(_text(t.events(), "event_ticker"))
     return store
@@ -479,13 +479,13 @@ def _live(t: Tables) -> DataFrame:
     return _text(t.trades(), "ticker").withColumn("origin", F.lit("live"))
 
 
-SWEPT = datetime(2001, 1, 1)
+SWEPT = datetime(2002, 6, 1)
 
 
 def _stopped_and_resumed(t: Tables) -> jobs.Store:
-    """Two-year windows; a first run ends after two of them, a second one goes on."""
-    store, years = _store(t), timedelta(days=730)
-    for windows in (2, None):
+    """Four-year windows; a first run ends after one of them, a second one goes on."""
+    store, years = _store(t), timedelta(days=1460)
+    for windows in (1, None):
         jobs.sweep_job(store, _feed(t), _live(t), SWEPT, chunk=years, overlap=timedelta(0), stop_after=windows)
     return store
 
@@ -525,12 +525,12 @@ def sweep_late_markets(t: Tables) -> DataFrame:
 
 @query
 def settled_days(t: Tables) -> DataFrame:
-    """Markets kept by settlement day: those that settled on the days of a worklist, read from these days' folders alone."""
+    """Markets kept by settlement month (30 days): those of busy months, read from these folders alone."""
     schema = "ticker bigint, series_ticker string, settlement_ts timestamp_ntz, volume decimal(18,2)"
-    table = DatedTable(t.spark, scratch_dir(t.spark, "settled_days"), schema, ["ticker"])
+    table = DatedTable(t.spark, scratch_dir(t.spark, "settled_days"), schema, ["ticker"], days=30)
     table.upsert(t.terminal(volume=True).select("ticker", "series_ticker", "settlement_ts", "volume"))
     busy = table.read().withColumn("settled_day", table.day_of(F.col("settlement_ts"))).groupBy("settled_day").agg(F.sum("volume").alias("traded"))
-    return table.on_days(busy.where("traded >= 300")).select("ticker", "series_ticker", "settlement_ts")
+    return table.on_days(busy.where("traded % 2 >= 1")).select("ticker", "series_ticker", "settlement_ts")
 
 
 @query

@@ -443,19 +443,19 @@ def statements() -> dict[str, str]:
         FROM whole w JOIN px_terminal m ON m.ticker = w.ticker WHERE m.settlement_ts IS NOT NULL""")
     sql["sweep_commits"] = _with("px_terminal", f"""
         , first AS (SELECT min(settlement_ts) AS t FROM px_terminal),
-        one AS (SELECT t + k * INTERVAL 730 DAY AS lo, t + (k + 1) * INTERVAL 730 DAY AS hi FROM first, range(2) AS r(k)),
-        two AS (SELECT max(hi) + k * INTERVAL 730 DAY AS lo, least(max(hi) + (k + 1) * INTERVAL 730 DAY, TIMESTAMP '2001-01-01') AS hi
+        one AS (SELECT t + k * INTERVAL 1460 DAY AS lo, t + (k + 1) * INTERVAL 1460 DAY AS hi FROM first, range(1) AS r(k)),
+        two AS (SELECT max(hi) + k * INTERVAL 1460 DAY AS lo, least(max(hi) + (k + 1) * INTERVAL 1460 DAY, TIMESTAMP '2002-06-01') AS hi
                 FROM one, range(10) AS r(k) GROUP BY k),
-        w AS (SELECT * FROM one UNION ALL SELECT * FROM two WHERE lo < TIMESTAMP '2001-01-01')
+        w AS (SELECT * FROM one UNION ALL SELECT * FROM two WHERE lo < TIMESTAMP '2002-06-01')
         SELECT {_ts('lo')}, {_ts('hi')}, count(*) AS markets, count(*) AS aggregated
         FROM w JOIN px_terminal ON settlement_ts >= lo AND settlement_ts < hi GROUP BY lo, hi""")
     sql["sweep_late_markets"] = _with("px_terminal", f"""
         SELECT count(*) AS markets, count(*) AS tickers, count(*) FILTER (ticker % 5 <> 0) AS first, count(*) FILTER (ticker % 5 = 0) AS second,
                {_six('sum(volume)', 'volume')} FROM px_terminal WHERE settlement_ts IS NOT NULL""")
     sql["settled_days"] = _with("px_terminal", f"""
-        SELECT ticker, series_ticker, {_ts('settlement_ts')} FROM px_terminal
-        WHERE coalesce(CAST(settlement_ts AS DATE), DATE '1500-01-01') IN (
-          SELECT coalesce(CAST(settlement_ts AS DATE), DATE '1500-01-01') FROM px_terminal GROUP BY 1 HAVING sum(volume) >= 300)""")
+        , m AS (SELECT *, coalesce(datediff('day', DATE '1970-01-01', CAST(settlement_ts AS DATE)) // 30, -1000000) AS month FROM px_terminal)
+        SELECT ticker, series_ticker, {_ts('settlement_ts')} FROM m
+        WHERE month IN (SELECT month FROM m GROUP BY 1 HAVING sum(volume) % 2 >= 1)""")
     sql["keyed_sink"] = sql["upsert_merge"]
     page_domains = """
         WITH h AS (SELECT page_id, replace(lower(regexp_extract(url, '//([^/?#]*)', 1)), 'www.', '') AS host FROM pages),

@@ -63,10 +63,11 @@ EVENT_COMPARE = ["series_ticker", "title", "category", "mutually_exclusive", "se
 
 @dataclass
 class Store:
-    """The tables below one folder."""
+    """The tables below one folder; settled markets and their stats have a folder per `days` days of settlement."""
 
     spark: SparkSession
     path: str
+    days: int = 1
     tables: dict[str, KeyedTable | DatedTable] = field(init=False)
     market_snapshots: SnapshotTable = field(init=False)
     trades: BatchLog = field(init=False)
@@ -77,7 +78,8 @@ class Store:
     def __post_init__(self) -> None:
         self.tables = {name: KeyedTable(self.spark, f"{self.path}/{name}", schema, keys)
                        for name, (schema, keys) in SCHEMAS.items()}
-        self.tables |= {name: DatedTable(self.spark, f"{self.path}/{name}", schema, keys) for name, (schema, keys) in DATED.items()}
+        self.tables |= {name: DatedTable(self.spark, f"{self.path}/{name}", schema, keys, days=self.days)
+                        for name, (schema, keys) in DATED.items()}
         self.market_snapshots = SnapshotTable(self.spark, f"{self.path}/market_snapshots", SNAPSHOTS)
         self.trades = BatchLog(self.spark, f"{self.path}/trades", TRADES, ["origin", "trade_date"])
         self.settled = BatchLog(self.spark, f"{self.path}/settled", SETTLED, ["settled_day"])

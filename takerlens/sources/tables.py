@@ -86,18 +86,18 @@ class DatedTable:
 
     A read of a range opens only its days. An upsert reads and overwrites the days its rows fall on and those their keys lay on
     before; a scan of the key column alone finds these. Days count from 1970 in UTC, whatever the session's
-    time zone; rows without a time share a folder.
+    time zone; rows without a time share a folder. `days` makes folders of several days, for sparse tables.
     """
 
     UNDATED = -1_000_000
 
     def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], moment: str = "settlement_ts",
-                 day: str = "settled_day"):
+                 day: str = "settled_day", days: int = 1):
         self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, list(keys)
-        self.moment, self.day = moment, day
+        self.moment, self.day, self.seconds = moment, day, 86400 * days
 
     def day_of(self, moment: Column) -> Column:
-        return F.coalesce(F.floor(F.unix_seconds(moment.cast("timestamp")) / 86400), F.lit(self.UNDATED)).cast("int")
+        return F.coalesce(F.floor(F.unix_seconds(moment.cast("timestamp")) / self.seconds), F.lit(self.UNDATED)).cast("int")
 
     def _stored(self) -> DataFrame:
         if not _children(self.spark, self.path, f"{self.day}="):
