@@ -10,7 +10,8 @@ Distinct values of all blocks meet in one shuffle, where a value has at most one
 answers go back to the blocks by number, and each block is finished on its own. Texts are never shuffled.
 
 A block is named by the scan partition and place of its first row, so the documents must come in the same order when a
-lost task is run again: from a stored table, not from a shuffle.
+lost task is run again: from a stored table, not from a shuffle. Where a table is scanned twice, both scans must be split
+alike: `steady_splits` sees to it, and a block whose two halves differ is an error, never a loss.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 24 << 20
@@ -43,6 +44,16 @@ class Vocabulary(dict):
         return np.fromiter(map(self.__getitem__, keys), np.int32, len(keys))
 
 
+def steady_splits(spark: SparkSession) -> None:
+    """Fix how many tasks a scan aims at, if the session leaves it open.
+
+    Otherwise Spark goes by the cores it has when it plans a scan, so an executor lost or gained between two scans of a
+    table would split its files in another way.
+    """
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+
+
 def packed(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
@@ -68,7 +79,8 @@ def cut(docs: DataFrame, read: Callable, block_bytes: int = BLOCK_BYTES, payload
     """Rows of `CUT`: for each block its payload (idx -1) and its vocabulary, or only one of the two.
 
     `read(ids, texts)` gets a block's ids (Arrow array) and texts (bytes) and returns (payload table, chunks, weights);
-    chunks are bytes or text in index order, weights a list of numbers or None.
+    chunks are bytes or text in index order (None where only payloads are asked for and `finish` itself checks them),
+    weights a list of numbers or None.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,6 +100,8 @@ def cut(docs: DataFrame, read: Callable, block_bytes: int = BLOCK_BYTES, payload
 
     def block(number: int, ids: pa.Array, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
         data, chunks, weights = read(ids, texts)
+        if chunks is not None:
+            data = data.replace_schema_metadata({"chunks": str(len(chunks))})
         if payloads:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number]), pa.array([PAYLOAD], pa.int32()), pa.array([packed(data)], pa.binary()),
@@ -100,6 +114,7 @@ def cut(docs: DataFrame, read: Callable, block_bytes: int = BLOCK_BYTES, payload
                 pa.nulls(len(part), pa.int64()) if weights is None else pa.array(weights[lo:lo + _ROWS], pa.int64())],
                 schema=_CUT)
 
+    steady_splits(docs.sparkSession)
     return id_and_bytes(docs).withColumn("row", F.monotonically_increasing_id()).mapInArrow(rows, CUT)
 
 
@@ -212,6 +227,8 @@ def opened(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
             idx.append(np.cumsum(grown(i.as_py())))
             size.append(grown(s.as_py()))
             flat.append(grown(f.as_py()).astype(np.int32))
+    if data is None or int((data.schema.metadata or {}).get(b"chunks", sum(map(len, idx)))) != sum(map(len, idx)):
+        raise ValueError("the documents were split in another way when they were read again")
     if not idx:
         return data, np.empty(0, np.int64), np.empty(0, np.int32)
     size, flat = np.concatenate(size), np.concatenate(flat)

@@ -52,8 +52,8 @@ def grams(coded: bytes, order: int) -> np.ndarray:
     return out
 
 
-def _texts(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, list, None]:
-    return pa.table({"doc_id": ids, "coded": pa.array([stream(t) for t in texts], pa.binary())}), [], None
+def _texts(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, None, None]:
+    return pa.table({"doc_id": ids, "coded": pa.array([stream(t) for t in texts], pa.binary())}), None, None
 
 
 def _tokens(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, list[bytes], list[int]]:
@@ -198,6 +198,8 @@ def _summed(data: pa.Table, counts: np.ndarray, logs: pa.Table, order: int) -> p
         base.append(float(weight[index].sum()))
         # Sorted, so that the search stays within a cache line or two of the last place.
         total.append(float(logp[np.searchsorted(gram, np.sort(grams(coded, order)))].sum()))
+    if len(tokens) != len(counts):
+        raise ValueError("the documents were split in another way when they were read again")
     ids = data.column("doc_id")
     return pa.table({"doc_id": ids, "held_out": pa.array([held_out(i) for i in ids.to_pylist()], pa.bool_()),
                      "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()),

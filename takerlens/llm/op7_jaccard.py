@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from takerlens.llm.blocks import Vocabulary, id_type
@@ -30,6 +30,7 @@ BANDS, ROWS = 25, 5
 STEP = 25
 TOLERANCE = 1e-6
 BLOCK = 2048
+ROW = "struct<file:string,at:bigint>"
 _RANDOM = np.random.default_rng(1)
 _FACTORS = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -106,12 +107,17 @@ def sketched(docs: DataFrame) -> DataFrame:
                  pa.array([len(s) for s in sets], pa.int32()), pa.array([signature(s).tobytes() for s in sets], pa.binary())],
                 ["row", "doc_id", "set", "n", "values"])
 
-    return numbered(docs).mapInArrow(rows, f"row long, doc_id {id_type(docs)}, set binary, n int, values binary")
+    return numbered(docs).mapInArrow(rows, f"row {ROW}, doc_id {id_type(docs)}, set binary, n int, values binary")
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id",
-                       F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    return docs.select(place(docs).alias("row"), "doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+
+
+def place(docs: DataFrame) -> Column:
+    """Where a row of a stored table lies: the same in every scan, however the scan is split."""
+    known = docs.metadataColumn("_metadata")
+    return F.struct(known["file_path"].alias("file"), known["row_index"].alias("at"))
 
 
 def size_class(n: np.ndarray) -> np.ndarray:
@@ -249,7 +255,7 @@ def join(docs: DataFrame) -> DataFrame:
     each other. Documents are linked when their sets' similarity is 0.8 or more; `n_links` counts the other texts a
     document is linked to, `n_copies` the rows of its own text. A class is a component of links; its id is its smallest
     doc_id (NULL only if all are), `class` tells classes apart in any case. Repeated rows are copies; NULL ids take part; other columns are ignored; an empty table
-    gives no rows. `docs` must be a stored table: `row` numbers its rows by place.
+    gives no rows. `docs` must be a Parquet table: `row` is the place of a row in it (file, row).
     """
     rows = staged(sketched(docs), "sketches")
     texts = staged(rows.groupBy("set").agg(F.first("n").alias("n"), F.first("values").alias("values"),
@@ -294,9 +300,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     A class whose ids are all NULL keeps its first row.
     """
+    name = "row"
+    while name in map(str.lower, docs.columns):
+        name += "_"
     first = join(docs).groupBy("class").agg(
-        F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("_row")).select("_row")
-    return (docs.withColumn("_row", F.monotonically_increasing_id()).join(first, "_row", "left_semi").select(*docs.columns))
+        F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias(name)).select(name)
+    return docs.withColumn(name, place(docs)).join(first, name, "left_semi").select(*docs.columns)
 
 
 def op7_bayesian_jaccard_join(spark, sf_dir: str) -> DataFrame:
