@@ -27,7 +27,7 @@ def test_recurring_templates_go_but_for_the_first(stored):
     out = op5_templates.drop_templates(docs)
     assert out.columns == docs.columns
     got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
-    expected = [(i, "\n".join([body(i), *([notice(2000, "Ann")] if i == 0 else []), "Of the.", body(i + 8)])) for i in range(5)]
+    expected = [(i, "\n".join([body(i), *([notice(2000, "Ann"), "Of the."] if i == 0 else []), body(i + 8)])) for i in range(5)]
     expected += [(30, rows[5][1]), (31, body(21)), (31, body(21)), *rows[8:]]
     assert got == sorted(expected, key=str)
     assert op5_templates.drop_templates(docs.limit(0)).count() == 0
@@ -66,41 +66,92 @@ def test_a_leaf_holds_several_templates(stored):
 
 
 def slow_lines(rows):
-    """Templates gathered leaf by leaf in memory."""
-    leaves = {}
-    found = []
-    for doc_id, text in rows:
-        for i, line in enumerate((text or "").split("\n") if doc_id is not None else []):
-            words = line.encode().split()
-            if len(words) >= op5_templates.MIN_WORDS:
-                leaf, full, tokens = op5_templates.tree_path(words)
-                found.append((doc_id, i, len(words), leaf, full))
-                leaves.setdefault(leaf, {}).setdefault(full, (tuple(tokens.tolist()), []))[1].append(doc_id)
+    """Templates by plain counting over all words in memory."""
+    found, leaves, raws, totals = [], {}, {}, {}
+    for row, (doc_id, text) in enumerate(rows):
+        split = [x.encode().split() for x in (text or "").split("\n")] if doc_id is not None else []
+        for i, words in enumerate(split):
+            masked = tuple("*" if any(c in b"0123456789" for c in w) else w for w in words)
+            if set(masked) <= {"*"}:
+                continue
+            found.append((row, doc_id, i, tuple(words), masked))
+            leaves.setdefault((len(words), masked[:3]), {}).setdefault(masked, set()).add(doc_id)
+            raws.setdefault(tuple(words), set()).add(doc_id)
+        if any(r[0] == row for r in found[-len(split):]):
+            totals[doc_id] = max(totals.get(doc_id, 0), sum(map(len, split)))
     keep = {}
-    for lines in leaves.values():
-        constant = []
-        for column in zip(*(t for t, _ in lines.values())):
-            top = max(set(column), key=column.count)
-            constant.append(top if 2 * column.count(top) > len(column) else None)
-        fixed = [i for i, c in enumerate(constant) if c is not None]
-        shared = [f for f, (t, _) in lines.items() if len(fixed) >= 0.6 * len(t) and sum(t[i] == constant[i] for i in fixed) >= 0.8 * len(fixed)]
-        for group in [shared, *([f] for f in lines if f not in shared)]:
-            ids = [d for f in group for d in lines[f][1]]
-            if ids and min(ids) < max(ids):
-                keep |= dict.fromkeys(group, min(ids))
-    dropped = {}
-    for doc_id, i, n, _, full in found:
-        if full in keep and keep[full] != doc_id:
-            dropped.setdefault(doc_id, {})[i] = n
+    for (n, _), lines in leaves.items():
+        groups = {}
+        for line, ids in lines.items():
+            if len(ids) > 1 and (n >= 5 or len(ids) >= 5):
+                groups[line] = [line]
+            counts = [sum(other[k] == line[k] for other in lines) for k in range(n)]
+            for level in {c.bit_length() - 1 for c in counts if c > 1} if n >= 5 else ():
+                constant = tuple((k, line[k]) for k in range(n) if counts[k] > 1 and counts[k].bit_length() - 1 >= level)
+                if sum(w != "*" for _, w in constant) >= max(1, -(-8 * (n - line.count("*")) // 10)):
+                    groups.setdefault(constant, []).append(line)
+        for group in groups.values():
+            ids = set().union(*(lines[x] for x in group))
+            if len(ids) > 1:
+                for line in group:
+                    keep[line] = min(keep.get(line, min(ids)), min(ids))
+    gone = {}
+    for row, doc_id, i, words, masked in found:
+        if masked in keep and doc_id > keep[masked]:
+            gone.setdefault(row, []).append((i, len(words), keep[masked], min(raws[words]) == keep[masked]))
     out = []
-    for doc_id, text in rows:
-        gone = dropped.get(doc_id, {})
-        if text is not None and sum(gone.values()) <= 0.7 * len(text.encode().split()):
-            text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
-        out.append((doc_id, text))
+    for row, (doc_id, text) in enumerate(rows):
+        mine = gone.get(row, [])
+        same = {}
+        for _, n, k, exact in mine:
+            same[k] = same.get(k, 0) + n * exact
+        near = max((k for k in same if same[k]), key=lambda k: (same[k], k), default=None)
+        total = len((text or "").encode().split())
+        if near is not None and 10 * same[near] < 8 * (total + totals[near] - same[near]):
+            near = None
+        drop = {i for i, _, k, exact in mine if not (exact and k == near)}
+        out.append((doc_id, text if text is None else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in drop)))
     return out
 
 
+def test_short_lines_go_once_many_documents_have_them(stored):
+    rows = [(i, f"{body(i)}\nRead more\n{i}\nnot in five {i // 2}") for i in range(6)] + [(9, "Read more\n" + body(9))]
+    got = {r.doc_id: r.text.split("\n") for r in op5_templates.drop_templates(stored(rows)).collect()}
+    assert [i for i in got if "Read more" in got[i]] == [0]
+    assert all(str(i) in got[i] for i in range(6))  # a variable alone is no template
+    assert [i for i in range(6) if any(x.startswith("not in five") for x in got[i])] == [0]
+    few = stored([(i, f"{body(i)}\nRead more") for i in range(4)])
+    assert all("Read more" in r.text for r in op5_templates.drop_templates(few).collect())
+
+
+def test_lines_of_random_words_stay(stored):
+    rng = random.Random(6)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    rows = [(i, " ".join(["all lines begin", *(rng.choice(words) for _ in range(9))])) for i in range(1500)]
+    assert sorted((r.doc_id, r.text) for r in op5_templates.drop_templates(stored(rows)).collect()) == sorted(rows)
+
+
+def test_rows_of_one_id_and_other_ids_and_names(spark, tmp_path):
+    boiler, own = "this line is in very many documents", "unique first line of the other row"
+    rows = [("a", f"{body(1)}\n{boiler}"), ("b", f"{boiler}\n{body(2)}"), ("b", f"{own}\n{body(3)}\n{boiler}"), ("c", boiler)]
+    spark.createDataFrame([(*r, 1, 2, "x") for r in rows], "doc_id string, text string, row int, dropped int, Row_ string") \
+         .write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    out = op5_templates.drop_templates(docs)
+    assert out.columns == docs.columns and out.where("row = 1 AND dropped = 2 AND Row_ = 'x'").count() == 4
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == sorted([
+        ("a", f"{body(1)}\n{boiler}"), ("b", body(2)), ("b", f"{own}\n{body(3)}"), ("c", "")])
+
+
+def test_random_lines_equal_counting(stored):
+    rng = random.Random(7)
+    starts, fields = ["sold by the", "made in a", "on 5 may"], ["red", "blue", "grey", "x1", "x2"]
+    line = lambda: " ".join([rng.choice(starts), *(rng.choice(fields + ["shop"] * 6) for _ in range(rng.randint(0, 7)))])
+    rows = [(rng.choice([i, i, 3, None]), "\n".join(line() for _ in range(rng.randint(0, 4)))) for i in range(150)]
+    got = sorted(((r.doc_id, r.text) for r in op5_templates.drop_templates(stored(rows)).collect()), key=str)
+    assert got == sorted(slow_lines(rows), key=str)
+
+
 def test_lines_of_real_rows(stored, samples):
     assert sorted(((r.doc_id, r.text) for r in op5_templates.drop_templates(stored(samples)).collect()), key=str) \
         == sorted(slow_lines(samples), key=str)
@@ -141,6 +192,31 @@ def near_rows(samples):
     return rows + [(20_000, "one two"), (20_001, "one two"), (20_002, "two one"), (None, "two one")]
 
 
+def test_rows_keep_their_identity_however_scans_are_split(spark, stored, near_rows, monkeypatch):
+    """Cores come and go between two scans of one table: the files are split in another way."""
+    docs = stored(near_rows, 7)
+    expected = sorted((r.doc_id for r in op7_jaccard.keep_one(docs).collect()), key=str)
+    cores, plain = iter([1, 8, 2, 16, 3, 5] * 50), op7_jaccard.staged
+
+    def changing(rows, name):
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", str(next(cores)))
+        return plain(rows, name)
+
+    monkeypatch.setattr(op7_jaccard, "staged", changing)
+    before = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    try:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+        kept = op7_jaccard.keep_one(docs)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "1")
+        assert sorted((r.doc_id for r in kept.collect()), key=str) == expected
+    finally:
+        for name in ("spark.sql.leafNodeDefaultParallelism", "spark.sql.files.openCostInBytes"):
+            spark.conf.unset(name)
+        if before is not None:
+            spark.conf.set("spark.sql.files.minPartitionNum", before)
+
+
 @pytest.mark.parametrize("block", [2048, 16])
 def test_links_classes_and_copies(stored, near_rows, monkeypatch, block):
     monkeypatch.setattr(op7_jaccard, "BLOCK", block)
