@@ -86,9 +86,10 @@ def slow_lines(rows):
             if len(ids) > 1 and (n >= 5 or len(ids) >= 5):
                 groups[line] = [line]
             counts = [sum(other[k] == line[k] for other in lines) for k in range(n)]
-            for level in {c.bit_length() - 1 for c in counts if c > 1} if n >= 5 else ():
-                constant = tuple((k, line[k]) for k in range(n) if counts[k] > 1 and counts[k].bit_length() - 1 >= level)
-                if sum(w != "*" for _, w in constant) >= max(1, -(-8 * (n - line.count("*")) // 10)):
+            words = [k for k in range(n) if line[k] != "*" and counts[k] > 1]
+            for level in {counts[k].bit_length() - 1 for k in words} if n >= 5 else ():
+                constant = tuple((k, line[k]) for k in words if counts[k].bit_length() - 1 >= level)
+                if len(constant) >= max(1, -(-8 * (n - line.count("*")) // 10)):
                     groups.setdefault(constant, []).append(line)
         for group in groups.values():
             ids = set().union(*(lines[x] for x in group))
