@@ -251,10 +251,14 @@ def numbers(arrays: list[np.ndarray]) -> dict[str, pa.Array]:
     return {f"byte{k}": pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(flat[:, k]))) for k in range(4)}
 
 
+def joined(data: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The lists that `numbers` stored, end to end, and their lengths."""
+    columns = [data.column(f"byte{k}").combine_chunks() for k in range(4)]
+    return np.stack([c.flatten().to_numpy() for c in columns], axis=1).view("<i4").ravel(), columns[0].value_lengths().to_numpy()
+
+
 def lists(data: pa.Table) -> Iterator[np.ndarray]:
     """The lists that `numbers` stored."""
-    columns = [data.column(f"byte{k}").combine_chunks() for k in range(4)]
-    flat = np.stack([c.flatten().to_numpy() for c in columns], axis=1).view("<i4").ravel()
-    lengths = columns[0].value_lengths().to_numpy()
+    flat, lengths = joined(data)
     for end, n in zip(np.cumsum(lengths).tolist(), lengths.tolist()):
         yield flat[end - n:end]

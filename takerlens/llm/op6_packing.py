@@ -16,13 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from takerlens.llm.blocks import Vocabulary, answered, cut, finished, id_type, lists, numbers, ragged
+from takerlens.llm.blocks import Vocabulary, answered, cut, finished, id_type, joined, numbers, ragged
 from takerlens.llm.staging import documents, staged
 from takerlens.llm.wordpieces import encoder, pretokens, public_path
 
 CAPACITY = 4096
 BUCKET = 40_000
-_SLICE = 200_000
+_SLICE = 500_000
 
 
 def _sequences(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, list[str], None]:
@@ -36,21 +36,44 @@ def _sequences(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, list[str],
     return pa.table({"doc_id": ids, **numbers(index)}), words, None
 
 
+def _parts(n_words: np.ndarray) -> list[int]:
+    """Where to cut a block's documents so that a part has `_SLICE` words or a document."""
+    through = np.cumsum(n_words, dtype=np.int64)
+    ends, at = [], 0
+    while at < len(n_words):
+        at = max(at + 1, int(np.searchsorted(through, (through[at - 1] if at else 0) + _SLICE, "right")))
+        ends.append(at)
+    return ends
+
+
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = 1) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: each document's ids with `end_id` after them, cut at `capacity`."""
 
     def cut_up(data: pa.Table, lengths: np.ndarray, flat: np.ndarray) -> pa.Table:
         starts = np.cumsum(lengths) - lengths
-        out: list[tuple[int, int, int, int, int]] = []
-        for doc, words in enumerate(lists(data)):
-            parts = [ragged(flat, starts, lengths, words[lo:lo + _SLICE]) for lo in range(0, len(words), _SLICE)]
-            ids = np.concatenate([*parts, [end_id]]).astype("<u4")
-            for k, lo in enumerate(range(0, len(ids), capacity)):
-                part = ids[lo:lo + capacity]
-                out.append((doc, k, lo, len(part), zlib.crc32(part.tobytes())))
-        doc, piece, start, length, crc = (np.array(x, np.int64) for x in zip(*out))
+        words, n_words = joined(data)
+        before = np.concatenate([[0], np.cumsum(n_words, dtype=np.int64)])
+        ids_of = np.concatenate([[0], np.cumsum(lengths[words], dtype=np.int64)])
+        n_ids = ids_of[before[1:]] - ids_of[before[:-1]] + 1  # with the end
+        count = -(-n_ids // capacity)
+        doc = np.repeat(np.arange(len(n_ids)), count)
+        piece = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+        start = piece * capacity
+        length = np.minimum(n_ids[doc] - start, capacity)
+        crc: list[int] = []
+        first = 0
+        for last in _parts(n_words):
+            own = words[before[first]:before[last]]
+            ids = np.full(int(n_ids[first:last].sum()), end_id, "<u4")
+            ids[np.arange(len(ids) - (last - first)) + np.repeat(np.arange(last - first), n_ids[first:last] - 1)] = ragged(
+                flat, starts, lengths, own)
+            inside = slice(*np.searchsorted(doc, [first, last]).tolist())
+            at = (start + (np.cumsum(n_ids) - n_ids - n_ids[:first].sum())[doc])[inside]
+            view = memoryview(ids).cast("B")
+            crc += [zlib.crc32(view[4 * lo:4 * (lo + n)]) for lo, n in zip(at.tolist(), length[inside].tolist())]
+            first = last
         return pa.table({"doc_id": data.column("doc_id").take(pa.array(doc)), "piece": pa.array(piece.astype(np.int32)),
-                         "start": pa.array(start), "length": pa.array(length), "ids_crc32": pa.array(crc)})
+                         "start": pa.array(start), "length": pa.array(length), "ids_crc32": pa.array(crc, pa.int64())})
 
     rows = answered(cut(docs, _sequences), encoder(path or public_path("word_bpe_49k.json"), count_only=False))
     return finished(rows, cut_up, f"doc_id {id_type(docs)}, piece int, start long, length long, ids_crc32 long")
