@@ -76,7 +76,7 @@ def classes(spark: SparkSession, log: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, path: str, digest: Callable[[Column], Column] = sha256,
-                max_bytes: int = 64 << 30) -> DataFrame:
+                max_bytes: int = 1 << 30) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row of the Parquet files at `path`.
 
     Of rows with equal texts the one with the largest doc_id stays; of repeated rows with that id the last in file order.
