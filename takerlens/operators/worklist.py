@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from takerlens.functions.rules import RECURRING
 from takerlens.operators.filters import category_not_in, settled_between, volume_at_least
 
-TAPE_MIN_VOLUME = 1
-
 
 def unfinished(markets: DataFrame, stats: DataFrame) -> DataFrame:
     """Markets without a stats row yet."""
@@ -34,9 +32,9 @@ def explicit_scope(series: DataFrame, tickers: list[str]) -> DataFrame:
 
 
 def pending_worklist(terminal: DataFrame, series: DataFrame, stats: DataFrame, since,
-                     minimum_volume: float = TAPE_MIN_VOLUME, scope: DataFrame | None = None,
+                     minimum_volume: float = 0, scope: DataFrame | None = None,
                      exclude_categories: list[str] | None = None) -> DataFrame:
-    """Settled, traded, in-scope markets not folded yet, smallest volume first."""
+    """Settled, in-scope markets not folded yet, smallest volume first; `minimum_volume` leaves out less traded ones."""
     rows = terminal.where(settled_between(since, None) & volume_at_least(minimum_volume))
     if scope is not None:
         rows = in_scope(rows, scope)

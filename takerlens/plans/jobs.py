@@ -5,8 +5,10 @@ Job metadata (counts, cursors, days) is the only thing that reaches the driver.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from takerlens.operators import chunks, ingest, linkage, merge, retention, snapshots, tape, worklist
 from takerlens.plans import activity, bleed, classify, screen
 from takerlens.plans.screen import Thresholds
-from takerlens.session import scratch_dir, size_shuffles
+from takerlens.session import cleared_scratch, scratch_dir, size_shuffles
 from takerlens.session import staged as _staged
 from takerlens.sources import landing
 from takerlens.sources.tables import BatchLog, DatedTable, KeyedTable, SnapshotTable
@@ -151,6 +153,17 @@ def _counted(rows: DataFrame, *metrics: Column) -> tuple[DataFrame, dict]:
     return _staged(rows.observe(seen, *metrics)), dict(seen.get)
 
 
+def _clearing(job: Callable) -> Callable:
+    """The job's staged tables go when it ends; its result is plain values."""
+    @wraps(job)
+    def run(store: Store, *args, **kw):
+        with cleared_scratch(store.spark):
+            return job(store, *args, **kw)
+
+    return run
+
+
+@_clearing
 def snapshot_job(store: Store, landed: str, now: datetime, refresh_hours: float = 12,
                  multi_line: bool = False) -> dict:
     """Series, changed events, then a snapshot run of every open market."""
@@ -199,6 +212,7 @@ def _fold(store: Store, todo: DataFrame, trades: DataFrame | None, now: datetime
     return counts
 
 
+@_clearing
 def trades_job(store: Store, landed: str, batch: int, origin: str = "live", multi_line: bool = False) -> dict:
     """Keep landed trades as Parquet by origin and day, ordered by market inside a file.
 
@@ -217,6 +231,7 @@ def trades_job(store: Store, landed: str, batch: int, origin: str = "live", mult
     return dict(seen.get)
 
 
+@_clearing
 def settled_job(store: Store, landed: str, batch: int, multi_line: bool = False) -> dict:
     """Keep landed market payloads as Parquet by settlement day, parsed once for all sweeps.
 
@@ -259,6 +274,7 @@ def landed_markets(store: Store, since: datetime | None = None, until: datetime
     return rows.withColumn("arrival", F.struct("batch_id", "arrival")).drop("settled_day", "batch_id")
 
 
+@_clearing
 def sweep_job(store: Store, markets: DataFrame | None, trades: DataFrame | None, now: datetime, minimum_volume: float = 0,
               tape_minimum: float = 0, page_size: int = tape.PAGE_SIZE, page_cap: int | None = None,
               lookback: timedelta | None = None, overlap: timedelta | None = chunks.OVERLAP,
@@ -336,6 +352,7 @@ def want_events(store: Store) -> int:
     return seen.get["n"]
 
 
+@_clearing
 def sweep_landed(store: Store, checkpoint: str, now: datetime, trades: DataFrame | None = None, files_per_batch: int | None = None,
                  minimum_volume: float = 0, tape_minimum: float = 0, chunk: timedelta = chunks.CHUNK) -> dict:
     """Sweep what `settled_job` has landed since the last call: files are the high-water mark, not times.
@@ -387,6 +404,7 @@ def relink(store: Store) -> int:
     return counts["repaired"]
 
 
+@_clearing
 def backfill_job(store: Store, archive: DataFrame | None, recent: DataFrame, trades: DataFrame | None, now: datetime,
                  days: int = 180, series: list[str] | None = None, from_screen: bool = False,
                  exclude_categories: list[str] | None = None, minimum_volume: float = 0,
@@ -429,6 +447,7 @@ def classify_job(store: Store, now: datetime, classify_all: bool = False, rechec
     return classify.tag_tally(tags)
 
 
+@_clearing
 def prune_job(store: Store, now: datetime, days: float = retention.DAYS) -> dict:
     """Drop snapshot runs older than the retention window."""
     cut = utc(now) - timedelta(days=days)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +29,10 @@ DEFAULTS = {
 }
 
 
+_LOCAL: dict[str, str] = {}
+_USED: list[str] = []
+
+
 def build_session(app: str = "takerlens", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the defaults above; `conf` keys use `__` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -45,12 +51,31 @@ def scratch_dir(spark: SparkSession, prefix: str) -> str:
     Only a local session may fall back to a machine-local folder: on a cluster
     that folder would be gone with the machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL.get("base")
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="takerlens-")
-    return f"{base.rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+        base = _LOCAL["base"] = tempfile.mkdtemp(prefix="takerlens-")
+    path = f"{base.rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+    _USED.append(path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def cleared_scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch folders made inside are deleted at the end; nothing that is kept may read them."""
+    since = len(_USED)
+    try:
+        yield
+    finally:
+        for path in _USED[since:]:
+            delete(spark, path)
+        del _USED[since:]
 
 
 def staged(rows: DataFrame) -> DataFrame:

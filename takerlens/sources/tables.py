@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from takerlens.operators.merge import last_wins, upsert
+from takerlens.session import delete as _delete
 from takerlens.session import scratch_dir
 
 
@@ -32,11 +33,6 @@ def _rename(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"cannot rename {path}")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def _minute(moment: Column) -> Column:
     return F.floor(F.unix_seconds(moment.cast("timestamp")) / 60)
 

@@ -21,8 +21,6 @@ from takerlens.operators.snapshots import skip_unchanged
 from takerlens.operators.tape import SUMS, merge_sums, tape_sums
 from takerlens.sources.tables import BatchLog, SnapshotTable
 
-LATENESS = "2 hours"
-
 
 def file_stream(spark: SparkSession, folder: str, name: str, schema: str,
                 files_per_batch: int | None = None) -> DataFrame:
@@ -97,15 +95,6 @@ def ingest_settled(markets: DataFrame, log: BatchLog, checkpoint: str, order: Se
     return _run(markets, sink, checkpoint, once)
 
 
-def settled_per_window(settled: DataFrame, width: str = "12 hours", ingest_minimum: float = 1) -> DataFrame:
-    """Streaming counts per settlement window; rows later than the overlap are not waited for."""
-    volume = F.coalesce(F.col("volume"), F.lit(0))
-    return (settled.withWatermark("settlement_ts", LATENESS)
-            .groupBy(F.window("settlement_ts", width).alias("w"))
-            .agg(F.count("*").alias("settled"), F.count_if(volume >= ingest_minimum).alias("ingest_eligible"))
-            .select(F.col("w.start").alias("lo"), F.col("w.end").alias("hi"), "settled", "ingest_eligible"))
-
-
 def chunk_counts(settled: DataFrame, log: BatchLog, counts: BatchLog, checkpoint: str, since: datetime,
                  chunk: timedelta = CHUNK, ingest_minimum: float = 0, tape_minimum: float = 0, once: bool = True) -> StreamingQuery:
     """Counts per settlement window, however late a market lands or moves to another window.

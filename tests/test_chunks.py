@@ -80,8 +80,8 @@ def test_worklist_order_scope_and_categories(spark):
     def tickers(**kw):
         return [r.ticker for r in worklist.pending_worklist(terminal, series, stats, F.lit(SINCE), **kw).collect()]
 
-    assert tickers() == ["D", "B", "C", "A"] and tickers(minimum_volume=0)[0] == "F"
-    assert tickers(exclude_categories=[" SPORTS "]) == ["D", "B", "A"]
+    assert tickers(minimum_volume=1) == ["D", "B", "C", "A"] and tickers() == ["F", "D", "B", "C", "A"]
+    assert tickers(exclude_categories=[" SPORTS "]) == ["F", "D", "B", "A"]
     assert tickers(scope=series.where("series_ticker = 'T'")) == ["C"] and tickers(scope=series.limit(0)) == []
     assert [r.series_ticker for r in worklist.recurring_scope(series).collect()] == ["S", "T"]
     assert [r.series_ticker for r in worklist.explicit_scope(series, [" U", "S", "S", "", "Q"]).collect()] == ["S", "U"]

@@ -111,19 +111,6 @@ def test_snapshot_stream_equals_one_replay(spark, tmp_path):
     assert table.read().agg(F.min("run_ts")).first()[0] >= T0 + timedelta(hours=30)
 
 
-def test_late_settlements_are_dropped_only_after_the_overlap(spark, tmp_path):
-    schema = "ticker string, settlement_ts timestamp, volume decimal(18,2)"
-    first = [("A", T0 + timedelta(hours=1), D(5)), ("B", T0 + timedelta(hours=40), D(0))]
-    second = [("C", T0 + timedelta(hours=39), D(5)), ("LATE", T0 + timedelta(hours=2), D(5))]
-    stream = as_stream(spark, spark.createDataFrame(first, schema), tmp_path / "in",
-                       [first, [("D", T0 + timedelta(hours=37), D(0))], second])
-    query = flows.settled_per_window(stream).writeStream.outputMode("update").format("memory").queryName("windows") \
-        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
-    query.awaitTermination()
-    rows = spark.table("windows").groupBy("lo").agg(F.max("settled").alias("n"), F.max("ingest_eligible").alias("e")).orderBy("lo").collect()
-    assert [(r.lo, r.n, r.e) for r in rows] == [(T0, 1, 1), (T0 + timedelta(hours=36), 3, 1)]
-
-
 def test_scratch_folder_needs_a_shared_place(spark):
     from takerlens.session import scratch_dir
     base = spark.conf.get("spark.checkpoint.dir")
