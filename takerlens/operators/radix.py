@@ -55,26 +55,25 @@ def newest_rows(rows: DataFrame, keys: Sequence[str], room: str, order: Sequence
     whole = F.lpad(F.hex(F.xxhash64(*columns)), 16, "0")
     now = stage(rows.withColumn("_key", F.concat(*text, whole)))
     done = []
-    while not now.isEmpty():
+    while True:
         span = now.groupBy(*keys).agg(F.count("*").alias("_n"), F.max(room).alias("_room"), F.min("_key").alias("_lo"),
                                       F.max("_key").alias("_hi"))
         differ = F.filter(F.sequence(F.lit(1), F.least(F.length("_lo"), F.length("_hi"))),
                           lambda i: F.substr("_lo", i, F.lit(1)) != F.substr("_hi", i, F.lit(1)))
         span = stage(span.withColumn("_at", F.get(differ, F.lit(0))))
-        all_of = span.where("_n <= _room").select(*keys)
+        done.append(take(now.join(span.where("_n <= _room").select(*keys), keys, "left_semi").select(*columns)))
         alike = span.where("_n > _room AND _at IS NULL").select(*keys, "_n", "_room")
+        same = take(now.join(alike.select(*keys), keys, "left_semi").select(*columns)).join(alike, keys)
+        done.append(same.select(*keys, *[F.call_function("div", F.col(c) * F.col("_room"), F.col("_n")).alias(c)
+                                         for c in same.columns if c not in [*keys, "_n", "_room"]]))
         open_ = span.where("_n > _room AND _at IS NOT NULL").select(*keys, "_room", "_at")
-        done.append(stage(take(now.join(all_of, keys, "left_semi").drop(room, "_key"))))
-        same = take(now.join(alike, keys, "left_semi").drop(room, "_key")).join(alike, keys)
-        done.append(stage(same.select(*keys, *[F.call_function("div", F.col(c) * F.col("_room"), F.col("_n")).alias(c)
-                                               for c in same.columns if c not in [*keys, "_n", "_room"]])))
-        digit = F.substr("_key", "_at", F.lit(DIGITS))
-        cut = now.drop(room).join(open_, keys).withColumn("_digit", digit)
+        if open_.isEmpty():
+            return done
+        cut = now.drop(room).join(open_, keys).withColumn("_digit", F.substr("_key", "_at", F.lit(DIGITS)))
         counts = cut.groupBy(*keys, "_digit").agg(F.count("*").alias("_n"), F.max("_room").alias("_room"))
         above = Window.partitionBy(*keys).orderBy(F.desc("_digit")).rowsBetween(Window.unboundedPreceding, -1)
-        placed = counts.withColumn("_before", F.coalesce(F.sum("_n").over(above), F.lit(0))).where("_before < _room")
-        placed = stage(placed.select(*keys, "_digit", (F.col("_room") - F.col("_before")).alias("_left"), "_n"))
-        kept = cut.drop("_room", "_at").join(placed, [*keys, "_digit"])
-        done.append(stage(take(kept.where("_n <= _left").select(*columns))))
-        now = stage(kept.where("_n > _left").select(*columns, F.col("_left").alias(room), "_key"))
-    return done
+        placed = counts.withColumn("_before", F.coalesce(F.sum("_n").over(above), F.lit(0))).where("_before < _room").select(
+            *keys, "_digit", (F.col("_room") - F.col("_before")).alias("_left"), "_n")
+        kept = stage(cut.drop("_room", "_at").join(placed, [*keys, "_digit"]).select(*columns, "_key", "_left", "_n"))
+        done.append(take(kept.where("_n <= _left").select(*columns)))
+        now = kept.where("_n > _left").select(*columns, F.col("_left").alias(room), "_key")

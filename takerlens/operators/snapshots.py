@@ -121,9 +121,10 @@ def due_runs(runs: DataFrame, keys: Sequence[str], window_seconds: int,
         return found.where(~F.col("_pinned")).drop("_pinned")
     jump = nodes.select(*keys, "run_ts", hop.alias("_to")).where("_to IS NOT NULL")
     for k in range(rounds):
-        jump = stage(jump)
         reached = found.join(jump, [*keys, "run_ts"]).select(*keys, F.col("_to").alias("run_ts"), F.lit(False).alias("_pinned"))
-        found = stage(found.unionByName(reached).distinct())
-        onward = jump.select(*keys, F.col("run_ts").alias("_to"), F.col("_to").alias("_further"))
-        jump = jump.join(onward, [*keys, "_to"]).select(*keys, "run_ts", F.col("_further").alias("_to"))
+        found = found.unionByName(reached).distinct()
+        if k + 1 < rounds:
+            found = stage(found)
+            onward = jump.select(*keys, F.col("run_ts").alias("_to"), F.col("_to").alias("_further"))
+            jump = stage(jump.join(onward, [*keys, "_to"]).select(*keys, "run_ts", F.col("_further").alias("_to")))
     return found.where(~F.col("_pinned")).drop("_pinned")
