@@ -648,7 +648,7 @@ def stream_chunk_counts(t: Tables) -> DataFrame:
     log = BatchLog(t.spark, f"{base}/log", f"{schema}, chunk bigint", ["chunk"])
     counts = BatchLog(t.spark, f"{base}/counts", "chunk bigint, settled bigint, ingest_eligible bigint, tape_eligible bigint")
     for later in (True, False):
-        rows.where((F.col("ticker") % 2 == 0) == later).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        rows.where((F.col("ticker") % 2 == 0) == later).write.mode("append").parquet(f"{base}/in")
         stream = t.spark.readStream.schema(schema).parquet(f"{base}/in")
         flows.chunk_counts(stream, log, counts, f"{base}/checkpoint", datetime(1992, 1, 1), timedelta(days=30), 1, 100)
     return counts.latest(["chunk"]).drop("batch_id")
