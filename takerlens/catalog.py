@@ -682,7 +682,7 @@ def _land(rows: DataFrame, entity: str, key: str, path: str, per_page: int = 500
     paged = rows.select(F.pmod(F.xxhash64(key), n_pages).alias("page"), fields.alias("item")) \
                 .groupBy("page").agg(F.array_join(F.collect_list("item"), ",").alias("items"))
     paged.select(F.concat(F.lit('{"cursor":"'), F.col("page"), F.lit(f'","{entity}":['), "items", F.lit("]}"))) \
-         .write.text(path)
+         .write.option("compression", "gzip").text(path)
 
 
 @query

@@ -41,3 +41,11 @@ def test_settled_markets_land_from_many_tasks(spark, tmp_path, monkeypatch):
     rows = catalog.queries()["stream_chunk_counts"](spark, folder).collect()
     assert sum(r.settled for r in rows) == 390  # one in 40 has no settlement time
     assert len(glob.glob(f"{made[0]}/in/*.parquet")) == 6
+
+
+def test_pages_land_compressed(spark, tmp_path, monkeypatch):
+    folder, made = write_tables(spark, tmp_path / "t"), watched(monkeypatch)
+    rows = catalog.queries()["json_ingest_trades"](spark, folder).collect()
+    assert len(rows) == 400 and sum(r.trades + r.block_trades for r in rows) == 1600
+    files = glob.glob(f"{made[0]}/trades/part-*")
+    assert files and sum(map(os.path.getsize, files)) < 1600 * 100  # an item has about 200 characters
