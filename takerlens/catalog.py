@@ -18,7 +18,7 @@ from takerlens.functions import rules
 from takerlens.functions.values import hours
 from takerlens.operators import chunks, domains, filters, ingest, linkage, merge, retention, snapshots, tape, worklist
 from takerlens.plans import activity, bleed, classify, health, jobs, quality, screen
-from takerlens.session import scratch_dir
+from takerlens.session import pieces, scratch_dir
 from takerlens.sources import landing
 from takerlens.sources.projection import TRADE_ORDER, Tables
 from takerlens.sources.tables import BatchLog, DatedTable, KeyedTable, SnapshotTable
@@ -27,6 +27,7 @@ from takerlens.streaming import flows
 LIMITS = screen.Thresholds(volume_low=50, volume_high=1000, breadth=0.34, n_settled=20)
 PAGES = {"page_size": 2, "page_cap": 3}
 ARRIVAL = ["run_ts", "arrival"]
+FILE_BYTES = 64 << 20
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -630,10 +631,11 @@ def stream_running_tapes(t: Tables) -> DataFrame:
     rows, folder = t.trades(), f"{base}/in"
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
     log = BatchLog(t.spark, f"{base}/log", flows.sums_schema())
+    files = pieces(rows, piece_bytes=FILE_BYTES, least=2)
     for k in range(2):
-        # A tape's trades are spread over both runs and all files.
-        rows.where(F.col("trade_no") % 2 == k).repartition(2).write.mode("append").parquet(folder)
-        stream = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        # A tape's trades are spread over both runs and all files; a run takes its files in two triggers.
+        rows.where(F.col("trade_no") % 2 == k).repartition(files).write.mode("append").parquet(folder)
+        stream = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", -(-files // 2)).parquet(folder)
         flows.total_tapes(stream, log, f"{base}/checkpoint", compact_every=2)
     sums = log.read().drop("batch_id")
     return tape.exact(sums).select("ticker", "trades", "contracts", "yes_notional", "no_notional", "block_trades")

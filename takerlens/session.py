@@ -85,12 +85,17 @@ def staged(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def pieces(*inputs: DataFrame, piece_bytes: int, least: int = 1, most: int = 100_000) -> int:
+    """How many pieces of bounded size the inputs make, by Catalyst's estimates."""
+    total = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
+    return min(max(least, -(-total // piece_bytes)), most)
+
+
 def size_shuffles(spark: SparkSession, *inputs: DataFrame, partition_bytes: int = 128 << 20, most: int = 100_000) -> int:
     """Raise `spark.sql.shuffle.partitions` so that shuffling the inputs makes partitions of bounded size.
 
     Sizes are Catalyst's estimates of the inputs; AQE merges what turns out small.
     """
-    total = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
-    n = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // partition_bytes)), most)
+    n = pieces(*inputs, piece_bytes=partition_bytes, least=int(spark.conf.get("spark.sql.shuffle.partitions")), most=most)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n

@@ -49,3 +49,13 @@ def test_pages_land_compressed(spark, tmp_path, monkeypatch):
     assert len(rows) == 400 and sum(r.trades + r.block_trades for r in rows) == 1600
     files = glob.glob(f"{made[0]}/trades/part-*")
     assert files and sum(map(os.path.getsize, files)) < 1600 * 100  # an item has about 200 characters
+
+
+def test_running_tapes_land_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    folder, made = write_tables(spark, tmp_path / "t"), watched(monkeypatch)
+    size = sum(os.path.getsize(f) for f in glob.glob(f"{folder}/lineitem.parquet/*.parquet"))
+    monkeypatch.setattr(catalog, "FILE_BYTES", size // 8)
+    rows = catalog.queries()["stream_running_tapes"](spark, folder).collect()
+    assert len(rows) == 400 and sum(r.trades + r.block_trades for r in rows) == 1600
+    assert len(glob.glob(f"{made[0]}/in/*.parquet")) >= 12
+    assert len(glob.glob(f"{made[0]}/checkpoint/commits/[0-9]*")) == 4  # two triggers a run at any size
