@@ -13,7 +13,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from takerlens.operators import chunks, ingest, linkage, merge, retention, snapshots, tape, worklist
+from takerlens.operators import chunks, filters, ingest, linkage, merge, retention, snapshots, tape, worklist
 from takerlens.plans import activity, bleed, classify, screen
 from takerlens.plans.screen import Thresholds
 from takerlens.session import cleared_scratch, scratch_dir, size_shuffles
@@ -302,14 +302,18 @@ def sweep_job(store: Store, markets: DataFrame | None, trades: DataFrame | None,
 def _to_sweep(store: Store, markets: DataFrame | None, since: datetime | None, now: datetime, minimum_volume: float,
               late: bool) -> DataFrame:
     """Settled markets of the range, and older ones that no sweep has stored."""
-    events = store.read("events")
+    events, both = store.read("events"), late and since is not None
+    # Markets that are given may be costly to make: both halves read them from one stored table.
+    given = _staged(ingest.recent_window(markets, events, None, F.lit(now), minimum_volume)) if both and markets is not None else None
 
     def settled(low: datetime | None, high: datetime) -> DataFrame:
+        if given is not None:
+            return given.where(filters.settled_between(None if low is None else F.lit(low), F.lit(high)))
         rows = landed_markets(store, low, high) if markets is None else markets
         return ingest.recent_window(rows, events, None if low is None else F.lit(low), F.lit(high), minimum_volume)
 
     rows = settled(since, now)
-    if late and since is not None:
+    if both:
         older = settled(None, since).where(F.col("settlement_ts") < F.lit(since))
         rows = rows.unionByName(worklist.unfinished(older, store.read("markets_terminal")))
     return rows

@@ -59,3 +59,28 @@ def test_running_tapes_land_in_files_of_bounded_size(spark, tmp_path, monkeypatc
     assert len(rows) == 400 and sum(r.trades + r.block_trades for r in rows) == 1600
     assert len(glob.glob(f"{made[0]}/in/*.parquet")) >= 12
     assert len(glob.glob(f"{made[0]}/checkpoint/commits/[0-9]*")) == 4  # two triggers a run at any size
+
+
+def test_given_markets_are_read_once_a_sweep(spark, tmp_path):
+    """A later sweep looks for new and for late markets in one stored copy of what it was given."""
+    store = jobs.Store(spark, str(tmp_path / "store"), days=30)
+    store.tables["events"].upsert(spark.createDataFrame([("E", "S")], "event_ticker string, series_ticker string"))
+    read = spark.sparkContext.accumulator(0)
+
+    def feed(*rows):
+        def seen(row):
+            read.add(1)
+            return row
+
+        wide = "ticker string, event_ticker string, status string, result string, settlement_ts timestamp, volume decimal(18,2), arrival int"
+        return spark.createDataFrame(spark.sparkContext.parallelize([(t, "E", "settled", "yes", at, D(1), 0) for t, at in rows], 1).map(seen), wide)
+
+    day = lambda k: DAY + timedelta(days=k)
+    trades = spark.createDataFrame([], jobs.TRADES).drop("trade_date")
+    sweep = dict(now=day(400), chunk=timedelta(days=200), overlap=timedelta(0))
+    first = feed(("A", day(10)), ("B", day(210)))
+    assert jobs.sweep_job(store, first, trades, stop_after=1, **sweep)["markets"] == 1
+    read.value = 0
+    assert jobs.sweep_job(store, feed(("A", day(10)), ("B", day(210)), ("LATE", day(20))), trades, **sweep)["markets"] == 2
+    assert read.value == 3
+    assert sorted(r.ticker for r in store.read("markets_terminal").collect()) == ["A", "B", "LATE"]
