@@ -126,19 +126,36 @@ class DatedTable:
         days = {r[0] for r in rows.select(self.day_of(F.col(self.moment))).distinct().collect()}
         if not days:
             return
-        days |= {r[0] for r in stored.join(rows.select(*self.keys), self.keys, "left_semi").select(self.day).distinct().collect()}
+        there = {int(n.split("=")[1]) for n in _children(self.spark, self.path, f"{self.day}=")}
+        held = set()
+        if there:
+            held = {r[0] for r in stored.join(rows.select(*self.keys), self.keys, "left_semi").select(self.day).distinct().collect()}
+        day, fresh = self.day_of(F.col(self.moment)), days - there
+        if not held and fresh:
+            # No key is known: days without a folder are written as they come, with nothing to merge or to stage.
+            some = rows if fresh == days else rows.where(day.isin(sorted(fresh)))
+            none = self.spark.createDataFrame([], self.schema).where("false")
+            self._replace(upsert(none, some, self.keys, **options).withColumn(self.day, day))
+            rows, days = rows.where(day.isin(sorted(days - fresh))), days - fresh
+            if not days:
+                return
+        days |= held
         known = stored.where(F.col(self.day).isin(sorted(days))).drop(self.day)
         staging = scratch_dir(self.spark, "upsert")
-        merged = upsert(known, rows, self.keys, **options).withColumn(self.day, self.day_of(F.col(self.moment)))
+        merged = upsert(known, rows, self.keys, **options).withColumn(self.day, day)
         merged.write.parquet(staging)
         new = self.spark.read.schema(merged.schema).parquet(staging)
-        (new.hint("rebalance", self.day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(self.day).parquet(self.path))
+        self._replace(new)
         # A day that all its rows have left is not among those written.
-        for day in days - {r[0] for r in new.select(self.day).distinct().collect()}:
-            _delete(self.spark, f"{self.path}/{self.day}={day}")
+        for gone in days - {r[0] for r in new.select(self.day).distinct().collect()}:
+            _delete(self.spark, f"{self.path}/{self.day}={gone}")
         _delete(self.spark, staging)
 
+    def _replace(self, rows: DataFrame) -> None:
+        """Rows in place of the folders of their days."""
+        (rows.hint("rebalance", self.day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(self.day).parquet(self.path))
+
 
 class BatchLog:
     """Append-only rows below `batch_id=`; a repeated batch overwrites itself."""

@@ -84,3 +84,27 @@ def test_given_markets_are_read_once_a_sweep(spark, tmp_path):
     assert jobs.sweep_job(store, feed(("A", day(10)), ("B", day(210)), ("LATE", day(20))), trades, **sweep)["markets"] == 2
     assert read.value == 3
     assert sorted(r.ticker for r in store.read("markets_terminal").collect()) == ["A", "B", "LATE"]
+
+
+SCHEMA = "ticker string, settlement_ts timestamp, n int, first string"
+
+
+def test_new_days_are_written_without_a_merge(spark, tmp_path, monkeypatch):
+    """Keys that nobody knows: days without a folder are not staged, the others are merged, and all rows are there."""
+    table = tables.DatedTable(spark, str(tmp_path / "t"), SCHEMA, ["ticker"])
+    staged, real = [], tables.scratch_dir
+    monkeypatch.setattr(tables, "scratch_dir", lambda spark, prefix: staged.append(real(spark, prefix)) or staged[-1])
+
+    def put(label, *rows):
+        table.upsert(spark.createDataFrame(rows, "ticker string, settlement_ts timestamp, n int"), defaults={"first": F.lit(label)})
+        return {r.ticker: (r.settlement_ts, r.n, r.first) for r in table.read().collect()}
+
+    day = lambda k: DAY + timedelta(days=k)
+    one = put("one", ("a", day(0), 1), ("b", day(1), 2), ("u", None, 3))
+    assert staged == [] and one == {"a": (day(0), 1, "one"), "b": (day(1), 2, "one"), "u": (None, 3, "one")}
+    two = put("two", ("c", day(1), 4), ("d", day(2), 5))  # a day that is there, and a new one
+    assert len(staged) == 1 and two == one | {"c": (day(1), 4, "two"), "d": (day(2), 5, "two")}
+    three = put("three", ("a", day(7), 6), ("e", day(8), 7))  # a known key moves to a new day and keeps what was not given
+    assert three == two | {"a": (day(7), 6, "one"), "e": (day(8), 7, "three")}
+    table.upsert(table.read().where("ticker = 'b'").selectExpr("'z' AS ticker", "settlement_ts + INTERVAL 20 DAYS AS settlement_ts", "n"))
+    assert table.read().count() == 7  # rows made from the table itself
