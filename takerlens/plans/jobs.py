@@ -373,7 +373,7 @@ def sweep_landed(store: Store, checkpoint: str, now: datetime, trades: DataFrame
 
     def sink(batch: DataFrame, _: int) -> None:
         rows = batch.withColumn("arrival", F.struct("batch_id", "arrival")).drop("settled_day", "batch_id")
-        kept = _staged(ingest.recent_window(rows, store.read("events"), None, F.lit(now), minimum_volume))
+        kept = ingest.recent_window(rows, store.read("events"), None, F.lit(now), minimum_volume)
         cursor = store.cursor("settled_sweep")
         counts = sweep_rows(store, kept, trades, now, None, tape_minimum, chunk=chunk, cursor=utc(cursor) if cursor else None)
         for k in total:

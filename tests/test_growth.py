@@ -108,3 +108,19 @@ def test_new_days_are_written_without_a_merge(spark, tmp_path, monkeypatch):
     assert three == two | {"a": (day(7), 6, "one"), "e": (day(8), 7, "three")}
     table.upsert(table.read().where("ticker = 'b'").selectExpr("'z' AS ticker", "settlement_ts + INTERVAL 20 DAYS AS settlement_ts", "n"))
     assert table.read().count() == 7  # rows made from the table itself
+
+
+def test_landed_markets_are_stored_by_day_only(spark, tmp_path, monkeypatch):
+    """A sweep of landed files writes their rows once, by settlement day, before it takes the windows."""
+    store, staged, real = jobs.Store(spark, str(tmp_path / "store"), days=30), [], jobs._staged
+    store.tables["events"].upsert(spark.createDataFrame([("E", "S")], "event_ticker string, series_ticker string"))
+    given = spark.createDataFrame([("A", "E", "settled", "yes", DAY, D(1), 0)],
+                                  "ticker string, event_ticker string, status string, result string, settlement_ts timestamp, volume decimal(18,2), settled_day int")
+    fields = spark.createDataFrame([], jobs.SETTLED).schema
+    store.settled.write(given.select(*[F.col(f.name) if f.name in given.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                                       for f in fields]), 0)
+    monkeypatch.setattr(jobs, "_staged", lambda rows: staged.append(rows.columns) or real(rows))
+    trades = spark.createDataFrame([], jobs.TRADES).drop("trade_date")
+    assert jobs.sweep_landed(store, f"{store.path}/landed", DAY + timedelta(days=9), trades)["markets"] == 1
+    assert [r.series_ticker for r in store.read("markets_terminal").collect()] == ["S"]
+    assert staged and not any("arrival" in columns for columns in staged)
