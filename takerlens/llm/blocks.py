@@ -74,14 +74,8 @@ def id_and_bytes(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
 
-def cut(docs: DataFrame, read: Callable, block_bytes: int = BLOCK_BYTES, payloads: bool = True,
-        vocabularies: bool = True) -> DataFrame:
-    """Rows of `CUT`: for each block its payload (idx -1) and its vocabulary, or only one of the two.
-
-    `read(ids, texts)` gets a block's ids (Arrow array) and texts (bytes) and returns (payload table, chunks, weights);
-    chunks are bytes or text in index order (None where only payloads are asked for and `finish` itself checks them),
-    weights a list of numbers or None.
-    """
+def by_block(docs: DataFrame, each: Callable, schema: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The record batches that `each(number, ids, texts)` yields for every block of documents."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, size, number = [], [], 0, 0
@@ -93,10 +87,23 @@ def cut(docs: DataFrame, read: Callable, block_bytes: int = BLOCK_BYTES, payload
                 texts.append(text)
                 size += len(text)
                 if size >= block_bytes:
-                    yield from block(number, pa.array(ids, kind), texts)
+                    yield from each(number, pa.array(ids, kind), texts)
                     ids, texts, size = [], [], 0
         if ids:
-            yield from block(number, pa.array(ids, kind), texts)
+            yield from each(number, pa.array(ids, kind), texts)
+
+    steady_splits(docs.sparkSession)
+    return id_and_bytes(docs).withColumn("row", F.monotonically_increasing_id()).mapInArrow(rows, schema)
+
+
+def cut(docs: DataFrame, read: Callable, block_bytes: int = BLOCK_BYTES, payloads: bool = True,
+        vocabularies: bool = True) -> DataFrame:
+    """Rows of `CUT`: for each block its payload (idx -1) and its vocabulary, or only one of the two.
+
+    `read(ids, texts)` gets a block's ids (Arrow array) and texts (bytes) and returns (payload table, chunks, weights);
+    chunks are bytes or text in index order (None where only payloads are asked for and `finish` itself checks them),
+    weights a list of numbers or None.
+    """
 
     def block(number: int, ids: pa.Array, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
         data, chunks, weights = read(ids, texts)
@@ -114,8 +121,7 @@ def cut(docs: DataFrame, read: Callable, block_bytes: int = BLOCK_BYTES, payload
                 pa.nulls(len(part), pa.int64()) if weights is None else pa.array(weights[lo:lo + _ROWS], pa.int64())],
                 schema=_CUT)
 
-    steady_splits(docs.sparkSession)
-    return id_and_bytes(docs).withColumn("row", F.monotonically_increasing_id()).mapInArrow(rows, CUT)
+    return by_block(docs, block, CUT, block_bytes)
 
 
 def answered_apart(docs: DataFrame, read: Callable, answer: Callable) -> DataFrame:

@@ -14,20 +14,21 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from takerlens.llm.blocks import TOTALS, Vocabulary, answered, cut, id_type, opened, payloads
+from takerlens.llm.blocks import TOTALS, Vocabulary, answered, by_block, cut, id_type, opened, payloads
 from takerlens.llm.staging import documents, staged
 
 ORDER = 5
 END = b"\n"
 SYMBOLS = 256
 BLOCK_BYTES = 14 << 20  # a block comes back with its grams, which are as many again as its tokens
+_PART = 1 << 18
 SCORED = "n_tokens long, n_known long, logs double, score double"
 
 
@@ -57,42 +58,49 @@ def _texts(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, None, None]:
 
 
 def _tokens(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, list[bytes], list[int]]:
-    """Distinct tokens in the order of `_indices`, with their counts in training texts."""
-    tokens = Vocabulary()
+    """Distinct tokens in order of first use, with their counts in training texts."""
     learned: Counter = Counter()
     for doc_id, text in zip(ids.to_pylist(), texts):
         words = [*text.lower().split(), END]
-        tokens.indices(words)
-        if not held_out(doc_id):
+        if held_out(doc_id):
+            for word in words:
+                learned.setdefault(word, 0)
+        else:
             learned.update(words)
-    return pa.table({"doc_id": ids}), list(tokens), [learned[t] for t in tokens]
+    return pa.table({"doc_id": ids}), list(learned), list(learned.values())
 
 
-def _grams(docs: DataFrame, order: int) -> DataFrame:
-    """block, gram, weight: a block's distinct grams with their counts in training texts."""
+def counted_grams(ids: pa.Array, texts: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The distinct grams of a block in rising order with their counts in training texts, some at a time.
 
-    def read(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, list[bytes], list[int]]:
-        kept: list[tuple[np.ndarray, np.ndarray]] = []
-        group: list[np.ndarray] = []
-        for doc_id, text in zip(ids.to_pylist(), texts):
-            # The lowest bit of the number tells training from held-out.
-            group.append(grams(stream(text), order) * 2 + (not held_out(doc_id)))
-            if sum(map(len, group)) > 1 << 21:
-                kept.append(np.unique(np.concatenate(group), return_counts=True))
-                group = []
-        kept += [np.unique(np.concatenate(group), return_counts=True)] if group else []
-        found = np.concatenate([g for g, _ in kept])
-        count = np.concatenate([c for _, c in kept])
-        distinct, which = np.unique(found >> 1, return_inverse=True)
-        weight = np.bincount(which, count * (found & 1), minlength=len(distinct)).astype(np.int64)
-        return pa.table({"doc_id": ids}), list(map(_spelled, distinct.tolist())), weight.tolist()
+    A block takes eight bytes a byte of text: its grams are sorted in place and counted part by part.
+    """
+    coded = [stream(text) for text in texts]
+    found = np.empty(sum(map(len, coded)), np.int64)
+    end = 0
+    for doc_id, text in zip(ids.to_pylist(), coded):
+        # The lowest bit of the number tells training from held-out.
+        found[end:end + len(text)] = grams(text, order) * 2 + (not held_out(doc_id))
+        end += len(text)
+    found.sort()
+    lo = 0
+    while lo < end:
+        hi = int(np.searchsorted(found, found[min(lo + _PART, end) - 1] | 1, "right"))  # where a gram ends
+        gram = found[lo:hi] >> 1
+        first = np.flatnonzero(np.diff(gram, prepend=-1))
+        yield gram[first], np.add.reduceat(found[lo:hi] & 1, first)
+        lo = hi
 
-    rows = cut(docs, read, BLOCK_BYTES, payloads=False)
-    return rows.select("block", F.conv(F.hex("chunk"), 16, 10).cast("long").alias("gram"), "weight")
 
+def _grams(docs: DataFrame, order: int) -> DataFrame:
+    """block, gram, weight: a block's distinct grams with their counts in training texts."""
 
-def _spelled(gram: int) -> bytes:
-    return gram.to_bytes(8, "big")
+    def each(number: int, ids: pa.Array, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        for gram, weight in counted_grams(ids, texts, order):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), number, np.int64)), pa.array(gram), pa.array(weight)],
+                                             names=["block", "gram", "weight"])
+
+    return by_block(docs, each, "block long, gram long, weight long", BLOCK_BYTES)
 
 
 def trie(counts: DataFrame, order: int) -> tuple[list[DataFrame], list[DataFrame]]:
@@ -168,17 +176,14 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     totals = staged(found.groupBy("gram").agg(F.sum("weight").alias("c")), "totals")
     known = logarithms(totals.select("gram"), totals.where("c > 0"), order)
 
-    def finish(table: pa.Table) -> pa.Table:
-        values = table.column("gram").is_valid()
-        data, counts, _ = opened(table.drop_columns(["gram", "logp"]).filter(pa.compute.invert(values)))
-        return _summed(data, counts, table.select(["gram", "logp"]).filter(values), order)
-
-    empty = [F.lit(None).cast(t).alias(c) for c, t in (("payload", "binary"), ("idx", "binary"), ("size", "binary"),
-                                                       ("flat", "binary"))]
-    logs = found.select("block", "gram").join(known, "gram").select("block", *empty, "gram", "logp")
-    rest = tokens.where(F.col("block") != TOTALS).unionByName(payloads(docs, _texts, BLOCK_BYTES))
-    rows = rest.withColumn("gram", F.lit(None).cast("long")).withColumn("logp", F.lit(None).cast("double")).unionByName(logs)
-    scored = rows.groupBy("block").applyInArrow(finish, f"doc_id {id_type(docs)}, held_out boolean, {SCORED}")
+    def finish(table: pa.Table, logs: pa.Table) -> pa.Table:
+        data, counts, _ = opened(table)
+        return _summed(data, counts, logs, order)
+
+    logs = found.select("block", "gram").join(known, "gram").select("block", "gram", "logp")
+    rows = tokens.where(F.col("block") != TOTALS).unionByName(payloads(docs, _texts, BLOCK_BYTES))
+    scored = rows.groupBy("block").cogroup(logs.groupBy("block")).applyInArrow(
+        finish, f"doc_id {id_type(docs)}, held_out boolean, {SCORED}")
     each = math.log10(train + 0.1 * (distinct + 1))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train).cast("long").alias("train_tokens"),
                          (F.col("logs") - F.col("n_tokens") * each).alias("base_score"), "score")

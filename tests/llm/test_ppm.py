@@ -2,8 +2,12 @@
 
 import collections
 import math
+import random
+import tracemalloc
 import zlib
 
+import pyarrow as pa
+
 from takerlens.llm import op2_ppm
 
 
@@ -81,3 +85,32 @@ def test_held_out_texts_are_predicted_better_than_by_token_counts(spark):
     row = op2_ppm.op2_prediction_by_partial_matching(spark, folder).where("held_out").selectExpr(
         "sum(score) AS score", "sum(base_score) AS base").first()
     assert row.score > row.base
+
+
+def test_the_grams_of_a_block_take_little_memory(stored, monkeypatch):
+    docs = stored([(1, "a")], 1)
+    made = []
+    frame = type(docs)
+    real = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, f, schema, *more: made.append(f) or real(self, f, schema, *more))
+    op2_ppm._grams(docs, 5)
+    text = random.Random(1).randbytes(1 << 20).replace(b"\n", b" ")
+    batch = pa.record_batch([pa.array([1, 2]), pa.array([text, text[:5000]]), pa.array([0, 1])], names=["doc_id", "text", "row"])
+    tracemalloc.start()
+    n = sum(out.num_rows for out in made[-1](iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 900_000 and peak < 40 * len(text)
+
+
+def test_grams_are_counted_in_parts(monkeypatch):
+    monkeypatch.setattr(op2_ppm, "_PART", 7)
+    rows = [(i, t) for i, t in enumerate(["the cat the cat", "", "the dog", None, "a a a a a a a a"] * 5)]
+    texts = [(t or "").encode() for _, t in rows]
+    expected = collections.Counter()
+    for (i, _), text in zip(rows, texts):
+        for gram in op2_ppm.grams(op2_ppm.stream(text), 5).tolist():
+            expected[gram] += not op2_ppm.held_out(i)
+    got = [(g, w) for part in op2_ppm.counted_grams(pa.array([i for i, _ in rows]), texts, 5) for g, w in zip(*map(list, part))]
+    assert got == sorted(expected.items())
+    assert list(op2_ppm.counted_grams(pa.array([], pa.int64()), [], 5)) == []
