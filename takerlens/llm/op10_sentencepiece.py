@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,8 @@ from takerlens.llm.wordpieces import public_path
 _MARK = "▁"
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _CHUNK = re.compile(rf"{_MARK}+[^{_MARK}\n]*|[^{_MARK}\n]+|\n")
+_CLOSING = ".,;:!?"
+_SPACED = re.compile(b" ( *[^ ]*)")
 
 
 @lru_cache(maxsize=4)
@@ -43,22 +47,52 @@ def closing(path: str) -> re.Pattern:
     """Chunks of letters and then marks that no piece has after a letter: these are two chunks, which repeat more often."""
     library = processor(path)
     pieces = [library.id_to_piece(i) for i in range(library.vocab_size()) if not library.is_byte(i)]
-    apart = [m for m in ".,;:!?" if not any(re.search(f"[{_LETTERS}]{re.escape(m)}", p) for p in pieces)]
+    apart = [m for m in _CLOSING if not any(re.search(f"[{_LETTERS}]{re.escape(m)}", p) for p in pieces)]
     return re.compile(f"({_MARK}*[{_LETTERS}]+)([{''.join(apart)}]+)" if apart else "(?!)")
 
 
+def spaced(text: bytes) -> list[bytes]:
+    """The words of a text, each with the spaces before it but the first; `chunks_of` all words are those of the text."""
+    text = text.replace(_MARK.encode(), b" ")
+    if b"  " in text or text.startswith(b" "):
+        return _SPACED.findall(b" " + text)
+    return text.split(b" ") if text else []
+
+
+def _parts(words: Iterable[bytes], two: re.Pattern) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct parts of chunks, and each word's numbers of parts and their places end to end."""
+    parts: dict[str, int] = {}
+    flat: list[int] = []
+    size: list[int] = []
+    for word in words:
+        # The first marker is of the space that the word was split at, or the one before the text.
+        marked = _MARK + word.decode()
+        found = _CHUNK.findall(marked.replace(" ", _MARK)) if b"\n" in word or b" " in word else (marked,)
+        before = len(flat)
+        for chunk in found:
+            if chunk[-1] in _CLOSING and (both := two.fullmatch(chunk)):
+                flat += [parts.setdefault(part, len(parts)) for part in both.groups()]
+            else:
+                flat.append(parts.setdefault(chunk, len(parts)))
+        size.append(len(flat) - before)
+    return list(parts), np.array(size, np.int64), np.array(flat, np.int32)
+
+
+def _chunk_reader(path: str):
+    def chunks(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, list[str], None]:
+        words = dict.fromkeys(chain.from_iterable(map(spaced, texts)))
+        return pa.table({"doc_id": ids}), _parts(words, closing(path))[0], None
+
+    return chunks
+
+
 def _reader(path: str):
     def positions(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, list[str], None]:
-        whole, parts = Vocabulary(), Vocabulary()
-        index = [whole.indices(chunks_of(text.decode())) for text in texts]
-        pairs = np.full((len(whole), 2), -1, np.int32)
-        two = closing(path)
-        for i, chunk in enumerate(whole):
-            both = two.fullmatch(chunk)
-            for k, part in enumerate(both.groups() if both else (chunk,)):
-                pairs[i, k] = parts[part]
-        index = [row[row >= 0] for row in (pairs[i].ravel() for i in index)]
-        return pa.table({"doc_id": ids, **numbers(index)}), list(parts), None
+        words = Vocabulary()
+        index = [words.indices(spaced(text)) for text in texts]
+        parts, size, flat = _parts(words, closing(path))
+        starts = np.cumsum(size) - size
+        return pa.table({"doc_id": ids, **numbers([ragged(flat, starts, size, row) for row in index])}), parts, None
 
     return positions
 
@@ -68,7 +102,8 @@ def _segmenter(path: str):
         library = processor(path)
         # After a line break the library adds no marker; its own marker and the break are the first two ids.
         ids = [x[2:] for x in library.encode(["\n" + x.decode() for x in chunks], num_threads=1)]
-        return np.array([len(x) for x in ids], np.int64), np.array([i for x in ids for i in x], np.int32)
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        return size, np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))
 
     return segment
 
@@ -92,7 +127,7 @@ def encode_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def _encoded(docs: DataFrame, path: str, finish, columns: str) -> DataFrame:
-    return finished(answered_apart(docs, _reader(path), _segmenter(path)), finish, f"doc_id {id_type(docs)}, {columns}")
+    return finished(answered_apart(docs, _reader(path), _segmenter(path), _chunk_reader(path)), finish, f"doc_id {id_type(docs)}, {columns}")
 
 
 def _ids_rows(data: pa.Table, size: np.ndarray, flat: np.ndarray) -> pa.Table:
@@ -103,8 +138,10 @@ def _ids_rows(data: pa.Table, size: np.ndarray, flat: np.ndarray) -> pa.Table:
 
 def _digest_rows(data: pa.Table, size: np.ndarray, flat: np.ndarray, library) -> pa.Table:
     ends = np.cumsum(size).tolist()
-    ids = [flat[end - n:end].tolist() for end, n in zip(ends, size.tolist())]
-    written = [",".join(map(str, x)) for x in ids]
+    every = flat.tolist()
+    ids = [every[end - n:end] for end, n in zip(ends, size.tolist())]
+    digits = list(map(str, range(library.vocab_size())))
+    written = [",".join([digits[i] for i in x]) for x in ids]
     # A chunk is whole characters, so byte pieces never join across chunks.
     line_break = library.encode("\n")[1:]
     spelled = [x[1:] for x in library.decode([line_break + x for x in ids])] if ids else []

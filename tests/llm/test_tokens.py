@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from takerlens.llm import op4_tokens, op6_packing, op10_sentencepiece
@@ -51,6 +52,32 @@ def test_chunks_spell_the_marked_text():
         assert "".join(op10_sentencepiece.chunks_of(text)) == ("▁" + text.replace(" ", "▁") if text else "")
 
 
+def test_words_hold_the_chunks_of_the_text():
+    for text in ["", " ", "a", "a ", "  a", *babble([" ", "  ", "\n", "▁", "a", "b.", "é,", "\t"], 500, 20, 6)]:
+        words = op10_sentencepiece.spaced(text.encode())
+        parts, size, flat = op10_sentencepiece._parts(words, op10_sentencepiece.re.compile("(?!)"))
+        assert len(size) == len(words) and [parts[i] for i in flat] == op10_sentencepiece.chunks_of(text)
+
+
+def test_a_text_is_matched_by_distinct_word_and_once(monkeypatch):
+    """Each use of a word costs a lookup; only distinct ones meet the pattern, and one of two scans has no places to note."""
+    path = public.path("piece_bpe_32k.model")
+    met, placed = [], []
+    pattern, numbers = op10_sentencepiece._CHUNK, op10_sentencepiece.numbers
+
+    class Counting:
+        def findall(self, text):
+            met.append(text)
+            return pattern.findall(text)
+
+    monkeypatch.setattr(op10_sentencepiece, "_CHUNK", Counting())
+    monkeypatch.setattr(op10_sentencepiece, "numbers", lambda index: placed.append(index) or numbers(index))
+    text = ("one two, three\nfour " * 1000).encode()
+    table, chunks, _ = op10_sentencepiece._reader(path)(pa.array([1, 2]), [text, text])
+    assert sum(map(len, met)) < 100 and len(placed) == 1
+    assert op10_sentencepiece._chunk_reader(path)(pa.array([1, 2]), [text, text])[1] == chunks and len(placed) == 1
+
+
 def test_pieces_and_places(stored, rows):
     library = tokenizers.Tokenizer.from_file(public.path("word_bpe_49k.json"))
     expected = []
