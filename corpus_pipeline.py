@@ -13,35 +13,35 @@ from takerlens.llm.op5_templates import drop_templates
 from takerlens.llm.op6_packing import pack_documents
 from takerlens.llm.op7_jaccard import keep_one
 from takerlens.llm.op9_isolation import keep_good
-from takerlens.llm.staging import documents, staged, with_package
+from takerlens.llm.staging import documents, for_texts, staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the isolation forest."""
-    return keep_good(docs, with_package(spark).read.parquet(f"{sf_dir}/labels.parquet"))
+    return keep_good(docs, for_texts(spark).read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines whose template recurs in a document with a smaller id."""
-    with_package(spark)
+    for_texts(spark)
     return drop_templates(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class: the one with the smallest id."""
-    with_package(spark)
+    for_texts(spark)
     return keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data masked by its kind."""
-    with_package(spark)
+    for_texts(spark)
     return mask_personal_data(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 4096 tokens."""
-    with_package(spark)
+    for_texts(spark)
     return pack_documents(docs)
 
 
