@@ -9,6 +9,9 @@ repeats of any length cost nothing.
 
 Counts of shards are added up per phrase. They travel as sorted packs, one per shard and bucket of phrases; a phrase has at
 most one entry a shard, so no phrase is hot, and a bucket holds about `BUCKET` entries however large the corpus is.
+
+An executor holds a shard's index and phrases per core, so they are 32-bit numbers, phrases are extended some at a time, and
+a worker gives back what a shard took.
 """
 
 from __future__ import annotations
@@ -20,12 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from takerlens.llm.blocks import Vocabulary, packed, unpacked
+from takerlens.llm.blocks import Vocabulary, packed, released, unpacked
 from takerlens.llm.staging import documents, staged
 
 LONGEST, LEAST, INSIDE, FIRST = 3, 10, 50, 2000
 SHARD_BYTES = 16 << 20
 BUCKET = 2_000_000
+PLACES = 500_000
 MILLION = 1_000_000
 _BREAK = b"\xff"  # no byte of UTF-8
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -50,8 +54,7 @@ class Index:
         self.mirror = _transform(text[::-1], symbols, depth)
         counts = np.bincount(text, minlength=symbols)
         self.first = np.concatenate([[0], np.cumsum(counts)])
-        # Occurrences of each symbol in a transform, as symbol * n + place: sorted, so a rank is a binary search.
-        self._at = [np.sort(t * self.n + np.arange(self.n)) for t in (self.bwt, self.mirror)]
+        self._at: list[np.ndarray | None] = [None, None]
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """symbol, lo, rlo, size of each symbol that occurs."""
@@ -61,6 +64,13 @@ class Index:
 
     def _rank(self, side: int, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
         """How often each symbol occurs before each place."""
+        if self._at[side] is None:
+            # Occurrences of each symbol in a transform, as symbol * n + place: sorted, so a rank is a binary search.
+            at = (self.bwt, self.mirror)[side].astype(np.int64)
+            at *= self.n
+            at += np.arange(self.n, dtype=np.int32)
+            at.sort()
+            self._at[side] = at
         return np.searchsorted(self._at[side], symbol * self.n + place) - self.first[symbol]
 
     def extended(self, side: int, lo: np.ndarray, rlo: np.ndarray, size: np.ndarray):
@@ -74,31 +84,70 @@ class Index:
             of, symbol, lo, rlo, size = self._grown(0, lo, rlo, size)
         return of, symbol, lo, rlo, size
 
+    def counted(self, side: int, lo: np.ndarray, rlo: np.ndarray, size: np.ndarray):
+        """`extended` without the new places: which phrase was extended, by which symbol, and the new size."""
+        of, symbol, count, _ = self._joined(self._next(side, rlo if side else lo, size))
+        return of, symbol, count
+
     def _grown(self, side: int, here: np.ndarray, there: np.ndarray, size: np.ndarray):
-        begins = np.cumsum(size) - size
-        of = np.repeat(np.arange(len(size)), size)
-        found = (self.bwt, self.mirror)[side][np.repeat(here - begins, size) + np.arange(len(of))]
-        key = np.sort(of * self.symbols + found)
-        start = np.flatnonzero(np.diff(key, prepend=-1))
-        count = np.diff(start, append=len(key))
-        of, symbol = np.divmod(key[start], self.symbols)
-        smaller = start - begins[of]  # extensions of the same phrase by smaller symbols
-        real = symbol > 0
-        of, symbol, count, smaller = of[real], symbol[real], count[real], smaller[real]
-        return of, symbol, self.first[symbol] + self._rank(side, symbol, here[of]), there[of] + smaller, count
+        def placed():
+            for of, symbol, count, smaller in self._next(side, here, size):
+                yield of, symbol, self.first[symbol] + self._rank(side, symbol, here[of]), there[of] + smaller, count
+
+        return self._joined(placed())
+
+    def _next(self, side: int, here: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """What stands next to some of the phrases at a time: which phrase, symbol, how often, and how often a smaller one."""
+        transform, through = (self.bwt, self.mirror)[side], np.cumsum(size, dtype=np.int64)
+        lo = 0
+        while not lo or lo < len(size):
+            hi = max(lo + 1, int(np.searchsorted(through, (through[lo - 1] if lo else 0) + PLACES, "right")))
+            each = size[lo:hi].astype(np.int64)
+            begins = np.cumsum(each) - each
+            at = np.repeat(here[lo:hi] - begins, each)
+            at += np.arange(len(at))
+            found = transform[at]
+            del at
+            key = np.repeat(np.arange(len(each)) * self.symbols, each)
+            key += found
+            key.sort()
+            start = np.flatnonzero(np.diff(key, prepend=-1))
+            count = np.diff(start, append=len(key))
+            of, symbol = np.divmod(key[start], self.symbols)
+            smaller = start - begins[of]  # extensions of the same phrase by smaller symbols
+            real = symbol > 0
+            yield of[real] + lo, symbol[real], count[real], smaller[real]
+            lo = hi
+
+    @staticmethod
+    def _joined(parts: Iterator[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        kept = [[x.astype(np.int32) for x in part] for part in parts]
+        return tuple(np.concatenate(column) for column in zip(*kept))
 
 
 def _transform(text: np.ndarray, symbols: int, depth: int) -> np.ndarray:
     """The symbol before each suffix, suffixes sorted by `depth` symbols; the text runs in a circle and ends with 0."""
-    rank, have, order = text.astype(np.int64), 1, None
-    while order is None or have < depth:
-        key = rank * (int(rank.max(initial=0)) + 1) + np.roll(rank, -have)
-        order = np.argsort(key, kind="stable")
-        now = key[order]
-        rank = np.empty_like(rank)
-        rank[order] = np.cumsum(np.diff(now, prepend=now[:1]) > 0)
-        have *= 2
-    return text[order - 1]
+    text = text.astype(np.int32)
+    n, rank, have = len(text), text, 1
+    while True:
+        more, more_have = (rank, have) if depth - have > 1 else (text, 1)
+        key = rank.astype(np.int64)
+        key *= int(more.max(initial=0)) + 1
+        key += np.roll(more, -have)
+        have += more_have
+        if int(key.max(initial=0)) < (1 << 62) // n:
+            key *= n
+            key += np.arange(n, dtype=np.int32)
+            key.sort()
+            order = (key % n).astype(np.int32)
+            key //= n
+        else:
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+        if have >= depth:
+            return text[order - 1]
+        rank = np.empty_like(text)
+        rank[order] = np.cumsum(np.diff(key, prepend=key[:1]) > 0, dtype=np.int32)
 
 
 def phrases(index: Index, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -107,11 +156,17 @@ def phrases(index: Index, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray
     Words are extended to the right, the pairs to the left, and so on in turn.
     """
     symbol, *interval = index.words()
-    found, side = symbol[:, None], 1
-    for _ in range(2, longest + 1):
-        of, symbol, *interval = index.extended(side, *interval)
+    found, side = symbol[:, None].astype(np.int32), 1
+    for length in range(2, longest + 1):
+        if length < longest:
+            of, symbol, *interval = index.extended(side, *interval)
+            size = interval[2]
+        else:
+            of, symbol, size = index.counted(side, *interval)
+            del interval, index
         found = np.column_stack([found[of], symbol] if side else [symbol, found[of]])
-        yield found, interval[2]
+        del of, symbol
+        yield found, size
         side = 1 - side
 
 
@@ -133,8 +188,12 @@ def shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
                 if size >= shard_bytes:
                     yield from shard(number, known)
                     known, size, number = {}, 0, None
+                    del own
+                    released()
         if known:
             yield from shard(number, known)
+        known = {}
+        released()
 
     def shard(number: int, known: dict) -> Iterator[pa.RecordBatch]:
         text, before = [], 0
@@ -142,8 +201,9 @@ def shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
             ids, n = np.concatenate(parts), len(words) - 1
             if n:
                 counts = np.bincount(ids, minlength=n + 1)[1:]
+                spelling = list(words)
                 for lo in range(0, n, 100_000):
-                    part = list(words)[1 + lo:1 + lo + 100_000]
+                    part = spelling[1 + lo:1 + lo + 100_000]
                     k = len(part)
                     yield _rows(shard=np.full(k, number), lang=[lang] * k, idx=np.arange(before + lo + 1, before + lo + k + 1),
                                 word=part, n=counts[lo:lo + k], payload=[None] * k)
@@ -170,17 +230,16 @@ def counted(cut: DataFrame, frequent: DataFrame, longest: int, buckets: int) ->
     def shard(payload: pa.Table, known: pa.Table) -> pa.Table:
         out = {"bucket": [], "words": [], "pack": []}
         if payload.num_rows and known.num_rows:
-            text = unpacked(payload.column("payload")[0].as_py()).column("text").to_numpy()
-            idx, ids = known.column("idx").to_numpy(), np.concatenate([[0], known.column("id").to_numpy()])
-            symbol = np.zeros(max(int(text.max(initial=0)), int(idx.max())) + 1, np.int64)
-            symbol[idx] = np.arange(1, len(idx) + 1)
-            text = symbol[text]
-            text = np.append(text[(text > 0) | (np.roll(text, 1) > 0)], 0)  # one separator is as good as several
+            known = known.sort_by("id")  # a shard's numbers grow with the ids
+            ids = np.concatenate([[0], known.column("id").to_numpy()])
+            text = _narrowed(payload, known.column("idx").to_numpy())
             for found, count in phrases(Index(text, len(ids), longest), longest):
-                for bucket, pack in _packs(ids[found], count, buckets):
+                for bucket, pack in _packs(found, ids, count, buckets):
                     out["bucket"].append(bucket)
                     out["words"].append(found.shape[1])
                     out["pack"].append(pack)
+            del found, count
+        released()
         return pa.table([pa.array(out["bucket"], pa.int32()), pa.array(out["words"], pa.int32()), pa.array(out["pack"], pa.binary())],
                         list(out))
 
@@ -189,21 +248,33 @@ def counted(cut: DataFrame, frequent: DataFrame, longest: int, buckets: int) ->
     return payload.groupBy("of").cogroup(known.groupBy("shard")).applyInArrow(shard, "bucket int, words int, pack binary")
 
 
-def _packs(found: np.ndarray, count: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
-    """Phrases dealt by a hash of their ids, in each bucket sorted, as compressed columns."""
+def _narrowed(payload: pa.Table, idx: np.ndarray) -> np.ndarray:
+    """A shard's text in the words numbered `idx`, from 1; all else separates, once at a time and at the end."""
+    text = unpacked(payload.column("payload")[0].as_py()).column("text").to_numpy()
+    symbol = np.zeros(max(int(text.max(initial=0)), int(idx.max())) + 1, np.int32)
+    symbol[idx] = np.arange(1, len(idx) + 1)
+    text = symbol[text]
+    return np.append(text[(text > 0) | (np.roll(text, 1) > 0)], np.int32(0))
+
+
+def _packs(found: np.ndarray, ids: np.ndarray, count: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """Phrases of numbers into `ids` (ascending) dealt by a hash of their ids, in each bucket sorted, as compressed columns."""
     mixed = np.zeros(len(found), np.uint64)
     for column in found.T:
-        mixed = (mixed ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= ids[column].astype(np.uint64)
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(32)
-    bucket = (mixed % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort([*found.T[::-1], bucket])
-    bucket, found, count = bucket[order], found[order], count[order]
-    bounds = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+    mixed %= np.uint64(buckets)
+    bucket = mixed.astype(np.int32)
+    del mixed
+    order = np.lexsort([*found.T[::-1], bucket]).astype(np.int32)
+    bounds = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
     for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-        part = found[lo:hi]
+        rows = order[lo:hi]
+        part = ids[found[rows]]
         columns = {"word0": np.diff(part[:, 0], prepend=0)}  # sorted: steps are small
         columns |= {f"word{k}": part[:, k] for k in range(1, part.shape[1])}
-        yield int(bucket[lo]), packed(pa.table({**columns, "n": count[lo:hi]}))
+        yield int(bucket[rows[0]]), packed(pa.table({**columns, "n": count[rows].astype(np.int64)}))
 
 
 def summed(packs: DataFrame, least: int) -> DataFrame:
@@ -215,12 +286,18 @@ def summed(packs: DataFrame, least: int) -> DataFrame:
         columns = [np.concatenate([p.column(f"word{k}").to_numpy() for p in parts]) for k in range(1, words)]
         columns = [np.concatenate([np.cumsum(p.column("word0").to_numpy()) for p in parts]), *columns]
         n = np.concatenate([p.column("n").to_numpy() for p in parts])
-        order = np.lexsort(columns[::-1])
-        columns, n = [c[order] for c in columns], n[order]
-        first = np.flatnonzero(np.any([np.diff(c, prepend=c[0] - 1) != 0 for c in columns], axis=0))
-        n = np.add.reduceat(n, first)
+        del parts
+        order, new = np.lexsort(columns[::-1]), False
+        for k, c in enumerate(columns):
+            columns[k] = c = c[order]
+            new |= np.diff(c, prepend=c[0] - 1) != 0
+        first = np.flatnonzero(new)
+        n = np.add.reduceat(n[order], first)
+        del order, c
         often = n >= least
         flat = np.column_stack([c[first[often]] for c in columns]).ravel()
+        del columns
+        released()
         ends = np.arange(0, len(flat) + 1, words, dtype=np.int32)
         return pa.table({"words": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), "n": pa.array(n[often])})
 
