@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -183,11 +184,11 @@ def answered(rows: DataFrame, answer: Callable, totals: bool = False) -> DataFra
         words = table.filter(pa.array(idx != PAYLOAD))
         if not words.num_rows:
             return
-        chunks = words.column("chunk").to_pylist()
-        new = np.fromiter((a != b for a, b in zip(chunks[1:], chunks)), bool, len(chunks) - 1)
+        chunks = words.column("chunk")
+        new = pc.not_equal(chunks.slice(1), chunks.slice(0, len(chunks) - 1)).to_numpy()
         first = np.concatenate([[0], np.flatnonzero(new) + 1])
         weights = np.add.reduceat(words.column("weight").fill_null(0).to_numpy(), first)
-        size, flat = answer([chunks[i] for i in first.tolist()], weights)
+        size, flat = answer(chunks.take(pa.array(first)).to_pylist(), weights)
         if totals:
             summed = np.array([(weights > 0).sum(), weights.sum()], np.int64).tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([TOTALS]), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),

@@ -16,9 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from takerlens.llm.blocks import Vocabulary, answered, cut, finished, id_type, joined, numbers, ragged
+from takerlens.llm.blocks import answered, cut, finished, id_type, joined, numbers, ragged
 from takerlens.llm.staging import documents, staged
-from takerlens.llm.wordpieces import encoder, pretokens, public_path
+from takerlens.llm.wordpieces import chunked, encoder, pretokens, public_path
 
 CAPACITY = 4096
 BUCKET = 40_000
@@ -26,14 +26,12 @@ _SLICE = 500_000
 
 
 def _sequences(ids: pa.Array, texts: list[bytes]) -> tuple[pa.Table, list[str], None]:
-    chunks = Vocabulary()
-    rows = [chunks.indices(text.split()) for text in texts]
-    words, pairs = pretokens(list(chunks))
-    index = []
-    for row in rows:
-        both = pairs[row].ravel()
-        index.append(both[both >= 0])
-    return pa.table({"doc_id": ids, **numbers(index)}), words, None
+    chunks, place, n_chunks = chunked(texts)
+    words, pairs = pretokens(chunks)
+    both = pairs[place]
+    real = both >= 0
+    through = np.concatenate([[0], np.cumsum(real.sum(axis=1))])[np.cumsum(n_chunks)]
+    return pa.table({"doc_id": ids, **numbers(np.split(both[real], through[:-1]))}), words, None
 
 
 def _parts(n_words: np.ndarray) -> list[int]:

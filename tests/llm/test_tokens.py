@@ -1,13 +1,14 @@
 """Token counts, SentencePiece ids and packed pieces against the libraries themselves."""
 
 import hashlib
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from takerlens.llm import op4_tokens, op6_packing, op10_sentencepiece
+from takerlens.llm import op4_tokens, op6_packing, op10_sentencepiece, wordpieces
 from tests.llm.conftest import babble
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -31,6 +32,53 @@ def test_counts_are_the_librarys(stored, rows):
     assert op4_tokens.count_tokens(stored(rows).limit(0)).count() == 0
 
 
+def test_words_of_letters_share_a_text(monkeypatch):
+    """The library is called for texts of many words, not word by word, and each word gets its own ids."""
+    path = public.path("word_bpe_49k.json")
+    library, asked = wordpieces.tokenizer(path), []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+        def __getattr__(self, name):
+            return getattr(library, name)
+
+    monkeypatch.setattr(wordpieces, "tokenizer", lambda path: Counted())
+    words = sorted({w.encode() for w in [*babble("abcdeéñßÿ", 3000, 12, 4), *ODD, "", "don't", "x.y", "A", "</w>", "a</w>"]})
+    size, flat = wordpieces.encoder(path, count_only=False)(words, None)
+    expected = [library.encode(w.decode(), add_special_tokens=False).ids for w in words]
+    assert size.tolist() == list(map(len, expected)) and flat.tolist() == sum(expected, [])
+    assert wordpieces.encoder(path, count_only=True)(words, None)[0].tolist() == size.tolist()
+    assert len(asked) < 2 * (len(words) / 100 + 60)
+    size, flat = wordpieces.encoder(path, count_only=False)([], None)
+    assert len(size) == len(flat) == 0
+
+
+def test_a_vocabulary_that_marks_no_ends(tmp_path):
+    """Words go to such a library one by one."""
+    letters = {c: i for i, c in enumerate("abc")}
+    library = tokenizers.Tokenizer(tokenizers.models.BPE(letters | {"ab": 3}, [("a", "b")]))
+    library.pre_tokenizer = tokenizers.pre_tokenizers.WhitespaceSplit()
+    library.save(path := str(tmp_path / "plain.json"))
+    size, flat = wordpieces.encoder(path, count_only=False)([b"aab", b"c", b"cab"], None)
+    assert size.tolist() == [2, 1, 2] and flat.tolist() == [0, 3, 2, 2, 3]
+
+
+def test_chunks_and_pretokens_spell_the_texts():
+    texts = [t.encode() for t in ["", " ", *babble([*ODD, " ", "\x0b", "Éa", "x!?", "Ab.", "×", "."], 300, 30, 8), "  "]]
+    chunks, place, n = wordpieces.chunked(texts)
+    spelled = [c.encode() for c in chunks.take(pa.array(place)).to_pylist()]
+    assert [spelled[end - k:end] for end, k in zip(np.cumsum(n).tolist(), n.tolist())] == [t.split() for t in texts]
+    words, pairs = wordpieces.pretokens(chunks)
+    assert len(set(words)) == len(words)
+    for chunk, (word, mark) in zip(chunks.to_pylist(), pairs.tolist()):
+        plain = re.fullmatch("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)", chunk)
+        assert (words[word], words[mark] if mark >= 0 else "") == ((plain[1].lower(), plain[2]) if plain else (chunk, ""))
+    assert wordpieces.pretokens([])[0] == [] and len(wordpieces.chunked([b" ", b""])[0]) == 0
+
+
 def test_ids_and_decoding_are_the_librarys(stored, rows):
     library = sentencepiece.SentencePieceProcessor(model_file=public.path("piece_bpe_32k.model"))
 
